@@ -10,7 +10,5 @@ BLANK_CLASS = (
 )
 WS = f"[{BLANK_CLASS}]"
 NOT_WS = f"[^{BLANK_CLASS}]"
-WORD_ASCII_BLANKS = r"[^\t-\r\x1c-\x20]+"
 
 WS_CHARS = "".join(chr(point) for point in range(0x3001) if chr(point).isspace())
-RARE_WS_CHARS = "".join(char for char in WS_CHARS if not char.isascii())
