@@ -64,7 +64,7 @@ from threadloom.operators.threads import (
 from threadloom.plans.clean import clean_summary
 from threadloom.plans.reports import clean_stats, run_summary
 from threadloom.sources.batches import next_batch_number, pending_files
-from threadloom.session import materialize
+from threadloom.session import materialize, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,7 +114,7 @@ def _documents(name: str, step: Callable[[Column], Column]) -> None:
     """A query that applies one step to every decorated document."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        docs = stand_in(spark, folder, S.DOCUMENTS)
+        docs = spread(stand_in(spark, folder, S.DOCUMENTS))
         return docs.select("doc_id", step(F.col("text")).alias("text"))
 
     QUERIES[name] = run
@@ -135,7 +135,7 @@ _documents("byte_size", byte_size)
 
 @query("clean_text")
 def clean_text_pages(spark: SparkSession, folder: str) -> DataFrame:
-    pages = table(spark, folder, "pages")
+    pages = spread(table(spark, folder, "pages").select("page_id", "html"))
     cleaned = pages.select("page_id", clean_text(F.col("html")).alias("text"))
     return cleaned.select(
         "page_id",
@@ -147,13 +147,13 @@ def clean_text_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("strip_tags")
 def strip_tags_pages(spark: SparkSession, folder: str) -> DataFrame:
-    pages = table(spark, folder, "pages")
+    pages = spread(table(spark, folder, "pages").select("page_id", "html"))
     return pages.select("page_id", strip_tags(F.col("html")).alias("text"))
 
 
 @query("html_unescape")
 def html_unescape_pages(spark: SparkSession, folder: str) -> DataFrame:
-    pages = table(spark, folder, "pages")
+    pages = spread(table(spark, folder, "pages").select("page_id", "html"))
     text = F.concat(F.lit(ENTITY_PREFIX), F.col("html"))
     return pages.select("page_id", html_unescape(text).alias("text"))
 
@@ -349,7 +349,7 @@ def tree_nest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _cleaned_posts(spark: SparkSession, folder: str) -> DataFrame:
-    posts = stand_in(spark, folder, S.SUBMISSIONS).select(
+    posts = spread(stand_in(spark, folder, S.SUBMISSIONS)).select(
         "doc_id",
         "id",
         "title",

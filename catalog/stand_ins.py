@@ -94,10 +94,14 @@ UNION ALL {_top(6, "all", None)}
 
 SEEN = f"SELECT DISTINCT id FROM ({EVENT_IDS}) WHERE event_type = 'signup' AND id IS NOT NULL"
 
-# Batch file names by source; sources with a toxic document count as processed.
+# Batch file names by source; sources with more toxic documents than the mean
+# count as processed.
 BATCH_NAME = "'posts_batch_' || lpad(substr(source, 4), 4, '0') || '.json'"
 BATCH_FILES = f"SELECT DISTINCT {BATCH_NAME} AS file_name FROM documents"
+TOXIC = f"""
+SELECT {BATCH_NAME} AS file_name, sum(toxic) AS toxic
+FROM documents JOIN labels USING (doc_id) GROUP BY source
+"""
 PROCESSED = f"""
-SELECT DISTINCT {BATCH_NAME} AS file_name
-FROM documents JOIN labels USING (doc_id) WHERE toxic = 1
+SELECT file_name FROM ({TOXIC}) WHERE toxic > (SELECT avg(toxic) FROM ({TOXIC}))
 """

@@ -54,3 +54,17 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a small scan out to all cores.
+
+    A file with one row group is one task, however costly its rows are to work
+    on. A scan with at least as many tasks as cores is left alone, so large
+    inputs are never shuffled. Meant for plain scans, whose number of tasks is
+    known without running anything.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores)
