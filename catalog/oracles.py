@@ -185,8 +185,29 @@ ORACLES["listing_union"] = " UNION ALL ".join(
         _listing(6, "top/all", _BEST),
     ]
 )
+# All events in every listing, so that the work grows with the table; positions
+# need not be dense.
+_BY_VALUE = "(10000000 - CAST(round(value * 100) AS BIGINT)) * 100000000000 + event_id"
+
+
+def _listed(rank: int, pos: str, days: int | None = None) -> str:
+    since = f"WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL {days} DAY" if days else ""
+    return f"SELECT {rank} AS listing_rank, {pos} AS pos, id, usable FROM ({S.EVENT_IDS}) {since}"
+
+
+_LISTED = " UNION ALL ".join(
+    [
+        _listed(0, _BY_VALUE),
+        _listed(1, "1000000000000 - event_id"),
+        _listed(2, _BY_VALUE, 1),
+        _listed(3, _BY_VALUE, 7),
+        _listed(4, _BY_VALUE, 30),
+        _listed(5, _BY_VALUE, 365),
+        _listed(6, _BY_VALUE),
+    ]
+)
 _FIRST = f"""
-listed AS MATERIALIZED ({S.LISTED}),
+listed AS MATERIALIZED ({_LISTED}),
 seen AS ({S.SEEN}),
 firsts AS (
   SELECT id, listing_rank, pos FROM listed WHERE usable AND id IS NOT NULL

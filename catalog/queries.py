@@ -34,6 +34,7 @@ from threadloom.operators.listings import (
     ingest_counts,
     listing_union,
     number_new,
+    rows_met,
     seen_union,
 )
 from threadloom.operators.records import normalise_comments, normalise_posts
@@ -209,28 +210,50 @@ def permalink_abs(spark: SparkSession, folder: str) -> DataFrame:
 def listing_union_events(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
     last = events.select(F.max("ts")).scalar()
-    days = {"day": 1, "week": 7, "month": 30, "year": 365}
     ranges = {
-        label: F.col("ts") >= last - F.expr(f"INTERVAL {n} DAY") for label, n in days.items()
+        label: F.lit(True) if days is None else F.col("ts") >= last - F.expr(f"INTERVAL {days} DAY")
+        for label, days in S.TOP_DAYS.items()
     }
     best = [F.desc("value"), F.asc("event_id")]
     sorts = {
         "hot": Sort(best),
         "new": Sort([F.desc("ts"), F.asc("event_id")]),
-        "top": Sort(best, {**ranges, "all": F.lit(True)}),
+        "top": Sort(best, ranges),
     }
     listed = listing_union(events.select("event_id", "ts", "value"), sorts, SORTS)
     return listed.select("listing", "listing_rank", "pos", "event_id")
 
 
+def _listed(spark: SparkSession, folder: str) -> DataFrame:
+    """All events in every listing they belong to, from one scan."""
+    events = stand_in(spark, folder, S.EVENT_IDS)
+    last = events.select(F.max("ts")).scalar()
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    best = (F.lit(10**7) - cents) * F.lit(10**11) + F.col("event_id")
+    newest = F.lit(10**12) - F.col("event_id")
+
+    def entry(rank: int, label: str, pos: Column, days: int | None = None) -> Column:
+        row = F.struct(
+            F.lit(label).alias("listing"), F.lit(rank).alias("listing_rank"), pos.alias("pos")
+        )
+        return row if days is None else F.when(F.col("ts") >= last - F.expr(f"INTERVAL {days} DAY"), row)
+
+    listings = [entry(0, "hot", best), entry(1, "new", newest)]
+    for rank, (label, days) in enumerate(S.TOP_DAYS.items(), start=2):
+        listings.append(entry(rank, f"top/{label}", best, days))
+    return events.select("id", "usable", F.explode(F.array_compact(F.array(*listings))).alias("_l")).select(
+        "_l.*", "id", "usable"
+    )
+
+
 @query("listing_dedup")
 def listing_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return first_wins(stand_in(spark, folder, S.LISTED))
+    return first_wins(_listed(spark, folder))
 
 
 @query("seen_anti")
 def seen_anti(spark: SparkSession, folder: str) -> DataFrame:
-    fresh = first_wins(stand_in(spark, folder, S.LISTED))
+    fresh = first_wins(_listed(spark, folder))
     return drop_seen(fresh, stand_in(spark, folder, S.SEEN))
 
 
@@ -245,23 +268,27 @@ def batch_assign(spark: SparkSession, folder: str) -> DataFrame:
     return assign_batches(numbered, BATCH_SIZE, 4).select("id", "n", "batch_no", "post_pos")
 
 
-def _classified(spark: SparkSession, folder: str) -> DataFrame:
-    return classify(stand_in(spark, folder, S.LISTED), stand_in(spark, folder, S.SEEN))
-
-
 @query("skip_classes")
 def skip_classes(spark: SparkSession, folder: str) -> DataFrame:
-    return _classified(spark, folder).select("id", *ORDER, "status")
+    classes = classify(_listed(spark, folder), stand_in(spark, folder, S.SEEN))
+    return classes.select("id", *ORDER, "status")
+
+
+def _counts(spark: SparkSession, folder: str, limit: int) -> DataFrame:
+    rows, seen = _listed(spark, folder), stand_in(spark, folder, S.SEEN)
+    # Without a limit every row is met, and nothing has to be numbered.
+    taken = number_new(drop_seen(first_wins(rows), seen), limit) if limit else rows
+    return ingest_counts(classify(rows_met(rows, taken, limit), seen), PRIOR_TOTAL)
 
 
 @query("ingest_counts_all")
 def ingest_counts_all(spark: SparkSession, folder: str) -> DataFrame:
-    return ingest_counts(_classified(spark, folder), 0, PRIOR_TOTAL)
+    return _counts(spark, folder, 0)
 
 
 @query("ingest_counts")
 def ingest_counts_limited(spark: SparkSession, folder: str) -> DataFrame:
-    return ingest_counts(_classified(spark, folder), LIMIT, PRIOR_TOTAL)
+    return _counts(spark, folder, LIMIT)
 
 
 @query("seen_union")
@@ -319,7 +346,9 @@ def tree_malformed(spark: SparkSession, folder: str) -> DataFrame:
 def _cleaned_forest(spark: SparkSession, folder: str) -> DataFrame:
     forest = _forest(spark, folder)
     normal = normalise_comments(forest, SITE, ("conv_id", "path", "depth"))
-    return clean_comments(normal).withColumnRenamed("conv_id", "doc_id")
+    cleaned = clean_comments(normal).withColumnRenamed("conv_id", "doc_id")
+    # Pruning and rendering read it several times.
+    return materialize(cleaned)
 
 
 @query("tree_prune")
@@ -359,7 +388,7 @@ def _cleaned_posts(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce("score", F.lit(0)).alias("upvotes"),
         "num_comments",
     )
-    return clean_posts(posts)
+    return materialize(clean_posts(posts))
 
 
 @query("render_comment")
@@ -376,8 +405,8 @@ def render_thread(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _segments(spark: SparkSession, folder: str) -> DataFrame:
-    posts = materialize(_cleaned_posts(spark, folder))
-    comments = materialize(_cleaned_forest(spark, folder))
+    posts = _cleaned_posts(spark, folder)
+    comments = _cleaned_forest(spark, folder)
     return render_segments(posts, comments, KEYS)
 
 
@@ -388,7 +417,7 @@ def render_post(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("post_nonempty")
 def post_nonempty(spark: SparkSession, folder: str) -> DataFrame:
-    posts = materialize(_cleaned_posts(spark, folder))
+    posts = _cleaned_posts(spark, folder)
     counts = thread_counts(_cleaned_forest(spark, folder), KEYS)
     return nonempty_posts(posts, counts, KEYS).select("doc_id")
 

@@ -66,31 +66,8 @@ FROM events
 """
 
 
-def _top(rank: int, label: str, days: int | None) -> str:
-    since = (
-        f"WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL {days} DAY" if days else ""
-    )
-    return f"""
-SELECT 'top/{label}' AS listing, {rank} AS listing_rank,
-       (10000000 - CAST(round(value * 100) AS BIGINT)) * 100000000000 + event_id AS pos,
-       id, usable, event_type FROM ({EVENT_IDS}) {since}"""
-
-
-# All events in every listing, so that the work grows with the table; positions
-# need not be dense.
-LISTED = f"""
-SELECT 'hot' AS listing, 0 AS listing_rank,
-       (10000000 - CAST(round(value * 100) AS BIGINT)) * 100000000000 + event_id AS pos,
-       id, usable, event_type FROM ({EVENT_IDS})
-UNION ALL
-SELECT 'new' AS listing, 1 AS listing_rank, 1000000000000 - event_id AS pos,
-       id, usable, event_type FROM ({EVENT_IDS})
-UNION ALL {_top(2, "day", 1)}
-UNION ALL {_top(3, "week", 7)}
-UNION ALL {_top(4, "month", 30)}
-UNION ALL {_top(5, "year", 365)}
-UNION ALL {_top(6, "all", None)}
-"""
+# Ranges of the top listing and the days they reach back, in order.
+TOP_DAYS = {"day": 1, "week": 7, "month": 30, "year": 365, "all": None}
 
 SEEN = f"SELECT DISTINCT id FROM ({EVENT_IDS}) WHERE event_type = 'signup' AND id IS NOT NULL"
 

@@ -15,6 +15,7 @@ from threadloom.operators.listings import (
     ingest_counts,
     listing_union,
     number_new,
+    rows_met,
     seen_union,
 )
 from threadloom.operators.ordering import with_global_index
@@ -50,10 +51,11 @@ def test_ingest_is_the_walk(spark, seed):
     ledger = spark.createDataFrame([(x,) for x in seen], "id string")
     for limit in (0, 1, 7, 10_000):
         new, skipped, failed = walk(rows, seen, limit)
-        taken = number_new(drop_seen(first_wins(frame), ledger), limit).orderBy("n").collect()
+        numbered = number_new(drop_seen(first_wins(frame), ledger), limit)
+        taken = numbered.orderBy("n").collect()
         assert [(r.id, r.listing_rank, r.pos) for r in taken] == new
         assert [r.n for r in taken] == list(range(1, len(new) + 1))
-        counts = ingest_counts(classify(frame, ledger), limit, 3).first()
+        counts = ingest_counts(classify(rows_met(frame, numbered, limit), ledger), 3).first()
         assert tuple(counts) == (len(new), skipped, failed, len(new) + 3)
 
 

@@ -150,24 +150,26 @@ def classify(rows: DataFrame, seen: DataFrame) -> DataFrame:
     )
 
 
-def ingest_counts(classified: DataFrame, limit: int = 0, prior_total: int = 0) -> DataFrame:
-    """One row: new, skipped and failed rows met, and the running total.
+def rows_met(rows: DataFrame, taken: DataFrame, limit: int = 0) -> DataFrame:
+    """The rows a walk meets: nothing after the last post that fills the limit.
 
-    With a limit, nothing after the last new post is met at all.
+    Whether a row is skipped depends on earlier rows only, so the rest can be
+    left out before anything is joined.
     """
-    met = classified
-    if limit > 0:
-        new = classified.filter(F.col("status") == "new")
-        last = number_new(new, limit).agg(F.max(_met_at()), F.count("*").alias("n"))
-        stop = last.select(F.when(F.col("n") == limit, F.col(last.columns[0])))
-        met = classified.filter(
-            stop.scalar().isNull() | (_met_at() <= stop.scalar())
-        )
+    if limit <= 0:
+        return rows
+    last = taken.agg(F.max(_met_at()).alias("last"), F.count("*").alias("n"))
+    stop = last.select(F.when(F.col("n") == limit, F.col("last")))
+    return rows.filter(stop.scalar().isNull() | (_met_at() <= stop.scalar()))
+
+
+def ingest_counts(classified: DataFrame, prior_total: int = 0) -> DataFrame:
+    """One row: new, skipped and failed rows met, and the running total."""
 
     def count(status: str) -> Column:
         return F.count_if(F.col("status") == status)
 
-    return met.agg(
+    return classified.agg(
         count("new").alias("new_posts"),
         count("skipped").alias("skipped_posts"),
         count("failed").alias("failed_posts"),

@@ -14,6 +14,7 @@ from threadloom.operators.listings import (
     first_wins,
     ingest_counts,
     number_new,
+    rows_met,
 )
 from threadloom.operators.records import normalise_comments, normalise_posts
 from threadloom.operators.threads import MAX_DEPTH, with_paths
@@ -101,7 +102,7 @@ def ingest(
     first_batch = next_batch_number(stored_batches(spark, store)).first()["next_batch"]
     taken = materialize(new_posts(rows, seen, limit, batch_size, first_batch))
     # The ledger below changes what is new, so the counts are fixed first.
-    counts = materialize(ingest_counts(classify(rows, seen), limit, prior))
+    counts = materialize(ingest_counts(classify(rows_met(rows, taken, limit), seen), prior))
 
     full = rows.join(taken.select(*ORDER, *KEYS), list(ORDER))
     posts = normalise_posts(full, site_root, community, tuple(KEYS))
