@@ -7,9 +7,9 @@ from conftest import KEYS
 from pyspark.sql import functions as F
 from test_sources import put, shard_text
 
-from threadloom.operators.render import clean_comments, clean_posts, render_segments
+from threadloom.operators.render import render_segments
 from threadloom.operators.shards import Budget
-from threadloom.plans.clean import CleanStore, clean_folder
+from threadloom.plans.clean import CleanStore, clean_folder, clean_nodes
 from threadloom.plans.curate import Source, curate
 from threadloom.plans.ingest import RawStore, ingest
 from threadloom.plans.reports import store_stats
@@ -56,10 +56,8 @@ COMMENTS:
 def rendered(spark, tmp_path, posts):
     put(tmp_path, "x.json", posts)
     files = B.read_files(spark, B.list_batches(spark, str(tmp_path)))
-    rows = B.parse_batches(files)
-    segments = render_segments(
-        clean_posts(B.flat_posts(rows)), clean_comments(B.flat_comments(rows)), KEYS
-    )
+    nodes = B.flat_nodes(B.parse_batches(files), clean_nodes)
+    segments = render_segments(B.flat_posts(nodes), B.flat_comments(nodes), KEYS)
     texts = {}
     for r in sorted(segments.collect(), key=lambda r: (r.post_pos, r.seg, r.path)):
         texts[r.post_pos] = texts.get(r.post_pos, "") + r.text + "\n"

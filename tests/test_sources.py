@@ -37,7 +37,7 @@ def test_shapes_of_a_batch(spark, tmp_path):
     put(tmp_path, "broken.json", "{not json")
     put(tmp_path, "cut.json", '[{"id": "d"}, {"id"')
     put(tmp_path, "tail.json", '[{"id": "e"}] and more')
-    got = B.flat_posts(parsed(spark, tmp_path)).collect()
+    got = B.flat_posts(B.flat_nodes(parsed(spark, tmp_path))).collect()
     assert sorted((r.file_name, r.post_pos, r.id) for r in got) == [
         ("array.json", 0, "a"),
         ("array.json", 5, "b"),
@@ -48,14 +48,14 @@ def test_shapes_of_a_batch(spark, tmp_path):
 
 def test_missing_and_null_fields(spark, tmp_path):
     put(tmp_path, "x.json", [{}, {"author": None, "title": None, "upvotes": 3, "id": "p"}])
-    first, second = sorted(B.flat_posts(parsed(spark, tmp_path)).collect(), key=lambda r: r.post_pos)
+    first, second = sorted(B.flat_posts(B.flat_nodes(parsed(spark, tmp_path))).collect(), key=lambda r: r.post_pos)
     assert (first.id, first.author, first.title, first.upvotes) == ("", "[deleted]", "", "0")
     assert (second.id, second.author, second.title, second.upvotes) == ("p", "None", "", "3")
 
 
 def test_texts_beyond_the_parsers_default_limit(spark, tmp_path):
     put(tmp_path, "x.json", [{"id": "p", "text": "y" * 21_000_000}])
-    got = B.flat_posts(parsed(spark, tmp_path)).select(F.length("text")).first()
+    got = B.flat_posts(B.flat_nodes(parsed(spark, tmp_path))).select(F.length("text")).first()
     assert got[0] == 21_000_000
 
 
@@ -65,7 +65,7 @@ def test_comments_at_any_depth(spark, tmp_path, depth):
     for level in range(depth - 1, 0, -1):
         chain = {"id": f"c{level}", "replies": ["junk", chain], "is_submitter": level % 2 == 0}
     put(tmp_path, "x.json", [{"id": "p", "comments": [chain, {"id": "last", "replies": ""}]}])
-    got = {r.comment_id: r for r in B.flat_comments(parsed(spark, tmp_path)).collect()}
+    got = {r.comment_id: r for r in B.flat_comments(B.flat_nodes(parsed(spark, tmp_path))).collect()}
     assert set(got) == {f"c{i}" for i in range(1, depth + 1)} | {"last"}
     assert got[f"c{depth}"].path == [0] + [1] * (depth - 1)
     assert got["last"].path == [1]
@@ -86,7 +86,7 @@ def test_next_batch_number(spark):
 def test_nested_export_is_the_batch_again(spark, tmp_path, raw_post):
     posts = [raw_post, {**raw_post, "id": "p2", "comments": []}, {**raw_post, "id": "p3"}]
     put(tmp_path, "posts_batch_0001.json", posts)
-    rows = parsed(spark, tmp_path)
+    rows = B.flat_nodes(parsed(spark, tmp_path))
     fields = ("id", "title", "text", "author", "created_date", "upvotes", "num_comments")
     comment_fields = (
         F.col("comment_id").alias("id"), "author", "body", "created_date", "upvotes", "is_submitter",

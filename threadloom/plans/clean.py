@@ -26,6 +26,7 @@ from threadloom.session import materialize, spread
 from threadloom.sources.batches import (
     KEYS,
     flat_comments,
+    flat_nodes,
     flat_posts,
     list_batches,
     parse_batches,
@@ -65,7 +66,7 @@ class CleanStore:
         return f"{self.root}/ledgers/shards"
 
 
-def clean_batches(
+def pack_batches(
     posts: DataFrame,
     comments: DataFrame,
     files: DataFrame,
@@ -73,9 +74,9 @@ def clean_batches(
     budget: Budget = Budget(),
     run_no: int | None = None,
 ) -> DataFrame:
-    """Clean flat posts and comments of the batches ``files`` into shards.
+    """Pack cleaned posts and comments of the batches ``files`` into shards.
 
-    Returns one row: posts written, files processed and the shards they went
+    Both are read several times and are expected to be materialised. Returns one row: posts written, files processed and the shards they went
     to. The shard text is written first, then the shard ledger, then the
     processed files. A run that is repeated with its number replaces itself.
     """
@@ -86,9 +87,6 @@ def clean_batches(
     before = ledger.filter(F.col("run_no") < run_no)
     shard = resume_shard(before, budget)
 
-    # Cleaning is the costly step and three consumers follow, so it is done once.
-    comments = materialize(clean_comments(comments.select(*_names(COMMENTS))))
-    posts = materialize(clean_posts(posts.select(*_names(POSTS))))
     segments = render_segments(posts, comments, KEYS)
     sizes = post_sizes(measure_segments(segments), KEYS)
     placed = materialize(assign_shards(sizes, KEYS, budget, shard))
@@ -102,6 +100,11 @@ def clean_batches(
     return clean_summary(shards, files)
 
 
+def clean_nodes(nodes: DataFrame) -> DataFrame:
+    """Nodes of batch files with their texts cleaned."""
+    return clean_comments(clean_posts(nodes))
+
+
 def _names(schema: str) -> list[str]:
     return [part.split()[0] for part in schema.split(", ")]
 
@@ -130,7 +133,8 @@ def clean_folder(
     if pending.isEmpty():
         return _nothing(spark)
     parsed = parse_batches(read_files(spark, pending))
-    return clean_batches(flat_posts(parsed), flat_comments(parsed), pending, store, budget)
+    nodes = flat_nodes(parsed, clean_nodes)
+    return pack_batches(flat_posts(nodes), flat_comments(nodes), pending, store, budget)
 
 
 def clean_store(
@@ -147,7 +151,9 @@ def clean_store(
         comments = stored.join(pending, "file_name", "left_semi")
     else:
         comments = spark.createDataFrame([], COMMENTS)
-    return clean_batches(posts, comments, pending, store, budget)
+    posts = materialize(clean_posts(posts.select(*_names(POSTS))))
+    comments = materialize(clean_comments(comments.select(*_names(COMMENTS))))
+    return pack_batches(posts, comments, pending, store, budget)
 
 
 def _nothing(spark: SparkSession) -> DataFrame:

@@ -7,7 +7,7 @@ two batches stays two posts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -116,25 +116,11 @@ def _body(record: Column, name: str) -> Column:
     return F.coalesce(F.try_element_at(record, F.lit(name)), F.lit(""))
 
 
-def flat_posts(parsed: DataFrame) -> DataFrame:
-    """The fields of a post that cleaning uses; any of them may be missing."""
-    post = F.col("post")
-    return parsed.select(
-        *KEYS,
-        _shown(post, "id").alias("id"),
-        _body(post, "title").alias("title"),
-        _body(post, "text").alias("text"),
-        _shown(post, "author", DEFAULT_AUTHOR).alias("author"),
-        _shown(post, "created_date").alias("created_date"),
-        _shown(post, "upvotes", "0").alias("upvotes"),
-        _shown(post, "num_comments", "0").alias("num_comments"),
-    )
-
-
-def _replies(record: Column, name: str, path: Column) -> Column:
-    """The objects in a list field of ``record``, as nodes below ``path``."""
+def _replies(record: Column, path: Column) -> Column:
+    """The objects below a node: comments of a post, replies of a comment."""
+    name = F.when(F.size(path) == 0, "comments").otherwise("replies")
     listed = F.transform(
-        _objects(F.try_element_at(record, F.lit(name))),
+        _objects(F.try_element_at(record, name)),
         lambda json, i: F.struct(
             F.array_append(path, i).alias("path"),
             _from_json(json, "map<string,string>").alias("record"),
@@ -153,9 +139,7 @@ def _open_levels(rows: DataFrame, first: Column) -> DataFrame:
     names = [f"_level{n}" for n in range(LEVELS_PER_PASS)]
     levels = rows.select(*KEYS, first.alias(names[0]))
     for above, name in zip(names, names[1:]):
-        below = F.transform(
-            above, lambda node: _replies(node["record"], "replies", node["path"])
-        )
+        below = F.transform(above, lambda node: _replies(node["record"], node["path"]))
         levels = levels.withColumn(name, F.flatten(below))
     nodes = levels.select(*KEYS, F.explode(F.concat(*names)).alias("_n"), names[-1])
     replies = F.coalesce(F.try_element_at("_n.record", F.lit("replies")), F.lit(""))
@@ -164,41 +148,56 @@ def _open_levels(rows: DataFrame, first: Column) -> DataFrame:
     return nodes.select(*KEYS, "_n.*", deeper.alias("deeper"))
 
 
-def flat_comments(parsed: DataFrame) -> DataFrame:
-    """Every nested comment of every post, with its path, at any depth.
+def _fields(record: Column) -> list[Column]:
+    return [
+        _shown(record, "id").alias("id"),
+        _body(record, "title").alias("title"),
+        _body(record, "text").alias("text"),
+        _body(record, "body").alias("body"),
+        _shown(record, "author", DEFAULT_AUTHOR).alias("author"),
+        _shown(record, "created_date").alias("created_date"),
+        _shown(record, "upvotes", "0").alias("upvotes"),
+        _shown(record, "num_comments", "0").alias("num_comments"),
+        truthy(F.try_element_at(record, F.lit("is_submitter"))).alias("is_submitter"),
+    ]
+
+
+def flat_nodes(
+    parsed: DataFrame, finish: Callable[[DataFrame], DataFrame] = lambda nodes: nodes
+) -> DataFrame:
+    """Every post (an empty path) and every comment below it, at any depth.
 
-    A pass opens a fixed number of levels in one scan. Threads that go deeper
-    are taken up by the next pass, from what the last one wrote.
+    The files are read once for both. A pass opens a fixed number of levels and
+    writes what it found, after ``finish``; threads that go deeper are taken up
+    by the next pass, from what the last one wrote.
     """
-    top = F.array().cast("array<int>")
-    rows, first = parsed, _replies(F.col("post"), "comments", top)
+    root = F.struct(F.array().cast("array<int>").alias("path"), F.col("post").alias("record"))
+    rows, first = parsed, F.array(root)
     found = []
     while True:
-        nodes = _open_levels(rows, first)
-        nodes = materialize(
-            nodes.select(
-                *KEYS,
-                "path",
-                *_comment_fields(F.col("record")),
-                F.when(F.col("deeper"), F.col("record")).alias("record"),
-            )
+        opened = _open_levels(rows, first).select(
+            *KEYS,
+            "path",
+            *_fields(F.col("record")),
+            F.when(F.col("deeper"), F.col("record")).alias("record"),
         )
+        nodes = materialize(finish(opened))
         found.append(nodes.drop("record"))
         rows = nodes.filter("record is not null")
         if rows.isEmpty():
             return reduce(DataFrame.unionByName, found)
-        first = _replies(F.col("record"), "replies", F.col("path"))
+        first = _replies(F.col("record"), F.col("path"))
 
 
-def _comment_fields(record: Column) -> list[Column]:
-    return [
-        _shown(record, "id").alias("comment_id"),
-        _shown(record, "author", DEFAULT_AUTHOR).alias("author"),
-        _body(record, "body").alias("body"),
-        _shown(record, "created_date").alias("created_date"),
-        _shown(record, "upvotes", "0").alias("upvotes"),
-        truthy(F.try_element_at(record, F.lit("is_submitter"))).alias("is_submitter"),
-    ]
+def flat_posts(nodes: DataFrame) -> DataFrame:
+    """The fields of a post that cleaning uses; missing ones have their defaults."""
+    return nodes.filter(F.size("path") == 0).drop("path", "body", "is_submitter")
+
+
+def flat_comments(nodes: DataFrame) -> DataFrame:
+    """The nested comments of all posts, with their paths."""
+    comments = nodes.filter(F.size("path") > 0).drop("title", "text", "num_comments")
+    return comments.withColumnRenamed("id", "comment_id")
 
 
 def batch_name(batch_no: Column) -> Column:

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from threadloom.operators.shards import Budget
-from threadloom.plans.clean import CleanStore, clean_batches
+from threadloom.plans.clean import CleanStore, clean_nodes, pack_batches
 from threadloom.session import materialize
 from threadloom.sources.batches import (
     BATCH_GLOB,
     PROGRESS_PREFIX,
     flat_comments,
+    flat_nodes,
     flat_posts,
     parse_batches,
 )
@@ -49,10 +50,8 @@ def clean_stream(
         files = materialize(files)
         if files.isEmpty():
             return
-        parsed = parse_batches(files)
-        clean_batches(
-            flat_posts(parsed), flat_comments(parsed), files, store, budget, batch_id + 1
-        )
+        nodes = flat_nodes(parse_batches(files), clean_nodes)
+        pack_batches(flat_posts(nodes), flat_comments(nodes), files, store, budget, batch_id + 1)
 
     return (
         stream_files(spark, raw_root, files_per_trigger)
