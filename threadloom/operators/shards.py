@@ -11,16 +11,22 @@ handed down again, and all chunks are then packed in parallel.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from threadloom.operators.ordering import range_chunks
 from threadloom.session import materialize
 
+# The functions below run in Python workers. They travel with the job, so that
+# executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The default budgets of a shard.
 MAX_BYTES = 200 * 1024 * 1024
 MAX_WORDS = 500_000
