@@ -9,12 +9,13 @@ from test_sources import put, shard_text
 
 from threadloom.operators.render import render_segments
 from threadloom.operators.shards import Budget
+from threadloom.plans.adopt import adopt_clean, adopt_raw
 from threadloom.plans.clean import CleanStore, clean_folder, clean_nodes
 from threadloom.plans.curate import Source, curate
 from threadloom.plans.ingest import RawStore, ingest
 from threadloom.plans.reports import store_stats
 from threadloom.sources import batches as B
-from threadloom.sources.ledgers import SEEN, read_ledger
+from threadloom.sources.ledgers import SEEN, SHARDS, read_ledger
 from threadloom.streaming.incremental import clean_stream, dedup_stream
 
 SITE = "https://forum.example"
@@ -224,6 +225,31 @@ def test_curate_takes_cleans_and_reports(spark, tmp_path):
         curate(spark, raw, clean, "eng", batch_size=0)
 
 
+def test_state_of_file_based_runs_is_taken_over(spark, tmp_path, raw_post):
+    raw, old = tmp_path / "raw", tmp_path / "old"
+    raw.mkdir()
+    old.mkdir()
+    put(raw, "posts_batch_0001.json", [raw_post])
+    put(raw, "posts_batch_0002.json", [{**raw_post, "id": "p9"}])
+    put(raw, "scraping_progress.json", {"seen_ids": ["p1"], "total_posts": 1})
+    put(old, "processed_files.txt", "posts_batch_0001.json\n")
+    put(old, "cleaned_posts_0002.txt", RENDERED)
+    put(old, "cleaned_posts_0001.txt", RENDERED * 3)
+    store, kept = CleanStore(str(tmp_path / "clean")), RawStore(str(tmp_path / "store"))
+    adopt_raw(spark, str(raw), kept)
+    adopt_clean(spark, str(old), store)
+    assert [r.id for r in read_ledger(spark, kept.seen, SEEN).collect()] == ["p1"]
+    size = len(RENDERED.encode())
+    ledger = read_ledger(spark, store.shards, SHARDS).orderBy("file_no").collect()
+    words = len(RENDERED.split())
+    assert [tuple(r) for r in ledger] == [
+        (0, 1, 3, 3 * size, 3 * words), (0, 2, 1, size, words),
+    ]
+    summary = clean_folder(spark, str(raw), store, Budget(2 * size)).first()
+    assert (summary.posts_written, summary.files_processed) == (1, 1)
+    assert list(shards(spark, store)) == [2]
+
+
 def test_stream_cleans_new_files_once(spark, tmp_path, raw_post):
     raw, store = tmp_path / "raw", CleanStore(str(tmp_path / "clean"))
     raw.mkdir()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from threadloom.sources import batches as B
 from threadloom.sources import ledgers as L
+from threadloom.sources.listings import read_listings
 from threadloom.sources.shards import read_shards, shard_files, shard_words, write_shards
 
 
@@ -138,6 +139,22 @@ def test_ledgers_append(spark, tmp_path):
     assert tuple(state) == (0, None)
 
 
+def test_listings_survive_broken_ones(spark, tmp_path, caplog):
+    schema = "pos long, id string"
+    for label in ("hot", "top"):
+        rows = [(i, f"{label}{i}") for i in range(3)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / label))
+    (tmp_path / "hot" / "part-broken.parquet").write_bytes(b"not parquet at all")
+    paths = {label: str(tmp_path / label) for label in ("hot", "new", "top")}
+    got = read_listings(spark, paths, schema).orderBy("listing_rank", "pos").collect()
+    assert [(r.listing, r.listing_rank, r.id) for r in got] == [
+        ("hot", 0, "hot0"), ("hot", 0, "hot1"), ("hot", 0, "hot2"),
+        ("top", 2, "top0"), ("top", 2, "top1"), ("top", 2, "top2"),
+    ]
+    assert "listing new" in caplog.text
+    assert read_listings(spark, {"x": str(tmp_path / "x")}, schema).isEmpty()
+
+
 def test_shard_text_is_in_order(spark, tmp_path):
     """One post of many segments, cut over several part files, reads back whole."""
     rows = [

@@ -2,6 +2,7 @@
 
 import html
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,6 +124,17 @@ def test_long_marker_runs_do_not_overflow(spark):
     assert spark.range(1).select(T.clean_text(F.lit(long))).first()[0].startswith("x")
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["<" * 300_000, "> " + "< " * 150_000, "[" * 300_000 + "](x", "[" * 150_000 + "]" * 150_000 + "](",
+     "[a](" * 75_000, "![" * 100_000 + "x](y)", "**" * 150_000 + "x", "&" * 300_000, "u/" * 150_000]
+)
+def test_time_stays_linear(spark, text):
+    start = time.monotonic()
+    spark.range(1).select(T.clean_text(F.lit(text).substr(F.lit(1), F.lit(10**6)))).first()
+    assert time.monotonic() - start < 20
+
+
 def test_fields(spark):
     frame = spark.createDataFrame(
         [

@@ -118,12 +118,31 @@ def _within(mark: str, *steps: Rewrite) -> SqlStep:
     return step
 
 
+def _until(mark: str, step: Rewrite) -> SqlStep:
+    """A step whose matches end with ``mark``, run up to the last one.
+
+    Past it every start would look for its end in vain, again and again.
+    """
+
+    def rewrite(v: str) -> str:
+        return let_sql(
+            f"substring_index({v}, {quoted(mark)}, -1)",
+            lambda tail: (
+                f"concat({let_sql(f'left({v}, length({v}) - length({tail}))', step.run)}, {tail})"
+            ),
+        )
+
+    return lambda v: f"CASE WHEN {any_of(v, step.needs)} THEN {rewrite(v)} ELSE {v} END"
+
+
 def _strip(v: str) -> str:
     return f"trim(BOTH {quoted(WS_CHARS)} FROM {v})"
 
 
-_tags = Rewrite(HTML_TAG, "", ("<",))
-_links = Rewrite(MARKDOWN_LINK, "$1", ("](",))
+_tags = _until(">", Rewrite(HTML_TAG, "", ("<",)))
+# A bracket that starts no link is matched too, with all up to the next closing
+# one, and put back: no bracket in between can start one either.
+_links = _until(")", Rewrite(MARKDOWN_LINK + r"|(\[[^\]]*+\]?)", "$1$2", ("](",)))
 _urls = Rewrite(URL, "", ("://",))
 _users = Rewrite(USER_MENTION, "", ("u/",))
 _communities = Rewrite(COMMUNITY_MENTION, "", ("r/",))
