@@ -22,32 +22,32 @@ SITE = "https://forum.example"
 RULE, THIN = "=" * 100, "-" * 100
 RENDERED = f"""{RULE}
 POST ID: p1
-AUTHOR: poster
-DATE: 2023-11-14T22:13:20
-UPVOTES: 42
+AUTHOR: asker
+DATE: 2024-02-03T07:00:01
+UPVOTES: 17
 TOTAL COMMENTS: 2
 SCRAPED COMMENTS: 2
 {THIN}
-TITLE: How do I study for thermo?
+TITLE: Which load table fits?
 
 POST CONTENT:
-See this guide and ask .
+Compare both tables by .
 
 COMMENTS:
 {RULE}
 +- COMMENT ID: t1
-|  AUTHOR: helper
-|  DATE: 2023-11-14T23:00:00
-|  UPVOTES: 7
+|  AUTHOR: builder
+|  DATE: 2024-02-03T08:15:00
+|  UPVOTES: 11
 +-
-  Try the textbook!
+  Take the second table!
 
   +- COMMENT ID: c1
-  |  AUTHOR: poster (OP)
-  |  DATE: 2023-11-15T00:00:00
-  |  UPVOTES: 2
+  |  AUTHOR: asker (OP)
+  |  DATE: 2024-02-03T09:30:00
+  |  UPVOTES: 5
   +-
-    Thanks?
+    Even in winter?
 
 {RULE}
 {RULE}
@@ -84,7 +84,7 @@ def test_stubs_and_empty_posts(spark, tmp_path):
         spark,
         tmp_path,
         [
-            {"id": "a", "title": "t", "comments": [comment("t1", "", comment("c1", "still\n\nhere"))]},
+            {"id": "a", "title": "t", "comments": [comment("t1", "", comment("c1", "kept\n\non"))]},
             {"id": "b", "title": "", "text": "  ", "comments": [comment("t2", "**", comment("c2", ""))]},
             {"id": "c", "comments": [comment("t3", "", comment("c3", "", comment("d3", "deep")), comment("e3", ""))]},
             {"id": "d", "title": "only"},
@@ -92,7 +92,7 @@ def test_stubs_and_empty_posts(spark, tmp_path):
     )
     assert sorted(texts) == [0, 1, 2, 3]
     assert "  [removed]\n\n  +- COMMENT ID: c1" in texts[0]
-    assert "    still\n\n    here\n" in texts[0]
+    assert "    kept\n\n    on\n" in texts[0]
     assert "COMMENT ID: t2" in texts[1] and "c2" not in texts[1]
     assert "COMMENT ID: d3" in texts[2] and "e3" not in texts[2]
     assert "SCRAPED COMMENTS: 4" in texts[2]
@@ -150,7 +150,7 @@ COMMENTS = (
 
 def forum(spark, count, listings=7):
     posts = [
-        (rank, pos, f"p{pos}", "a title", "post body", "poster", 1.7e9, 10, f"/c/p{pos}", True)
+        (rank, pos, f"p{pos}", "Load tables", "Which one?", "asker", 1.7e9, 10, f"/c/p{pos}", True)
         for rank in range(listings)
         for pos in range(count)
     ]
@@ -158,9 +158,9 @@ def forum(spark, count, listings=7):
         (f"p{i}", name + str(i), parent and parent + str(i), 0, body, author, 3, 1.7e9, op, None, True)
         for i in range(count)
         for name, parent, body, author, op in [
-            ("t", None, "top level", "helper", False),
+            ("t", None, "The second.", "builder", False),
             ("c", "t", "[removed]", None, False),
-            ("g", "c", "deepest reply", "poster", True),
+            ("g", "c", "Thanks, all.", "asker", True),
         ]
     ]
     return spark.createDataFrame(posts, SUBMISSIONS), spark.createDataFrame(comments, COMMENTS)
@@ -190,7 +190,7 @@ def test_ingest_dedups_limits_and_resumes(spark, tmp_path):
     stored = spark.read.parquet(store.comments).filter("post_pos = 1").orderBy("file_name", "path")
     got = [(r.comment_id, r.depth, r.body, r.author) for r in stored.collect()][:3]
     assert got == [
-        ("t1", 0, "top level", "helper"), ("c1", 1, "", "[deleted]"), ("g1", 2, "deepest reply", "poster"),
+        ("t1", 0, "The second.", "builder"), ("c1", 1, "", "[deleted]"), ("g1", 2, "Thanks, all.", "asker"),
     ]
     with pytest.raises(ValueError):
         run(1, 0)

@@ -112,7 +112,7 @@ def test_progress_file(spark, tmp_path):
         return sorted(r.id for r in seen.collect()), tuple(state.first())
 
     assert read() == ([], (0, None))
-    assert read({"last_processed_id": "old1", "total_posts": 7}) == (["old1"], (7, None))
+    assert read({"last_processed_id": "legacy7", "total_posts": 31}) == (["legacy7"], (31, None))
     full = {"seen_ids": ["a", "b"], "last_processed_id": "a", "total_posts": 2, "last_run": "t"}
     assert read(full) == (["a", "b"], (2, "t"))
     assert read({"seen_ids": "junk", "total_posts": -4}) == ([], (0, None))
