@@ -1,6 +1,7 @@
 """Whole runs: rendering, clean, ingest, curate and the stream."""
 
 import json
+import os
 
 import pytest
 from conftest import KEYS
@@ -274,6 +275,22 @@ def test_stream_cleans_new_files_once(spark, tmp_path, raw_post):
     text = "".join(shards(spark, store).values())
     assert text == "".join(RENDERED.replace("ID: p1\n", f"ID: p{i}\n") for i in range(4))
     assert len(shards(spark, store)) > 1
+    # A crash before the stream's commit: the last micro-batch is replayed.
+    after = shards(spark, store)
+    os.remove(max((tmp_path / "ckpt" / "commits").glob("[0-9]*")))
+    for crc in (tmp_path / "ckpt" / "commits").glob(".*.crc"):
+        os.remove(crc)
+    run()
+    assert shards(spark, store) == after
+    # A run of another kind on the same store takes a number of its own.
+    other = tmp_path / "other"
+    other.mkdir()
+    put(other, "posts_batch_0009.json", [post(4)])
+    clean_folder(spark, str(other), store, budget)
+    put(raw, "posts_batch_0010.json", [post(5)])
+    run()
+    text = "".join(shards(spark, store).values())
+    assert text == "".join(RENDERED.replace("ID: p1\n", f"ID: p{i}\n") for i in range(6))
 
 
 def test_stream_dedup(spark, tmp_path):

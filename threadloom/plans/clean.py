@@ -34,7 +34,7 @@ from threadloom.sources.batches import (
     pending_files,
     read_files,
 )
-from threadloom.sources.ledgers import PROCESSED, SHARDS, append_ledger, read_ledger
+from threadloom.sources.ledgers import PROCESSED, RUNS, SHARDS, append_ledger, read_ledger
 from threadloom.sources.shards import write_shards
 
 COMMENTS = (
@@ -65,6 +65,32 @@ class CleanStore:
     def shards(self) -> str:
         return f"{self.root}/ledgers/shards"
 
+    @property
+    def runs(self) -> str:
+        return f"{self.root}/ledgers/runs"
+
+
+def next_run(spark: SparkSession, store: CleanStore) -> int:
+    """The first run number that no finished or reserved run has."""
+    finished = read_ledger(spark, store.shards, SHARDS).select("run_no")
+    reserved = read_ledger(spark, store.runs, RUNS).select("run_no")
+    runs = finished.union(reserved)
+    return runs.agg(F.coalesce(F.max("run_no"), F.lit(0)) + 1).first()[0]
+
+
+def reserve_run(spark: SparkSession, store: CleanStore, source: str) -> int:
+    """The run number of ``source``: the one it got before, or a new one.
+
+    Work that may be replayed thus replaces its own output, and no other.
+    """
+    runs = read_ledger(spark, store.runs, RUNS)
+    known = runs.filter(F.col("source") == source).agg(F.min("run_no")).first()[0]
+    if known is not None:
+        return known
+    run_no = next_run(spark, store)
+    append_ledger(spark.createDataFrame([(source, run_no)], RUNS), store.runs)
+    return run_no
+
 
 def pack_batches(
     posts: DataFrame,
@@ -83,7 +109,7 @@ def pack_batches(
     spark = posts.sparkSession
     ledger = read_ledger(spark, store.shards, SHARDS)
     if run_no is None:
-        run_no = ledger.agg(F.coalesce(F.max("run_no"), F.lit(0)) + 1).first()[0]
+        run_no = next_run(spark, store)
     before = ledger.filter(F.col("run_no") < run_no)
     shard = resume_shard(before, budget)
 

@@ -14,6 +14,7 @@ from threadloom.sources.batches import JSON_LIMITS, path_exists
 SEEN = "id string"
 PROCESSED = "file_name string"
 SHARDS = "run_no long, file_no long, posts long, bytes long, words long"
+RUNS = "source string, run_no long"
 RUN_STATE = "total_posts long, last_run timestamp"
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from threadloom.operators.shards import Budget
-from threadloom.plans.clean import CleanStore, clean_nodes, pack_batches
+from threadloom.plans.clean import CleanStore, clean_nodes, pack_batches, reserve_run
 from threadloom.session import materialize
 from threadloom.sources.batches import (
     BATCH_GLOB,
@@ -42,8 +42,8 @@ def clean_stream(
     """Clean the files that are new since the last start, then stop.
 
     The stream's checkpoint remembers the files. Open shard and budgets carry
-    over in the shard ledger, keyed by the micro-batch number, so a replayed
-    micro-batch starts from the same shard and replaces its own output.
+    over in the shard ledger. A micro-batch reserves a run number under its own
+    name, so a replayed one starts from the same shard and replaces its output.
     """
 
     def run(files: DataFrame, batch_id: int) -> None:
@@ -51,7 +51,8 @@ def clean_stream(
         if files.isEmpty():
             return
         nodes = flat_nodes(parse_batches(files), clean_nodes)
-        pack_batches(flat_posts(nodes), flat_comments(nodes), files, store, budget, batch_id + 1)
+        run_no = reserve_run(spark, store, f"{checkpoint}#{batch_id}")
+        pack_batches(flat_posts(nodes), flat_comments(nodes), files, store, budget, run_no)
 
     return (
         stream_files(spark, raw_root, files_per_trigger)
