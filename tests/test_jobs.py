@@ -11,7 +11,7 @@ from test_sources import put, shard_text
 from threadloom.operators.render import render_segments
 from threadloom.operators.shards import Budget
 from threadloom.plans.adopt import adopt_clean, adopt_raw
-from threadloom.plans.clean import CleanStore, clean_folder, clean_nodes
+from threadloom.plans.clean import CleanStore, clean_folder, clean_nodes, clean_store
 from threadloom.plans.curate import Source, curate
 from threadloom.plans.ingest import RawStore, ingest
 from threadloom.plans.reports import store_stats
@@ -208,6 +208,24 @@ def test_ingest_counts_what_it_meets(spark, tmp_path):
     assert depths[0] == 1
 
 
+def test_a_run_cut_short_leaves_nothing_behind(spark, tmp_path, monkeypatch):
+    rows, comments = forum(spark, 3)
+    raw, clean = RawStore(str(tmp_path / "raw")), CleanStore(str(tmp_path / "clean"))
+
+    def cut(*args):
+        raise RuntimeError("cut")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("threadloom.plans.ingest.append_ledger", cut)
+        with pytest.raises(RuntimeError):
+            ingest(rows, comments, raw, SITE, "eng", 0, 2)
+    assert tuple(clean_store(spark, raw, clean).first()) == (0, 0, 0)
+    assert ingest(rows, comments, raw, SITE, "eng", 0, 2).first().new_posts == 3
+    assert tuple(clean_store(spark, raw, clean).first()) == (3, 2, 1)
+    text = shards(spark, clean)[1]
+    assert text.count("POST ID") == 3 and text.count("COMMENT ID") == 9
+
+
 def test_curate_takes_cleans_and_reports(spark, tmp_path):
     rows, comments = forum(spark, 3)
     raw, clean = RawStore(str(tmp_path / "raw")), CleanStore(str(tmp_path / "clean"))

@@ -27,6 +27,7 @@ from threadloom.sources.batches import (
     write_flat,
 )
 from threadloom.sources.ledgers import (
+    PROCESSED,
     RUN_STATE,
     SEEN,
     append_ledger,
@@ -53,6 +54,10 @@ class RawStore:
     def comments(self) -> str:
         return f"{self.root}/comments"
 
+    @property
+    def batches(self) -> str:
+        return f"{self.root}/ledgers/batches"
+
     @property
     def seen(self) -> str:
         return f"{self.root}/ledgers/seen"
@@ -72,10 +77,15 @@ def new_posts(
 
 
 def stored_batches(spark: SparkSession, store: RawStore) -> DataFrame:
-    """(file_name) of the batches in the store, one row each."""
+    """(file_name) of the batches whose posts and comments are all written."""
+    return read_ledger(spark, store.batches, PROCESSED).distinct()
+
+
+def used_names(spark: SparkSession, store: RawStore) -> DataFrame:
+    """(file_name) of all batches with posts, also those of a run cut short."""
     if not path_exists(spark, store.posts):
-        return spark.createDataFrame([], "file_name string")
-    return spark.read.parquet(store.posts).select("file_name").distinct()
+        return spark.createDataFrame([], PROCESSED)
+    return spark.read.parquet(store.posts).select("file_name")
 
 
 def ingest(
@@ -91,15 +101,15 @@ def ingest(
     """Take new posts and their threads into ``store``; one row of counts.
 
     ``rows`` are listing rows, ``comments`` name their ``post_id``, ``parent_id``
-    and ``pos``. Data is written before the ledgers: after a crash in between,
-    the next run takes the same posts again instead of losing them.
+    and ``pos``. Data is written before the ledgers. What a run cut short has
+    written is never read, and the next run takes the same posts again.
     """
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
     spark = rows.sparkSession
     seen = read_ledger(spark, store.seen, SEEN)
     prior = latest_state(read_ledger(spark, store.state, RUN_STATE)).first()["total_posts"]
-    first_batch = next_batch_number(stored_batches(spark, store)).first()["next_batch"]
+    first_batch = next_batch_number(used_names(spark, store)).first()["next_batch"]
     taken = materialize(new_posts(rows, seen, limit, batch_size, first_batch))
     # The ledger below changes what is new, so the counts are fixed first.
     counts = materialize(ingest_counts(classify(rows_met(rows, taken, limit), seen), prior))
@@ -114,6 +124,7 @@ def ingest(
     flat = normalise_comments(placed, site_root, (*KEYS, "path", "depth"))
     write_flat(flat.select("*", scraped), store.comments)
 
+    append_ledger(taken.select("file_name").distinct(), store.batches)
     append_ledger(taken.select("id"), store.seen)
     state = counts.select("total_posts", F.current_timestamp().alias("last_run"))
     append_ledger(state, store.state)
