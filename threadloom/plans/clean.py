@@ -102,9 +102,10 @@ def pack_batches(
 ) -> DataFrame:
     """Pack cleaned posts and comments of the batches ``files`` into shards.
 
-    Both are read several times and are expected to be materialised. Returns one row: posts written, files processed and the shards they went
-    to. The shard text is written first, then the shard ledger, then the
-    processed files. A run that is repeated with its number replaces itself.
+    Both are read several times and are expected to be materialised. Returns
+    one row: posts written, files processed and the shards they went to. The
+    shard text is written first, then the shard ledger, then the processed
+    files. A run that is repeated with its number replaces itself.
     """
     spark = posts.sparkSession
     ledger = read_ledger(spark, store.shards, SHARDS)
@@ -119,7 +120,8 @@ def pack_batches(
     write_shards(attach_shards(segments, shard_ranges(placed)), store.text, run_no)
 
     shards = materialize(shard_summary(placed, KEYS))
-    entry = shards.select(F.lit(run_no).cast("bigint").alias("run_no"), "file_no", "posts", "bytes", "words")
+    run = F.lit(run_no).cast("bigint").alias("run_no")
+    entry = shards.select(run, "file_no", "posts", "bytes", "words")
     if ledger.filter(F.col("run_no") == run_no).isEmpty():
         append_ledger(entry, store.shards)
     append_ledger(files.select("file_name").distinct(), store.processed)
