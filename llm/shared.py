@@ -78,3 +78,14 @@ def numbered(
         .withColumn(name, F.col("_before") + F.col("_place"))
         .drop("_bucket", "_place", "_before")
     )
+
+
+def per_worker(name: str, make):
+    """An object that lives as long as the Python worker, so later tasks find it warm."""
+    import sys
+    import types
+
+    home = sys.modules.setdefault("_llm_worker", types.ModuleType("_llm_worker"))
+    if not hasattr(home, name):
+        setattr(home, name, make())
+    return getattr(home, name)
