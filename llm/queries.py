@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from llm.jaccard_join import jaccard_components
+from llm.packing import default_tokenizer, pack_documents
+from llm.shard_tree import layout, shard_documents
+from llm.url_filter import RULES, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,7 +25,37 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+URL_RULES = [
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+]
+SHARDS = 40
+
+
+@_query
+def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Per page: host and path of its url, the rule that wins and the verdict."""
+    rules = spark.createDataFrame(URL_RULES, RULES)
+    judged = judge_urls(_table(spark, folder, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @_query
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: its shingles and the smallest document its links reach."""
     return jaccard_components(_table(spark, folder, "documents"))
+
+
+@_query
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: shard and slot, and its shard among one more."""
+    return shard_documents(_table(spark, folder, "documents"), layout(SHARDS))
+
+
+@_query
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Per piece of a document: its sequence and its place there."""
+    return pack_documents(_table(spark, folder, "documents"), default_tokenizer())
