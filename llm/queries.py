@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm.jaccard_join import jaccard_components
 from llm.packing import default_tokenizer, pack_documents
+from llm.pii import pii_digest
 from llm.shard_tree import layout, shard_documents
 from llm.url_filter import RULES, judge_urls
 
@@ -35,6 +36,12 @@ URL_RULES = [
 SHARDS = 40
 
 
+@_query
+def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: personal data found, counted and listed."""
+    return pii_digest(_table(spark, folder, "documents"))
+
+
 @_query
 def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Per page: host and path of its url, the rule that wins and the verdict."""
