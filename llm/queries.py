@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm.decontaminate import contaminated
 from llm.jaccard_join import jaccard_components
 from llm.packing import default_tokenizer, pack_documents
 from llm.pii import pii_digest
+from llm.resample import selected
 from llm.shard_tree import layout, shard_documents
 from llm.url_filter import RULES, judge_urls
 
@@ -56,12 +58,24 @@ def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(_table(spark, folder, "documents"))
 
 
+@_query
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items found in documents: the best window of each and its similarity."""
+    return contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 @_query
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: shard and slot, and its shard among one more."""
     return shard_documents(_table(spark, folder, "documents"), layout(SHARDS))
 
 
+@_query
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents selected, with their weights."""
+    return selected(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 @_query
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Per piece of a document: its sequence and its place there."""
