@@ -13,7 +13,7 @@ Both sides then agree on one of their ``d + 1`` rarest blocks (the pigeonhole
 principle under one global order, rarity). Block frequencies are counted over all
 texts; blocks that many texts share, from a common passage say, are left out first.
 
-Verify. Candidates of a block meet at its smallest member, and the exact set
+Verify. Candidates of a block meet at the member that shares most blocks, and the exact set
 similarity decides. Only blocks whose members are still in different components
 are then compared within, by parity bits (one bit per shingle; their Hamming
 distance is a lower bound as well), and again the exact similarity decides. Pairs
@@ -39,7 +39,7 @@ NUMERATOR, DENOMINATOR = 75, 100
 SLOT_ENTRIES = 400_000
 BYTES_PER_ENTRY = 9  # of text, measured on prose; only sets the number of slots
 BAND_RATIO = 2.5
-MAX_BITS = 1 << 15
+MAX_BITS = 1 << 16
 PAIRS_PER_TASK = 1500
 BLOCK = 512
 
@@ -76,9 +76,9 @@ def node_of(found: np.ndarray) -> int:
 
 
 def parity_bits(found: np.ndarray) -> bytes:
-    """One bit per shingle, XORed into about four bits a shingle."""
+    """One bit per shingle, XORed into about eight bits a shingle."""
     width = 64
-    while width < 4 * len(found) and width < MAX_BITS:
+    while width < 8 * len(found) and width < MAX_BITS:
         width *= 2
     odd = np.bincount((found >> np.uint64(20)).astype(np.int64) % width, minlength=width) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
@@ -172,7 +172,12 @@ def packed_blocks(docs: DataFrame, slots: int) -> DataFrame:
 
 
 def shared_blocks(entries: DataFrame, slots: int) -> DataFrame:
-    """Blocks that two or more sets share and how many do, packed again by node."""
+    """``(block, node, shared)``: of each set the blocks it has to be looked for in.
+
+    Blocks that two or more sets share are counted and packed again by node; a node's
+    most frequent ones go as far as its band allows. ``shared`` is the number of blocks
+    the node shares with anyone.
+    """
     shape = np.dtype([("block", "<i8"), ("node", "<i8"), ("count", "<u4"), ("spare", "<u2"), ("band", "u1")])
 
     def count(table: pa.Table) -> pa.Table:
@@ -214,10 +219,11 @@ def shared_blocks(entries: DataFrame, slots: int) -> DataFrame:
         sizes = np.diff(np.append(starts, len(row)))
         place = np.arange(len(row)) - np.repeat(starts, sizes)
         keep = place < np.repeat(sizes, sizes) - row["spare"].astype(np.int64)
-        return pa.table({"block": pa.array(row["block"][keep]), "node": pa.array(row["node"][keep])})
+        weight = np.repeat(sizes, sizes)[keep].astype(np.int32)
+        return pa.table({"block": pa.array(row["block"][keep]), "node": pa.array(row["node"][keep]), "shared": pa.array(weight)})
 
     counted = entries.groupBy("slot").applyInArrow(count, ENTRY)
-    return counted.groupBy("slot").applyInArrow(rarest, "block long, node long")
+    return counted.groupBy("slot").applyInArrow(rarest, "block long, node long, shared int")
 
 
 def shingle_table(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
@@ -347,7 +353,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     members = stage(signatures(docs), "signatures")
     filled = members.where("node IS NOT NULL")
     blocks = stage(shared_blocks(packed_blocks(docs, slots), slots), "blocks")
-    centres = blocks.groupBy("block").agg(F.min("node").alias("x"))
+    # The text that others were copied from keeps all its blocks, and is similar to more of them.
+    centres = blocks.groupBy("block").agg(F.max(F.struct("shared", "node"))["node"].alias("x"))
     first = stage(
         blocks.join(centres, "block").where("node != x").select("x", F.col("node").alias("y")).distinct(), "pairs"
     )
