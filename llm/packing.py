@@ -27,7 +27,7 @@ from llm.shared import numbered, per_worker, stage
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 2_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
@@ -40,6 +40,18 @@ def default_tokenizer() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+class _Known(dict):
+    """Word -> ids; a word that is missing is returned itself and noted."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: set[str] = set()
+
+    def __missing__(self, word: str) -> str:
+        self.new.add(word)
+        return word
+
+
 class WordTokenizer:
     """Token ids of texts, as little-endian 32-bit bytes.
 
@@ -53,6 +65,7 @@ class WordTokenizer:
     # vocabulary's own pre-tokens, on ASCII text. Fixed values of its file.
     _ASCII_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
     _ODD_SPACE = re.compile("[\x1c-\x1f]")
+    _SIGNS = ",.;:!?*$&%#|)\"-"
     _MARK = "一"
 
     def __init__(self, path: str) -> None:
@@ -68,7 +81,7 @@ class WordTokenizer:
         self._closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self._closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._mark = np.array(self._encode(self._MARK), "<u4")
-        self._known: dict[str, bytes] = {}
+        self._known = _Known()
 
     def _encode(self, text: str) -> list[int]:
         return self._whole.encode(text, add_special_tokens=False).ids
@@ -78,34 +91,46 @@ class WordTokenizer:
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text."""
-        plain = [not self._ODD_SPACE.search(t) for t in texts]  # white space to Python, not to the vocabulary
-        split = [(t.lower() if t.isascii() else t).split() if ok else None for t, ok in zip(texts, plain, strict=True)]
-        for text, words in zip(texts, split, strict=True):
-            if words is None:
-                yield self._bytes(text)
+        known, waiting = self._known, []
+        for text in texts:
+            if self._ODD_SPACE.search(text):  # white space to Python, not to the vocabulary
+                waiting.append([self._bytes(text)])
                 continue
+            words = (text.lower() if text.isascii() else text).split()
+            waiting.append(list(map(known.__getitem__, words)))  # a word not known yet stands for itself
+        self._learn()
+        for parts in waiting:
             try:
-                yield b"".join(map(self._known.__getitem__, words))
-            except KeyError:
-                self._learn(split)
-                yield b"".join(map(self._known.__getitem__, words))
-
-    def _learn(self, split: list[list[str] | None]) -> None:
-        words = set().union(*(w for w in split if w))
-        if len(self._known) + len(words) > CACHED_WORDS:
-            self._known.clear()
-        new = [w for w in words if w not in self._known]
-        ascii_words = [w for w in new if w.isascii()]
+                yield b"".join(parts)
+            except TypeError:
+                yield b"".join([p if type(p) is bytes else known[p] for p in parts])
+        if len(known) > CACHED_WORDS:
+            known.clear()
+
+    def _learn(self) -> None:
+        """Encode the words met for the first time; trailing signs after letters are tokens of their own."""
+        known, new = self._known, self._known.new
+        split = {}
+        for word in new:
+            letters = word.rstrip(self._SIGNS)
+            if letters != word and letters.isalpha():
+                split[word] = (letters, word[len(letters) :])
+        whole = new.difference(split)
+        whole.update(part for parts in split.values() for part in parts if part not in known)
+        ascii_words = [w for w in whole if w.isascii()]
         for k in range(0, len(ascii_words), 4096):
             self._learn_ascii(ascii_words[k : k + 4096])
-        others = [w for w in new if not w.isascii()]
+        others = [w for w in whole if not w.isascii()]
         for k in range(0, len(others), 4096):
             self._learn_others(others[k : k + 4096])
+        known.update((word, known[letters] + known[signs]) for word, (letters, signs) in split.items())
+        new.clear()
 
     def _learn_ascii(self, words: list[str]) -> None:
         """Encode many words as one text; each pre-token closes with a closing token."""
-        ids = np.array(self._lowered.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        tokens = np.cumsum([len(self._ASCII_TOKENS.findall(w)) for w in words])
+        lowered = [w.lower() for w in words]
+        ids = np.array(self._lowered.encode(" ".join(lowered), add_special_tokens=False).ids, "<u4")
+        tokens = np.cumsum([len(self._ASCII_TOKENS.findall(w)) for w in lowered])
         closing = np.flatnonzero(self._closes[ids]) + 1
         if len(closing) != tokens[-1]:
             self._known.update((w, self._bytes(w)) for w in words)
