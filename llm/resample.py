@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from llm.shared import stage
-from llm.words import Hasher, mix
+from llm.words import Hasher, mix, pieces
 
 BUCKETS = 1 << 16
 PASSAGE = 400.0
@@ -53,10 +53,13 @@ def count_ngrams(docs: DataFrame, target_ids: np.ndarray) -> tuple[np.ndarray, n
         hasher = Hasher()
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            bucket, row = hashed_ngrams(batch.column(1), hasher)
             ids = batch.column(0).fill_null(-(1 << 62)).to_numpy(zero_copy_only=False)
-            raw += np.bincount(bucket, minlength=BUCKETS)
-            target += np.bincount(bucket[np.isin(ids, target_ids)[row]], minlength=BUCKETS)
+            wanted, at = np.isin(ids, target_ids), 0
+            for part in pieces(batch.column(1)):
+                bucket, row = hashed_ngrams(part, hasher)
+                raw += np.bincount(bucket, minlength=BUCKETS)
+                target += np.bincount(bucket[wanted[at + row]], minlength=BUCKETS)
+                at += len(part)
         cut = lambda x: pa.array([x[k * width : (k + 1) * width].tobytes() for k in range(SLICES)], pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), cut(raw), cut(target)], ["slice", "raw", "target"])
 
@@ -91,10 +94,13 @@ def _weigher(ratios: np.ndarray):
     def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         hasher = Hasher()
         for texts in batches:
-            bucket, row = hashed_ngrams(pa.array(texts, pa.string(), from_pandas=True), hasher)
-            n = np.bincount(row, minlength=len(texts))
-            total = np.bincount(row, weights=ratios[bucket], minlength=len(texts))
-            yield pd.Series(np.where(n > 0, PASSAGE * total / np.maximum(n, 1), -np.inf))
+            weights = []
+            for part in pieces(pa.array(texts, pa.string(), from_pandas=True)):
+                bucket, row = hashed_ngrams(part, hasher)
+                n = np.bincount(row, minlength=len(part))
+                total = np.bincount(row, weights=ratios[bucket], minlength=len(part))
+                weights.append(np.where(n > 0, PASSAGE * total / np.maximum(n, 1), -np.inf))
+            yield pd.Series(np.concatenate(weights) if weights else np.zeros(0))
 
     return weigh
 

@@ -140,6 +140,13 @@ def shingles(hashes: np.ndarray, width: int = SHINGLE) -> np.ndarray:
 
 def shingle_sets(column: pa.Array, hasher: Hasher) -> Iterator[np.ndarray]:
     """The sorted distinct shingles of each row's text."""
-    flat, bounds = hasher.words(column)
-    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-        yield np.unique(shingles(flat[lo:hi]))
+    for part in pieces(column):
+        flat, bounds = hasher.words(part)
+        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+            yield np.unique(shingles(flat[lo:hi]))
+
+
+def pieces(column: pa.Array, rows: int = 1000) -> Iterator[pa.Array]:
+    """``column`` a few rows at a time, so that arrays per word stay small."""
+    for at in range(0, len(column), rows):
+        yield column.slice(at, rows)
