@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm.bilinear import score_texts
 from llm.decontaminate import contaminated
 from llm.jaccard_join import jaccard_components
 from llm.packing import default_tokenizer, pack_documents
@@ -70,6 +71,12 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(_table(spark, folder, "documents"), layout(SHARDS))
 
 
+@_query
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: its log10 probability under a unigram base and under the trained model."""
+    return score_texts(_table(spark, folder, "documents"))
+
+
 @_query
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """The documents selected, with their weights."""
