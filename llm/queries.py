@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from llm.bilinear import score_texts
 from llm.decontaminate import contaminated
+from llm.hnsw import near_vectors
 from llm.jaccard_join import jaccard_components
 from llm.packing import default_tokenizer, pack_documents
 from llm.pii import pii_digest
@@ -77,6 +78,12 @@ def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(_table(spark, folder, "documents"))
 
 
+@_query
+def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Per vector: its links, its component, and whether it is the one to keep."""
+    return near_vectors(_table(spark, folder, "embeddings"))
+
+
 @_query
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """The documents selected, with their weights."""
