@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from llm.bilinear import score_texts
 from llm.decontaminate import contaminated
 from llm.hnsw import near_vectors
+from llm.html_extract import extract
 from llm.jaccard_join import jaccard_components
 from llm.packing import default_tokenizer, pack_documents
 from llm.pii import pii_digest
@@ -60,6 +61,12 @@ def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(_table(spark, folder, "documents"))
 
 
+@_query
+def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Per page: its main text."""
+    return extract(_table(spark, folder, "pages"))
+
+
 @_query
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items found in documents: the best window of each and its similarity."""
