@@ -355,12 +355,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     blocks = stage(shared_blocks(packed_blocks(docs, slots), slots), "blocks")
     # The text that others were copied from keeps all its blocks, and is similar to more of them.
     centres = blocks.groupBy("block").agg(F.max(F.struct("shared", "node"))["node"].alias("x"))
-    first = stage(
-        blocks.join(centres, "block").where("node != x").select("x", F.col("node").alias("y")).distinct(), "pairs"
-    )
+    # A centre meets all others of its block here, so only the others are compared later.
+    others = stage(blocks.join(centres, "block").where("node != x").select("block", "x", F.col("node").alias("y")), "blocks")
+    first = stage(others.select("x", "y").distinct(), "pairs")
     links = verified(first, docs, filled)
     roots = stage(_roots(links), "roots")
-    second = stage(pairs_within(blocks, filled, roots).join(first, ["x", "y"], "left_anti"), "pairs")
+    second = stage(pairs_within(others.select("block", F.col("y").alias("node")), filled, roots).join(first, ["x", "y"], "left_anti"), "pairs")
     more = verified(second, docs, filled)
     if more.head(1):
         roots = stage(_roots(links.union(more)), "roots")
