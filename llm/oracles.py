@@ -3,3 +3,79 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op2_url_filters"] = r"""
+WITH parts AS (
+  SELECT page_id,
+         CASE WHEN strpos(url, '://') > 0 THEN substring(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), named AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path
+  FROM parts
+), rules(rule, host, start, verdict) AS (
+  VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+         ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'),
+         ('com/de/', 'com', '/de/', 'block')
+), ranked AS (
+  SELECT n.page_id, n.host, n.path, r.rule, r.verdict,
+         row_number() OVER (PARTITION BY n.page_id ORDER BY length(r.host) DESC NULLS LAST, length(r.start) DESC) AS place
+  FROM named n LEFT JOIN rules r
+    ON (n.host = r.host OR ends_with(n.host, '.' || r.host)) AND starts_with(n.path, r.start)
+)
+SELECT page_id, host, path, rule,
+       coalesce(verdict, CASE WHEN host = '' THEN 'block' ELSE 'allow' END) AS verdict
+FROM ranked WHERE place = 1
+"""
+
+_REACH = """
+, reach(a, b) AS (
+  SELECT a, b FROM linked UNION SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a
+), least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+"""
+
+ORACLES["op3_ngram_jaccard_join"] = (
+    r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+           ELSE list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), linked AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * shared.n >= 75 * (p.n + q.n - shared.n)
+)"""
+    + _REACH
+    + """
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(l.b, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.a = d.doc_id
+"""
+)
+
+ORACLES["op8_embedding_near_dedup"] = (
+    """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), linked AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y
+    ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.9
+)"""
+    + _REACH
+    + """, counts AS (SELECT a, count(*) AS n FROM linked GROUP BY a)
+SELECT v.vec_id, coalesce(c.n, 0) AS n_links, least(v.vec_id, coalesce(l.b, v.vec_id)) AS component_id,
+       least(v.vec_id, coalesce(l.b, v.vec_id)) = v.vec_id AS kept
+FROM embeddings v LEFT JOIN counts c ON c.a = v.vec_id LEFT JOIN least l ON l.a = v.vec_id
+"""
+)
