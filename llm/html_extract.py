@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame, functions as F
 from llm.labelled_pages import Page
 
 #: Labelled pages the field is trained on.
-TRAINING_PAGES = 700
-STEPS = 160
-RATE = 0.3
-DECAY = 2e-4
+TRAINING_PAGES = 800
+STEPS = 300
+RATE = 0.4
+DECAY = 5e-5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|</[^>]*(?:>|\Z)",
@@ -173,6 +173,9 @@ def features(blocks: list[Block]) -> list[list[str]]:
                 found.add(f"named={name}")
         for name in " ".join(block.names).split():
             found.add(f"named={name}")
+        boxes = [names for tag, names in block.path if names and tag != "p"]
+        for name in boxes[-1].split() if boxes else ["none"]:
+            found.add(f"box={name}")
         if not {"article", "main"}.intersection(tags):
             found.add("loose")
         if block.text[-1] in ".!?:;…":

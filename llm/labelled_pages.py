@@ -57,7 +57,7 @@ class Page:
         tag = own if r.random() < 0.5 else r.choice(["div", "div", "section"])
         attributes = "" if tag in ("nav", "header", "footer", "aside", "form") and r.random() < 0.6 else " " + self._name(_ASIDE[kind])
         self.html += f"<{tag}{attributes}>"
-        if kind in ("menu", "sidebar", "share") and r.random() < 0.75:
+        if kind in ("menu", "sidebar", "share") and r.random() < 0.55:
             if r.random() < 0.4:
                 self._block("h3", self._words(1, 3, ""), 0)
             self.html += "<ul>"
@@ -89,18 +89,18 @@ class Page:
             self._block("h1", self._words(2, 10, ""), 1)
         for _ in range(r.randint(1, 14)):
             pick = r.random()
-            if pick < 0.7:
+            if pick < 0.62:
                 self._block("p", self._words(1, 8) if r.random() < 0.2 else self._words(8, 110), 1, r.choice(["{}"] * 4 + ["<b>{}</b>", "{} <a href=y></a>"]))
-            elif pick < 0.78:
+            elif pick < 0.7:
                 self._block(r.choice(["h2", "h3"]), self._words(1, 7, ""), 1)
-            elif pick < 0.86:
+            elif pick < 0.76:
                 self.html += "<ul>"
                 for _ in range(r.randint(2, 5)):
                     self._block("li", self._words(2, 25), 1)
                 self.html += "</ul>"
-            elif pick < 0.92:
+            elif pick < 0.82:
                 self._block(r.choice(["blockquote", "pre", "div", "td", "figcaption"]), self._words(3, 50), 1)
-            elif pick < 0.97:
+            elif pick < 0.94:
                 self._aside(r.choice(["advert", "share", "notice", "sidebar", "form", "menu"]))
 
     def _page(self) -> None:
