@@ -27,7 +27,7 @@ from llm.shared import numbered, per_worker, stage
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 2_000_000
+CACHED_WORDS = 600_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
@@ -169,7 +169,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
             rows: list[tuple] = []
             ids = batch.column(0).to_pylist()
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            step = 512
+            step = 256
             for k in range(0, len(texts), step):
                 for doc_id, data in zip(ids[k : k + step], tokenizer.texts(texts[k : k + step]), strict=True):
                     data += end
