@@ -383,10 +383,9 @@ def _roots(links: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` without near copies: of each component the row of its smallest id.
 
-    All columns are kept. Of rows repeated under one id, one stays. A row whose id is
-    null stays only if no text with an id is like it.
+    All columns are kept. Of rows repeated under one id, one stays. Rows without an id
+    go: none of them can be named as the one that stays.
     """
     found = jaccard_components(docs)
-    kept = stage(found.where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    key = F.col("doc_id").cast("long")
-    return docs.join(kept, key == kept["doc_id"], "left_semi").dropDuplicates(["doc_id"])
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(stage(kept, "kept"), F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
