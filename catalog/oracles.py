@@ -169,8 +169,7 @@ def _listing(rank: int, label: str, order: str, days: int | None = None) -> str:
     since = f"WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL {days} DAY" if days else ""
     return f"""
 SELECT '{label}' AS listing, {rank} AS listing_rank,
-       row_number() OVER (ORDER BY {order}) AS pos, event_id FROM events {since}
-QUALIFY pos <= 1000"""
+       row_number() OVER (ORDER BY {order}) AS pos, event_id FROM events {since}"""
 
 
 _BEST = "value DESC, event_id"

@@ -65,15 +65,21 @@ from threadloom.operators.threads import (
 from threadloom.plans.clean import clean_summary
 from threadloom.plans.reports import clean_stats, run_summary
 from threadloom.sources.batches import next_batch_number, pending_files
-from threadloom.session import materialize, spread
+from threadloom.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the few row groups of a test table out to all cores."""
+    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism)
+
+
 TABLES = ("documents", "pages", "conversations", "events", "labels")
 SITE = "https://forum.example"
-COMMUNITY = "engineering"
+COMMUNITY = "gardening"
 ENTITY_PREFIX = "&#150;&notit;&amp;lt;&#x1F600;&bogus;"
 LIMIT = 500
 BATCH_SIZE = 50

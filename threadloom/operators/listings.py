@@ -13,20 +13,17 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from threadloom.operators.ordering import with_global_index
 
 logger = logging.getLogger(__name__)
 
 ORDER = ("listing_rank", "pos")
-# Up to this many rows are numbered with one sort; beyond it, chunk by chunk.
-ONE_SORT_ROWS = 1_000_000
 
-# The listings walked, in order, and the items each one shows.
+# The listings walked, in order.
 SORTS = ("hot", "new", "top")
 TOP_RANGES = ("day", "week", "month", "year", "all")
-LISTING_ITEMS = 1000
 
 
 @dataclass(frozen=True)
@@ -57,18 +54,17 @@ def listing_union(
     posts: DataFrame,
     sorts: dict[str, Sort],
     names: Sequence[str] = SORTS,
-    items: int = LISTING_ITEMS,
+    items: int = 0,
 ) -> DataFrame:
-    """The top ``items`` of every listing, with its rank and the position in it."""
+    """Every listing, with its rank and the position in it; only the top ``items`` if given."""
     parts = []
     for rank, (label, keep, order) in enumerate(expand_sorts(names, sorts)):
         rows = posts if keep is None else posts.filter(keep)
-        # Top-k per partition first; the window then sees at most ``items`` rows.
-        top = rows.orderBy(*order).limit(items)
-        pos = F.row_number().over(Window.orderBy(*order)).cast("bigint")
+        numbered = with_global_index(rows, order, "pos")
+        if items > 0:
+            numbered = numbered.filter(F.col("pos") <= items)
         parts.append(
-            top.withColumn("pos", pos)
-            .withColumn("listing", F.lit(label))
+            numbered.withColumn("listing", F.lit(label))
             .withColumn("listing_rank", F.lit(rank))
         )
     return reduce(DataFrame.unionByName, parts)
@@ -105,9 +101,6 @@ def seen_union(*parts: DataFrame) -> DataFrame:
 
 def number_new(new: DataFrame, limit: int = 0) -> DataFrame:
     """Give new posts their number ``n`` in order; stop after ``limit`` (0: all)."""
-    if 0 < limit <= ONE_SORT_ROWS:
-        kept = new.orderBy(*ORDER).limit(limit)
-        return kept.withColumn("n", F.row_number().over(Window.orderBy(*ORDER)).cast("bigint"))
     numbered = with_global_index(new, ORDER, "n")
     return numbered.filter(F.col("n") <= limit) if limit > 0 else numbered
 

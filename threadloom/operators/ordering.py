@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from threadloom.session import materialize
 
 
-def range_chunks(df: DataFrame, order: Sequence[str], chunks: int, name: str) -> DataFrame:
+def range_chunks(df: DataFrame, order: Sequence[str | Column], chunks: int, name: str) -> DataFrame:
     """Cut ``df`` into ordered chunks of similar size and keep the cut.
 
     Chunk numbers follow the order of the rows. They are written to the
@@ -22,7 +22,7 @@ def range_chunks(df: DataFrame, order: Sequence[str], chunks: int, name: str) ->
 
 
 def with_global_index(
-    df: DataFrame, order: Sequence[str], name: str, first: int = 1
+    df: DataFrame, order: Sequence[str | Column], name: str, first: int = 1
 ) -> DataFrame:
     """Number rows ``first``, ``first + 1``, ... along ``order``.
 

@@ -226,24 +226,22 @@ def assign_shards(
     into one shard. Texts are not touched.
     """
     slim = materialize(sizes.select(*order, "bytes", "words"))
-    chunks = max(1, -(-slim.count() // chunk_rows))
+    # Small tables are cut as well: one way of packing for every size.
+    parts = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(2, parts, -(-slim.count() // chunk_rows))
     cut = range_chunks(slim, order, chunks, "chunk").withColumn(
         "chunk", F.col("chunk").cast("bigint")
     )
     spark = sizes.sparkSession
-    if chunks == 1:
-        start = (0, shard.file_no, shard.bytes, shard.words)
-        states = spark.createDataFrame([start], STATE)
-    else:
 
-        def summarise(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(list(order))
-            return Transition.of_posts(
-                pdf["bytes"].to_numpy(), pdf["words"].to_numpy(), budget
-            ).row(key[0])
+    def summarise(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(list(order))
+        return Transition.of_posts(
+            pdf["bytes"].to_numpy(), pdf["words"].to_numpy(), budget
+        ).row(key[0])
 
-        transitions = materialize(cut.groupBy("chunk").applyInPandas(summarise, Transition.SCHEMA))
-        states = _entry_states(transitions, chunks, shard, budget, fan_in)
+    transitions = materialize(cut.groupBy("chunk").applyInPandas(summarise, Transition.SCHEMA))
+    states = _entry_states(transitions, chunks, shard, budget, fan_in)
 
     def place(key: tuple, posts: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
         posts = posts.sort_values(list(order))

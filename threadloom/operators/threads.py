@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from threadloom.session import materialize
 
-# Fixed value: how many levels of replies are followed by default.
-MAX_DEPTH = 10
 # Sorts after every sibling position.
 AFTER_ALL = 2**31 - 1
 
@@ -24,46 +22,76 @@ def depth_of(path: Column) -> Column:
     return (F.size(path) - 1).cast("int")
 
 
-def flatten_adjacency(
-    comments: DataFrame, keys: Sequence[str], max_depth: int = MAX_DEPTH
-) -> DataFrame:
-    """(keys, comment_id, path) from rows that name their parent.
+def _placed(comments: DataFrame, keys: Sequence[str], max_depth: int | None) -> DataFrame:
+    """(keys, comment_id, parent_id, pos, path) of the rows that can be reached.
 
-    Rows need ``comment_id``, ``parent_id`` (null at the top) and ``pos`` among
-    siblings; rows with ``usable = false`` drop out with all that hangs below
-    them. One narrow join per level, stopping at the first empty level.
-    Comments at ``max_depth`` are kept, their replies are not followed.
+    Of comments that share an id, the first that is reached takes the replies
+    to that id, so every row is placed once and the walk ends.
     """
     usable = comments.filter("usable") if "usable" in comments.columns else comments
-    slim = usable.select(*keys, "comment_id", "parent_id", "pos")
+    own = ("comment_id", "parent_id", "pos")
+    slim = usable.select(*keys, *own).distinct()
     here = F.col("pos").cast("int")
-    level = slim.filter(F.col("parent_id").isNull()).select(
-        *keys, "comment_id", F.array(here).alias("path")
-    )
-    if max_depth < 1:
+    top = slim.filter(F.col("parent_id").isNull())
+    level = top.select(*keys, *own, F.array(here).alias("path"))
+    if max_depth is not None and max_depth < 1:
         return level
     replies = materialize(slim.filter(F.col("parent_id").isNotNull()))
-    levels = [level]
-    for _ in range(max_depth):
-        parents = level.withColumnRenamed("comment_id", "parent_id")
+    levels, depth, used = [level], 0, None
+    while max_depth is None or depth < max_depth:
+        depth += 1
+        parents = (
+            level.filter(F.col("comment_id").isNotNull())
+            .groupBy(*keys, F.col("comment_id").alias("parent_id"))
+            .agg(F.min("path").alias("path"))
+        )
+        if used is not None:
+            parents = parents.join(used, [*keys, "parent_id"], "left_anti")
+        below = F.array_append("path", here).alias("path")
         level = materialize(
-            replies.join(parents, [*keys, "parent_id"]).select(
-                *keys, "comment_id", F.array_append("path", here).alias("path")
-            )
+            replies.join(parents, [*keys, "parent_id"]).select(*keys, *own, below)
         )
         if level.isEmpty():
             break
         levels.append(level)
+        ids = reduce(DataFrame.unionByName, levels[:-1]).select(
+            *keys, F.col("comment_id").alias("parent_id")
+        )
+        used = ids.filter(F.col("parent_id").isNotNull()).distinct()
     return reduce(DataFrame.unionByName, levels)
 
 
+def flatten_adjacency(
+    comments: DataFrame, keys: Sequence[str], max_depth: int | None = None
+) -> DataFrame:
+    """(keys, comment_id, path) from rows that name their parent.
+
+    Rows need ``comment_id``, ``parent_id`` (null at the top) and ``pos`` among
+    siblings; rows with ``usable = false`` drop out with all that hangs below
+    them. One narrow join per level, until a level is empty. If a ``max_depth``
+    is given, comments there are kept and their replies are not followed.
+    """
+    return _placed(comments, keys, max_depth).select(*keys, "comment_id", "path")
+
+
 def with_paths(
-    comments: DataFrame, keys: Sequence[str], max_depth: int = MAX_DEPTH
+    comments: DataFrame, keys: Sequence[str], max_depth: int | None = None
 ) -> DataFrame:
-    """The rows reached by ``flatten_adjacency``, with their ``path`` and ``depth``."""
-    paths = flatten_adjacency(comments, keys, max_depth)
-    return comments.join(paths, [*keys, "comment_id"]).withColumn(
-        "depth", depth_of(F.col("path"))
+    """The rows reached by ``flatten_adjacency``, with their ``path`` and ``depth``.
+
+    A row is known by its own id, its parent's and its position, so comments
+    without an id, or with a repeated one, keep their own paths.
+    """
+    own = ("comment_id", "parent_id", "pos")
+    paths = _placed(comments, keys, max_depth)
+    renamed = paths.select(*(F.col(c).alias(f"_{c}") for c in (*keys, *own)), "path")
+    same = [F.col(c) == F.col(f"_{c}") for c in keys]
+    same += [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in own]
+    usable = comments.filter("usable") if "usable" in comments.columns else comments
+    return (
+        usable.join(renamed, reduce(lambda a, b: a & b, same))
+        .drop(*(f"_{c}" for c in (*keys, *own)))
+        .withColumn("depth", depth_of(F.col("path")))
     )
 
 

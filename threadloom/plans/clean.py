@@ -22,7 +22,7 @@ from threadloom.operators.shards import (
     shard_summary,
 )
 from threadloom.plans.ingest import RawStore, stored_batches
-from threadloom.session import materialize, spread
+from threadloom.session import materialize
 from threadloom.sources.batches import (
     KEYS,
     flat_comments,
@@ -173,9 +173,9 @@ def clean_store(
     pending = materialize(pending_files(stored_batches(spark, raw), processed))
     if pending.isEmpty():
         return _nothing(spark)
-    posts = spread(spark.read.parquet(raw.posts)).join(pending, "file_name", "left_semi")
+    posts = spark.read.parquet(raw.posts).join(pending, "file_name", "left_semi")
     if path_exists(spark, raw.comments):
-        stored = spread(spark.read.parquet(raw.comments))
+        stored = spark.read.parquet(raw.comments)
         comments = stored.join(pending, "file_name", "left_semi")
     else:
         comments = spark.createDataFrame([], COMMENTS)

@@ -7,9 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from threadloom.operators.shards import Budget
-from threadloom.operators.threads import MAX_DEPTH
 from threadloom.plans.clean import CleanStore, clean_store
-from threadloom.plans.ingest import DEFAULT_BATCH_SIZE, DEFAULT_LIMIT, RawStore, ingest
+from threadloom.plans.ingest import DEFAULT_BATCH_SIZE, RawStore, ingest
 from threadloom.plans.reports import store_summary
 
 
@@ -28,9 +27,9 @@ def curate(
     clean: CleanStore,
     community: str,
     source: Source | None = None,
-    limit: int = DEFAULT_LIMIT,
+    limit: int = 0,
     batch_size: int = DEFAULT_BATCH_SIZE,
-    max_depth: int = MAX_DEPTH,
+    max_depth: int | None = None,
     budget: Budget = Budget(),
     cleaning: bool = True,
 ) -> DataFrame:

@@ -17,7 +17,7 @@ from threadloom.operators.listings import (
     rows_met,
 )
 from threadloom.operators.records import normalise_comments, normalise_posts
-from threadloom.operators.threads import MAX_DEPTH, with_paths
+from threadloom.operators.threads import with_paths
 from threadloom.session import materialize
 from threadloom.sources.batches import (
     KEYS,
@@ -35,8 +35,7 @@ from threadloom.sources.ledgers import (
     read_ledger,
 )
 
-# Posts taken per run and posts per batch.
-DEFAULT_LIMIT = 500
+# Fixed value: posts per batch.
 DEFAULT_BATCH_SIZE = 50
 
 
@@ -94,14 +93,15 @@ def ingest(
     store: RawStore,
     site_root: str,
     community: str,
-    limit: int = DEFAULT_LIMIT,
+    limit: int = 0,
     batch_size: int = DEFAULT_BATCH_SIZE,
-    max_depth: int = MAX_DEPTH,
+    max_depth: int | None = None,
 ) -> DataFrame:
     """Take new posts and their threads into ``store``; one row of counts.
 
     ``rows`` are listing rows, ``comments`` name their ``post_id``, ``parent_id``
-    and ``pos``. Data is written before the ledgers. What a run cut short has
+    and ``pos``. All new posts and all levels of replies are taken unless a
+    ``limit`` or a ``max_depth`` is given. Data is written before the ledgers. What a run cut short has
     written is never read, and the next run takes the same posts again.
     """
     if batch_size < 1:

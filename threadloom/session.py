@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -34,15 +32,13 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; make one only for local runs."""
+    """Use the cluster's shared checkpoint folder, or else one in the shared warehouse."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="threadloom-checkpoint-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     context.setCheckpointDir(folder)
 
 
@@ -54,17 +50,3 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a small scan out to all cores.
-
-    A file with one row group is one task, however costly its rows are to work
-    on. A scan with at least as many tasks as cores is left alone, so large
-    inputs are never shuffled. Meant for plain scans, whose number of tasks is
-    known without running anything.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores)
