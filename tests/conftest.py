@@ -29,34 +29,25 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+def reply(name, body, *replies, author="ann", score=0, **more):
+    """A comment as a batch file holds it."""
+    day = {"created_date": "2021-12-31T23:59:59"}
+    own = {"id": name, "author": author, "body": body, "upvotes": score, "is_submitter": False}
+    return {**own, **day, "replies": list(replies), **more}
+
+
 @pytest.fixture
 def raw_post():
-    """A raw post as a batch file holds it."""
-    reply = {
-        "id": "c1",
-        "author": "asker",
-        "body": "Even in winter???",
-        "created_date": "2024-02-03T09:30:00",
-        "upvotes": 5,
-        "is_submitter": True,
-        "replies": [],
-    }
-    top = {
-        "id": "t1",
-        "author": "builder",
-        "body": "Take the second table!!!",
-        "created_date": "2024-02-03T08:15:00",
-        "upvotes": 11,
-        "is_submitter": False,
-        "replies": [reply],
-    }
+    """Two threads: one three levels deep through a comment without text, and one with nothing below."""
+    deep = reply("k3", "~~Straw~~ wool", author="moss", is_submitter=True)
+    first = reply("k1", "1 < 2 &lt; 3", reply("k2", "", deep), reply("k4", "  "), score=-4)
     return {
-        "id": "p1",
-        "title": "Which **load** table fits?",
-        "text": "Compare [both tables](https://example.org/loads) by /u/surveyor.",
-        "author": "asker",
-        "created_date": "2024-02-03T07:00:01",
-        "upvotes": 17,
-        "num_comments": 2,
-        "comments": [top],
+        "id": "q7",
+        "title": "Hives & *frost*",
+        "text": "# Box A\n\n\n\n\n- feed......",
+        "author": "moss",
+        "created_date": "2021-12-01T00:00:00",
+        "upvotes": -2,
+        "num_comments": 9,
+        "comments": [first, reply("k5", "No", author="cy")],
     }

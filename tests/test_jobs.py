@@ -21,40 +21,45 @@ from threadloom.streaming.incremental import clean_stream, dedup_stream
 
 SITE = "https://forum.example"
 RULE, THIN = "=" * 100, "-" * 100
-RENDERED = f"""{RULE}
-POST ID: p1
-AUTHOR: asker
-DATE: 2024-02-03T07:00:01
-UPVOTES: 17
-TOTAL COMMENTS: 2
-SCRAPED COMMENTS: 2
+HEAD = f"""{RULE}
+POST ID: q7
+AUTHOR: moss
+DATE: 2021-12-01T00:00:00
+UPVOTES: -2
+TOTAL COMMENTS: 9
+SCRAPED COMMENTS: 5
 {THIN}
-TITLE: Which load table fits?
+TITLE: Hives & frost
 
 POST CONTENT:
-Compare both tables by .
+# Box A
 
-COMMENTS:
-{RULE}
-+- COMMENT ID: t1
-|  AUTHOR: builder
-|  DATE: 2024-02-03T08:15:00
-|  UPVOTES: 11
-+-
-  Take the second table!
-
-  +- COMMENT ID: c1
-  |  AUTHOR: asker (OP)
-  |  DATE: 2024-02-03T09:30:00
-  |  UPVOTES: 5
-  +-
-    Even in winter?
+feed...
 
-{RULE}
+COMMENTS:
 {RULE}
 """
 
 
+def block(indent, name, author, score, text):
+    """One comment as it is rendered, ``indent`` levels down."""
+    lines = [f"+- COMMENT ID: {name}", f"|  AUTHOR: {author}", "|  DATE: 2021-12-31T23:59:59"]
+    lines += [f"|  UPVOTES: {score}", "+-", f"  {text}"]
+    return "".join(f"{'  ' * indent}{line}\n" for line in lines) + "\n"
+
+
+RENDERED = "".join(
+    [
+        HEAD,
+        block(0, "k1", "ann", -4, "1 < 2 < 3"),
+        block(1, "k2", "ann", 0, "[removed]"),
+        block(2, "k3", "moss (OP)", 0, "Straw wool"),
+        block(0, "k5", "cy", 0, "No"),
+        f"{RULE}\n{RULE}\n",
+    ]
+)
+
+
 def rendered(spark, tmp_path, posts):
     put(tmp_path, "x.json", posts)
     files = B.read_files(spark, B.list_batches(spark, str(tmp_path)))
@@ -116,7 +121,7 @@ def test_clean_run_is_idempotent(spark, tmp_path, raw_post):
     # A later batch goes on in the open shard.
     put(raw, "posts_batch_0003.json", [{**raw_post, "id": "p9"}])
     assert tuple(clean_folder(spark, str(raw), store).first()) == (1, 1, 1)
-    assert shards(spark, store) == {1: RENDERED + RENDERED.replace("ID: p1", "ID: p9")}
+    assert shards(spark, store) == {1: RENDERED + RENDERED.replace("ID: q7", "ID: p9")}
 
 
 @pytest.mark.parametrize(
@@ -131,7 +136,7 @@ def test_rotation_loses_nothing(spark, tmp_path, raw_post, budget, count):
     summary = clean_folder(spark, str(raw), store, budget).first()
     assert summary.posts_written == count
     texts = shards(spark, store)
-    expected = [RENDERED.replace("ID: p1\n", f"ID: p{i}\n") for i in range(count)]
+    expected = [RENDERED.replace("ID: q7\n", f"ID: p{i}\n") for i in range(count)]
     assert "".join(texts.values()) == "".join(expected)
     assert (len(texts) > 1) == (count > 1)
     for text in texts.values():
@@ -151,17 +156,19 @@ COMMENTS = (
 
 def forum(spark, count, listings=7):
     posts = [
-        (rank, pos, f"p{pos}", "Load tables", "Which one?", "asker", 1.7e9, 10, f"/c/p{pos}", True)
+        (rank, pos, f"p{pos}", "Wax", "", "moss", 86400.5, -1, f"/w/{pos}", True)
         for rank in range(listings)
         for pos in range(count)
     ]
     comments = [
-        (f"p{i}", name + str(i), parent and parent + str(i), 0, body, author, 3, 1.7e9, op, None, True)
+        (f"p{i}", name and name + str(i), parent and parent + str(i), at, body, author, 0, 0.0, None, "", True)
         for i in range(count)
-        for name, parent, body, author, op in [
-            ("t", None, "The second.", "builder", False),
-            ("c", "t", "[removed]", None, False),
-            ("g", "c", "Thanks, all.", "asker", True),
+        for name, parent, at, body, author in [
+            ("x", None, 0, "[deleted]", "eve"),
+            ("y", "x", 0, "below", None),
+            ("z", "y", 3, "deepest", "moss"),
+            (None, "y", 4, "no id", "eve"),
+            ("x", None, 1, "same id", "eve"),
         ]
     ]
     return spark.createDataFrame(posts, SUBMISSIONS), spark.createDataFrame(comments, COMMENTS)
@@ -184,15 +191,20 @@ def test_ingest_dedups_limits_and_resumes(spark, tmp_path):
         ("posts_batch_0003.json", 0, "p3"),
         ("posts_batch_0003.json", 1, "p4"),
     ]
-    assert posts[0].created_date == "2023-11-14T22:13:20"
-    assert posts[0].permalink == SITE + "/c/p0"
+    assert posts[0].created_date == "1970-01-02T00:00:00.500000"
+    assert posts[0].permalink == SITE + "/w/0"
     seen = read_ledger(spark, store.seen, SEEN).orderBy("id").collect()
     assert [r.id for r in seen] == ["p0", "p1", "p2", "p3", "p4"]
     stored = spark.read.parquet(store.comments).filter("post_pos = 1").orderBy("file_name", "path")
-    got = [(r.comment_id, r.depth, r.body, r.author) for r in stored.collect()][:3]
+    got = [(r.comment_id, r.depth, r.body, r.author) for r in stored.collect()][:5]
+    # Each row once: also the one without an id and the second one with an id seen before.
     assert got == [
-        ("t1", 0, "The second.", "builder"), ("c1", 1, "", "[deleted]"), ("g1", 2, "Thanks, all.", "asker"),
-    ]
+        ("x1", 0, "", "eve"),
+        ("y1", 1, "below", "[deleted]"),
+        ("z1", 2, "deepest", "moss"),
+        (None, 2, "no id", "eve"),
+        ("x1", 0, "same id", "eve"),
+    ]
     with pytest.raises(ValueError):
         run(1, 0)
 
@@ -223,7 +235,7 @@ def test_a_run_cut_short_leaves_nothing_behind(spark, tmp_path, monkeypatch):
     assert ingest(rows, comments, raw, SITE, "eng", 0, 2).first().new_posts == 3
     assert tuple(clean_store(spark, raw, clean).first()) == (3, 2, 1)
     text = shards(spark, clean)[1]
-    assert text.count("POST ID") == 3 and text.count("COMMENT ID") == 9
+    assert text.count("POST ID") == 3 and text.count("COMMENT ID") == 15
 
 
 def test_curate_takes_cleans_and_reports(spark, tmp_path):
@@ -238,7 +250,7 @@ def test_curate_takes_cleans_and_reports(spark, tmp_path):
     text = shards(spark, clean)[1]
     for i in range(3):
         assert f"POST ID: p{i}\n" in text
-        assert f"  +- COMMENT ID: c{i}" in text and f"    +- COMMENT ID: g{i}" in text
+        assert f"  +- COMMENT ID: y{i}" in text and f"    +- COMMENT ID: z{i}" in text
     assert "[removed]" in text
     with pytest.raises(ValueError):
         curate(spark, raw, clean, "eng", batch_size=0)
@@ -291,7 +303,7 @@ def test_stream_cleans_new_files_once(spark, tmp_path, raw_post):
     put(raw, "posts_batch_0002.json", json.dumps([post(2), post(3)], indent=2))
     run()
     text = "".join(shards(spark, store).values())
-    assert text == "".join(RENDERED.replace("ID: p1\n", f"ID: p{i}\n") for i in range(4))
+    assert text == "".join(RENDERED.replace("ID: q7\n", f"ID: p{i}\n") for i in range(4))
     assert len(shards(spark, store)) > 1
     # A crash before the stream's commit: the last micro-batch is replayed.
     after = shards(spark, store)
@@ -308,7 +320,7 @@ def test_stream_cleans_new_files_once(spark, tmp_path, raw_post):
     put(raw, "posts_batch_0010.json", [post(5)])
     run()
     text = "".join(shards(spark, store).values())
-    assert text == "".join(RENDERED.replace("ID: p1\n", f"ID: p{i}\n") for i in range(6))
+    assert text == "".join(RENDERED.replace("ID: q7\n", f"ID: p{i}\n") for i in range(6))
 
 
 def test_stream_dedup(spark, tmp_path):

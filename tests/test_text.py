@@ -18,10 +18,6 @@ from threadloom.functions.fields import (
 from threadloom.functions.measures import byte_size, word_count
 
 CASES = [
-    ("metre/radius and menu/item", "metre/radius and menu/item"),
-    ("**thick** *thin* `x = 1` ~~old~~ sure????  yes!!!!", "thick thin x = 1 old sure? yes!"),
-    ("> said before\n- one\n+ two\n* three", "said before\none\ntwo\nthree"),
-    ("-12 volts is low", "-12 volts is low"),
     ("", ""),
     ("   \n  ", ""),
     (None, ""),
@@ -59,13 +55,23 @@ def test_stated_cases(spark):
         assert row.got == row.expected, row.raw
 
 
-def test_markup_is_gone(spark):
-    raw = (
-        "<i>Bolts</i> &amp; nuts as in [the list](https://example.org/list) "
-        "kept by /u/keeper for /r/workshop"
-    )
-    got = spark.range(1).select(T.clean_text(F.lit(raw))).first()[0]
-    assert got == "Bolts & nuts as in the list kept by for"
+INNER = ("k", "k l", "7")
+WRAPPED = ("**{}**", "*{}*", "`{}`", "~~{}~~", "<b>{}</b>", "<a href='x'>{}", "[{}](https://h.example/p)")
+STARTS = ("> ", "- ", "+ ", "* ")
+KEPT = ("k/l", "-7 k", "k-l", "k > l", "5 * 6", "u r", "k.l", "k!l?")
+GONE = ("/u/k", "u/k", "/r/k", "r/k", "https://h.example/k", "<k>", "<k l='m'>")
+RUNS = ((".", 3, 3), (".", 4, 3), (".", 9, 3), ("!", 2, 1), ("!", 7, 1), ("?", 2, 1), ("?", 5, 1))
+
+
+def test_each_marker_by_itself(spark):
+    cases = [(w.format(i), i) for w in WRAPPED for i in INNER]
+    cases += [(f"{s}k\n{s}l", "k\nl") for s in STARTS]
+    cases += [(k, k) for k in KEPT]
+    cases += [(f"m {g} n", "m n") for g in GONE]
+    cases += [(f"k{sign * n} l", f"k{sign * left} l") for sign, n, left in RUNS]
+    frame = spark.createDataFrame(cases, "raw string, expected string")
+    for row in frame.select("raw", "expected", T.clean_text(F.col("raw")).alias("got")).collect():
+        assert row.got == row.expected, row.raw
 
 
 def test_unescape_and_measures_match_the_standard_library(rows, texts):
