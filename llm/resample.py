@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from llm.shared import stage
+from llm.shared import short_batches, stage
 from llm.words import Hasher, mix, pieces
 
 BUCKETS = 1 << 16
@@ -48,6 +48,7 @@ def hashed_ngrams(column: pa.Array, hasher: Hasher) -> tuple[np.ndarray, np.ndar
 def count_ngrams(docs: DataFrame, target_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Counts per bucket over all rows and over those whose id is in ``target_ids`` (sorted)."""
     width = BUCKETS // SLICES
+    short_batches(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()

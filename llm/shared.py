@@ -20,6 +20,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_ROWS = 1000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Hand texts to Python at most ``TEXT_ROWS`` rows at a time; a lower setting stays."""
+    now = int(spark.conf.get(ARROW_ROWS))
+    if now <= 0 or now > TEXT_ROWS:
+        spark.conf.set(ARROW_ROWS, str(TEXT_ROWS))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to shared storage as Parquet and read it from there.
 
@@ -27,6 +38,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     work above. Readers get column pruning and the size of the files.
     """
     spark = df.sparkSession
+    short_batches(spark)
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

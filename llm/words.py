@@ -146,7 +146,7 @@ def shingle_sets(column: pa.Array, hasher: Hasher) -> Iterator[np.ndarray]:
             yield np.unique(shingles(flat[lo:hi]))
 
 
-def pieces(column: pa.Array, rows: int = 1000) -> Iterator[pa.Array]:
+def pieces(column: pa.Array, rows: int = 250) -> Iterator[pa.Array]:
     """``column`` a few rows at a time, so that arrays per word stay small."""
     for at in range(0, len(column), rows):
         yield column.slice(at, rows)
