@@ -1,14 +1,16 @@
 """Benchmark passages in documents: SimHash of item-sized windows, multi-index Hamming search, exact check.
 
-Every benchmark item has a 64-bit SimHash of its weighted word shingles. A window of
-a document as long as an item gets one likewise. Fingerprints are cut into
+Every benchmark item has two 64-bit SimHashes of its word shingles, one plain and one
+weighted. A window of a document as long as an item gets both likewise. Fingerprints are cut into
 ``BLOCKS`` blocks; two of them within ``RADIUS`` bits have a block within ``RADIUS //
 BLOCKS`` bits, so a table of the items near each block value yields every item within
 the radius, and the Hamming distance of the whole decides. What is left is checked by
-the exact weighted Jaccard similarity of the two shingle multisets.
+the exact Jaccard similarity of the two shingle multisets, plain and weighted: a window
+is reported if either is enough.
 
-A shingle weighs one over the number of items that hold it, so phrases common to many
-items count for little. Windows without any shingle of an item of their size have
+By weight a shingle counts one over the number of items that hold it, so phrases common
+to many items count for little; where items share text, an edit that no item holds would
+outweigh all of it, and the plain similarity finds the copy. Windows without any shingle of an item of their size have
 similarity 0 and are not fingerprinted. An item of fewer than five words is one
 shingle as a whole, and a window equals it or not.
 """
@@ -62,41 +64,47 @@ class Benchmark:
                 self.holders[h].append(k)
         self.widths = sorted({int(min(n, SHINGLE)) for n in self.lengths if n})
         self.known = np.array(sorted(self.weight), np.uint64)
-        self.prints = np.zeros(len(items), np.uint64)
+        self.prints, self.plain_prints = np.zeros((2, len(items)), np.uint64)
         for k, run in enumerate(runs):
             if len(run):
                 self.prints[k] = self.fingerprints(run, len(run))[0]
+                self.plain_prints[k] = self.fingerprints(run, len(run), plain=True)[0]
         distance = np.bitwise_count(np.arange(256)[:, None] ^ np.arange(256)[None, :])
         near = distance <= RADIUS // BLOCKS
-        values = self.prints.view(np.uint8).reshape(-1, 8)
-        self._near = np.stack([near[:, values[:, b]] for b in range(BLOCKS)])
-
-    def fingerprints(self, run: np.ndarray, width: int) -> np.ndarray:
-        """SimHash of every stretch of ``width`` shingles of ``run``."""
-        weights = np.array([self.weight.get(h, 1.0) for h in run.tolist()])
+        both = [p.view(np.uint8).reshape(-1, 8) for p in (self.prints, self.plain_prints)]
+        self._near, self._plain_near = (np.stack([near[:, values[:, b]] for b in range(BLOCKS)]) for values in both)
+        #: Where no items share a shingle both ways are the same.
+        self.ways = (False, True) if any(n > 1 for n in spread.values()) else (False,)
+
+    def fingerprints(self, run: np.ndarray, width: int, plain: bool = False) -> np.ndarray:
+        """SimHash of every stretch of ``width`` shingles of ``run``, by weight or plain."""
+        weights = np.ones(len(run)) if plain else np.array([self.weight.get(h, 1.0) for h in run.tolist()])
         total = np.concatenate([np.zeros((1, 64)), np.cumsum(_signs(run) * weights[:, None], axis=0)])
         return _pack(total[width:] - total[:-width])
 
-    def near(self, prints: np.ndarray, items: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    def near(self, prints: np.ndarray, items: np.ndarray, plain: bool = False) -> Iterator[tuple[int, int, int]]:
         """``(print, item, distance)`` for all of ``items`` within the radius of each print."""
+        theirs, table = (self.plain_prints, self._plain_near) if plain else (self.prints, self._near)
         values = prints.view(np.uint8).reshape(-1, 8)
         met = np.zeros((len(prints), len(items)), bool)
         for b in range(BLOCKS):
-            met |= self._near[b][values[:, b]][:, items]
+            met |= table[b][values[:, b]][:, items]
         for p, k in zip(*np.nonzero(met), strict=True):
-            apart = int(np.bitwise_count(prints[p] ^ self.prints[items[k]]))
+            apart = int(np.bitwise_count(prints[p] ^ theirs[items[k]]))
             if apart <= RADIUS:
                 yield int(p), int(items[k]), apart
 
     def similarity(self, run: np.ndarray, item: int) -> float:
-        """Weighted Jaccard similarity of two shingle multisets."""
+        """The larger of the plain and the weighted Jaccard similarity of two shingle multisets."""
         ours, theirs = Counter(run.tolist()), self.counts[item]
-        shared = total = 0.0
+        shared = total = plain_shared = plain_total = 0.0
         for h in ours.keys() | theirs.keys():
             a, b, w = ours.get(h, 0), theirs.get(h, 0), self.weight.get(h, 1.0)
             shared += w * min(a, b)
             total += w * max(a, b)
-        return shared / total if total else 0.0
+            plain_shared += min(a, b)
+            plain_total += max(a, b)
+        return max(shared / total, plain_shared / plain_total) if total else 0.0
 
     def search(self, words: np.ndarray, run: np.ndarray, hits: np.ndarray, width: int) -> dict[int, tuple]:
         """item -> (similarity, -hamming, -start) of its best window; ``hits`` are places of known shingles."""
@@ -116,8 +124,12 @@ class Benchmark:
             size = min(n, len(words)) - width + 1
             order = np.array(sorted(firsts))
             for part in np.split(order, np.flatnonzero(np.diff(order) > 1) + 1):
-                prints = self.fingerprints(run[part[0] : part[-1] + size], size)
-                for p, item, apart in self.near(prints, items):
+                met: dict[tuple[int, int], int] = {}
+                for plain in self.ways:
+                    prints = self.fingerprints(run[part[0] : part[-1] + size], size, plain)
+                    for p, item, apart in self.near(prints, items, plain):
+                        met[p, item] = min(apart, met.get((p, item), apart))
+                for (p, item), apart in met.items():
                     start = int(part[0]) + p
                     found = (self.similarity(run[start : start + size], item), -apart, -start)
                     if found[0] >= SIMILARITY and found > best.get(item, (0.0,)):
@@ -172,7 +184,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document row and item found in it: the best window and its similarity.
 
     ``docs`` needs ``doc_id`` and ``text``, ``benchmark`` ``item_id`` and ``text``; other
-    columns are ignored. Null, empty and blank texts match nothing on either side. Of
+    columns are ignored. Null, empty and blank texts match nothing on either side.
+    ``similarity`` is the larger of the plain and the weighted one, ``hamming`` the
+    smaller distance of the two fingerprints. Of
     equally similar windows the nearest fingerprint, then the first, is given. Rows
     repeated in ``docs`` are reported as often; a document shorter than an item is
     one window.

@@ -53,6 +53,18 @@ def test_planted_passages(spark, monkeypatch):
     assert (exact["start_word"], exact["n_words"], exact["hamming"], exact["similarity"]) == (30, 40, 0, 1.0)
 
 
+def test_an_edited_copy_of_a_text_that_several_items_hold(spark):
+    text = prose(40)
+    edited = [*text[:20], "changed", *text[21:]]  # plain similarity 31 / 41
+    docs = spark.createDataFrame([(1, " ".join([*prose(30), *edited, *prose(25)])), (2, " ".join(prose(300)))], "doc_id long, text string")
+    for holders in (1, 2, 3, 10):
+        items = spark.createDataFrame([(k, " ".join(text)) for k in range(holders)], "item_id long, text string")
+        rows = contaminated(docs, items).collect()
+        assert sorted((r["doc_id"], r["item_id"], r["start_word"]) for r in rows) == [(1, k, 30) for k in range(holders)]
+        assert all(abs(r["similarity"] - 31 / 41) < 1e-9 for r in rows)
+        assert [r["doc_id"] for r in without_benchmark(docs, items).collect()] == [2]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
