@@ -19,7 +19,8 @@ are then compared within, by parity bits (one bit per shingle; their Hamming
 distance is a lower bound as well), and again the exact similarity decides. Pairs
 skipped are already connected, so no component misses a link.
 
-Equal sets are one node throughout, however many texts have them. Block entries
+Texts are named by a hash of id and text, so those without an id, or several under one,
+are told apart. Equal sets are one node throughout, however many texts have them. Block entries
 travel packed by slot; slots hold about ``SLOT_ENTRIES`` entries at any size.
 """
 
@@ -29,7 +30,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from llm.graph import connected_components
 from llm.shared import discard, stage, total_bytes
@@ -43,7 +44,7 @@ MAX_BITS = 1 << 16
 PAIRS_PER_TASK = 1500
 BLOCK = 512
 
-SIGNATURE = "doc_id long, n_shingles long, node long, bits binary"
+SIGNATURE = "doc_id long, row long, n_shingles long, node long, bits binary"
 ENTRY = "slot int, entries binary"
 
 
@@ -84,23 +85,28 @@ def parity_bits(found: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def row_name() -> Column:
+    """64 bits for a row's id and text; never null, and equal only for rows that repeat."""
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """Per row: set size, node and parity bits; node is null for an empty set."""
+    """Per row: its name, set size, node and parity bits; node is null for an empty set."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             sizes, nodes, bits = [], [], []
-            for found in shingle_sets(batch.column(1), hasher):
+            for found in shingle_sets(batch.column(2), hasher):
                 sizes.append(len(found))
                 nodes.append(node_of(found) if len(found) else None)
                 bits.append(parity_bits(found) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary())],
-                ["doc_id", "n_shingles", "node", "bits"],
+                [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary())],
+                ["doc_id", "row", "n_shingles", "node", "bits"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SIGNATURE)
+    return docs.select(F.col("doc_id").cast("long"), row_name().alias("row"), "text").mapInArrow(run, SIGNATURE)
 
 
 _ROW = np.dtype([("key", "<u4"), ("node", "<i8"), ("spare", "<u2"), ("band", "u1")])
@@ -228,14 +234,17 @@ def shared_blocks(entries: DataFrame, slots: int) -> DataFrame:
 
 def shingle_table(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
     """``(node, found)``: the sorted shingles of the named sets, from one text each."""
-    chosen = stage(
-        members.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id"), "texts"
-    )
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"]  # an id's text, if any has one
+    chosen = stage(members.join(nodes, "node", "left_semi").groupBy("node").agg(least.alias("row")).select("row"), "texts")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+        hasher, seen = Hasher(), set()
         for batch in batches:
-            sets = [x for x in shingle_sets(batch.column(0), hasher)]
+            new = []  # repeated rows have one set
+            for row in batch.column(0).to_pylist():
+                new.append(row not in seen)
+                seen.add(row)
+            sets = [x for x in shingle_sets(batch.column(1).filter(pa.array(new, pa.bool_())), hasher)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([node_of(x) if len(x) else None for x in sets], pa.int64()),
@@ -244,8 +253,8 @@ def shingle_table(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> Data
                 ["node", "found"],
             )
 
-    # The size of the staged ids is known, so Spark broadcasts them only if they are small.
-    texts = docs.join(chosen, "doc_id", "left_semi").select("text").mapInArrow(run, "node long, found binary")
+    # The size of the staged names is known, so Spark broadcasts them only if they are small.
+    texts = docs.select(row_name().alias("row"), "text").join(chosen, "row", "left_semi").select("row", "text").mapInArrow(run, "node long, found binary")
     return stage(texts.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "shingles")
 
 
@@ -340,14 +349,8 @@ def _within(rows: dict[str, np.ndarray], bits: list[np.ndarray]) -> Iterator[tup
             yield (int(min(rows["node"][k], other)), int(max(rows["node"][k], other)))
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)``, one row per input row.
-
-    ``docs`` needs ``doc_id`` and ``text``; other columns are ignored, whatever
-    their names. Null, empty and blank texts have no shingles and are a component
-    of their own, as are texts similar to no other. Repeated rows come back
-    repeated. ``component_id`` is the smallest ``doc_id`` reachable by links.
-    """
+def components(docs: DataFrame) -> DataFrame:
+    """``(doc_id, row, n_shingles, root)``, one row per input row; ``root`` names a component, null without shingles."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     slots = max(16, total_bytes(docs, "text") // BYTES_PER_ENTRY // SLOT_ENTRIES)
     members = stage(signatures(docs), "signatures")
@@ -364,15 +367,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     more = verified(second, docs, filled)
     if more.head(1):
         roots = stage(_roots(links.union(more)), "roots")
-    names = filled.groupBy("node").agg(F.min("doc_id").alias("first_id"))
-    names = names.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = names.groupBy("root").agg(F.min("first_id").alias("smallest"))
-    of_node = names.join(smallest, "root").select("node", "smallest")
-    return (
-        members.select("doc_id", "n_shingles", "node")
-        .join(of_node, "node", "left")
-        .select("doc_id", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"))
-    )
+    return members.join(roots, "node", "left").select("doc_id", "row", "n_shingles", F.coalesce("root", "node").alias("root"))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)``, one row per input row.
+
+    ``docs`` needs ``doc_id`` and ``text``; other columns are ignored, whatever
+    their names. Null, empty and blank texts have no shingles and are a component
+    of their own, as are texts similar to no other. Repeated rows come back
+    repeated. ``component_id`` is the smallest ``doc_id`` reachable by links.
+    """
+    found = stage(components(docs), "components")
+    smallest = found.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("smallest"))
+    return found.join(smallest, "root", "left").select("doc_id", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"))
 
 
 def _roots(links: DataFrame) -> DataFrame:
@@ -383,9 +391,14 @@ def _roots(links: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` without near copies: of each component the row of its smallest id.
 
-    All columns are kept. Of rows repeated under one id, one stays. Rows without an id
-    go: none of them can be named as the one that stays.
+    All columns are kept. Rows without an id come last: one of them stays where a
+    component has no other. Texts under one id are told apart. Repeated rows are one
+    row, except those that have neither an id nor words, which are nobody's copies.
     """
-    found = jaccard_components(docs)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(stage(kept, "kept"), F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    found = stage(components(docs), "components")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"]
+    kept = found.where("root IS NOT NULL").groupBy("root").agg(first.alias("_row")).select("_row", F.lit(False).alias("_each"))
+    blank = found.where("root IS NULL").select(F.col("row").alias("_row"), F.col("doc_id").isNull().alias("_each")).distinct()
+    rows = docs.withColumn("_row", row_name()).join(stage(kept.union(blank), "kept"), "_row")
+    rows = rows.withColumn("_each", F.when(F.col("_each"), F.monotonically_increasing_id()))
+    return rows.dropDuplicates(["_row", "doc_id", "_each"]).select(*docs.columns)

@@ -62,6 +62,44 @@ def test_one_document_of_each_group_stays(spark, rows):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, _, c in brute(rows)})
 
 
+def test_texts_without_an_id_or_with_a_shared_one(spark):
+    r = random.Random(8)
+    new = lambda: [f"w{r.randrange(500)}" for _ in range(60)]
+    edit = lambda text, at: " ".join([*text[:at], "changed", *text[at + 1 :]])
+    clean, other, alone, group, nameless, bridge = (new() for _ in range(6))
+    rows = [
+        (None, " ".join(clean)),  # like nothing else
+        (3, " ".join(other)),
+        (5, " ".join(alone)),  # two texts under one id, one of them a near copy of 3
+        (5, edit(other, 30)),
+        (None, " ".join(group)),  # a near copy of 6 without an id
+        (6, edit(group, 30)),
+        *[(None, edit(nameless, k)) for k in (58, 59, 59)],  # a group without any id
+        (8, edit(bridge, 58)),
+        (None, " ".join(bridge)),  # connects 8 and 9
+        (9, edit(bridge, 2)),
+        (None, ""),
+        (None, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(x) for x in one_of_each(docs.repartition(3)).collect()]
+    texts = {t for _, t in rows[6:9]}
+    assert sum(t in texts for _, t in kept) == 1
+    want = [rows[0], rows[1], rows[2], rows[5], rows[9], *rows[12:]]
+    assert sorted((x for x in kept if x[1] not in texts), key=str) == sorted(want, key=str)
+    found = [(x["doc_id"], x["component_id"]) for x in jaccard_components(docs).collect()]
+    ids = [None, 3, 5, 3, 6, 6, None, None, None, 8, 8, 8, None, None]
+    assert sorted(found, key=str) == sorted(((d, c) for (d, _), c in zip(rows, ids, strict=True)), key=str)
+
+
+def test_documents_connected_by_a_text_without_an_id(spark):
+    words = [f"v{k}" for k in range(100)]
+    ends = (" ".join(words[:-12]), " ".join(words[12:]))  # similar to the whole, not to each other
+    docs = spark.createDataFrame([(1, ends[0]), (None, " ".join(words)), (2, ends[1])], "doc_id long, text string")
+    assert {r["component_id"] for r in jaccard_components(docs).collect()} == {1}
+    assert [r["doc_id"] for r in one_of_each(docs).collect()] == [1]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_components(docs).collect() == [] and one_of_each(docs).collect() == []
