@@ -9,8 +9,10 @@ sampled queries are compared with the whole shard; a beam as wide as the shard i
 exact scan. What is found is verified by the cosine in double precision, and links
 are united into components, first inside a task, then over all tasks.
 
-Search is vectorised over queries. A task holds one shard and a part of the queries;
-``shards`` and ``parts`` are to grow with the table so that both fit.
+Search is vectorised over queries. A task holds one shard and a part of the queries.
+Their numbers follow from the distinct vectors of a dimension and its size, so that a
+shard is about ``SHARD_BYTES`` of vectors and links and a part ``PART_BYTES`` of
+vectors at any size of the table.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ from llm.graph import connected_components
 from llm.shared import stage
 
 SIMILAR = 0.9
-SHARDS = 8
-PARTS = 4
+SHARD_BYTES = 8 << 20
+PART_BYTES = 8 << 20
 M = 16
 BUILD_BEAM = 48
 BEAM = 64
@@ -304,12 +306,22 @@ def _find(nodes: pa.Table, queries: pa.Table) -> pa.Table:
     )
 
 
-def near_vectors(vectors: DataFrame, shards: int = SHARDS, parts: int = PARTS) -> DataFrame:
+def slices(distinct: DataFrame, shards: int | None = None, parts: int | None = None) -> DataFrame:
+    """``(dim, shards, parts)``: into how many slices the vectors of each dimension go."""
+    links = 4 * 2 * M * 4  # bytes of a vector's links
+    size = F.col("dim").cast("long") * 8
+    cut = lambda given, row, most: F.lit(given) if given else F.ceil(F.col("n") * row / most)
+    counts = distinct.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("dim", cut(shards, size + links, SHARD_BYTES).cast("int").alias("shards"), cut(parts, size, PART_BYTES).cast("int").alias("parts"))
+
+
+def near_vectors(vectors: DataFrame, shards: int | None = None, parts: int | None = None) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)``, one row per input row.
 
     ``vectors`` needs ``vec_id`` and ``embedding``; other columns are ignored. Vectors
     that are null, empty, zero or hold null or non-finite components, and vectors of
-    different lengths, link with nothing. Rows repeated under one id are vectors of
+    different lengths, link with nothing. ``shards`` and ``parts`` replace the numbers
+    that follow from the table. Rows repeated under one id are vectors of
     their own that share the id. ``component_id`` is the smallest id reachable.
     """
     own = stage(usable(vectors), "vectors")
@@ -317,11 +329,15 @@ def near_vectors(vectors: DataFrame, shards: int = SHARDS, parts: int = PARTS) -
     named = own.select("vec_id", "dim", "vec", F.xxhash64("vec").alias("h1"), F.xxhash64("vec", F.lit(1)).alias("h2"))
     groups = named.groupBy("h1", "h2").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     firsts = named.groupBy("h1", "h2").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"), F.first("dim").alias("dim"), F.first("vec").alias("vec"))
-    firsts = stage(firsts.withColumn("shard", F.pmod(F.xxhash64("h1", F.lit("shard")), F.lit(shards)).cast("int")), "distinct")
+    firsts = stage(firsts, "distinct")
+    cuts = stage(slices(firsts, shards, parts), "slices")
+    firsts = firsts.join(cuts, "dim")
+    firsts = firsts.withColumn("shard", F.pmod(F.xxhash64("h1", F.lit("shard")), F.col("shards")).cast("int"))
     nodes = stage(firsts.select("dim", "shard", "vec_id", "copies", "vec").groupBy("dim", "shard").applyInArrow(_build, NODE), "graphs")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    indexes = nodes.withColumn("part", each(parts))
-    asked = firsts.select("dim", "vec_id", "vec", F.pmod(F.xxhash64("h1", F.lit("part")), F.lit(parts)).cast("int").alias("part")).withColumn("shard", each(shards))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    indexes = nodes.join(cuts.select("dim", "parts"), "dim").withColumn("part", each("parts")).drop("parts")
+    part = F.pmod(F.xxhash64("h1", F.lit("part")), F.col("parts")).cast("int").alias("part")
+    asked = firsts.select("dim", "vec_id", "vec", part, each("shards").alias("shard"))
     keys = ("dim", "shard", "part")
     found = stage(indexes.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(_find, LINKED), "found")
     roots = connected_components(found, "vec_id", "root").select(F.col("node").alias("first"), "component")

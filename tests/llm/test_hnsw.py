@@ -2,6 +2,7 @@
 
 import numpy as np
 
+from llm import hnsw
 from llm.hnsw import Graph, near_vectors
 
 RNG = np.random.default_rng(12)
@@ -33,6 +34,21 @@ def test_links_and_components(spark):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found.values())
 
 
+def test_groups_stay_bounded_as_the_table_grows(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "SHARD_BYTES", 100 * (16 * 8 + 512))
+    monkeypatch.setattr(hnsw, "PART_BYTES", 200 * 16 * 8)
+    sizes = {}
+    for n in (90, 1000, 4000):
+        rows = spark.range(n).selectExpr("16 AS dim").union(spark.range(3).selectExpr("8 AS dim"))
+        sizes[n] = {r["dim"]: (r["shards"], r["parts"]) for r in hnsw.slices(rows).collect()}
+    assert sizes == {90: {16: (1, 1), 8: (1, 1)}, 1000: {16: (10, 5), 8: (1, 1)}, 4000: {16: (40, 20), 8: (1, 1)}}
+    x = RNG.normal(size=(600, 16))
+    x[300:] = x[:300] + RNG.normal(size=(300, 16)) * 0.02
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r["component_id"] for r in near_vectors(table).collect()}
+    assert all(found[k] == found[300 + k] for k in range(300))
+
+
 def test_empty_table(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
