@@ -11,11 +11,14 @@ from llm.decontaminate import contaminated
 from llm.hnsw import near_vectors
 from llm.html_extract import extract
 from llm.jaccard_join import jaccard_components
+from llm.merkle import proof_digest
+from llm.mixing import mixture
 from llm.packing import default_tokenizer, pack_documents
 from llm.pii import pii_digest
 from llm.resample import selected
 from llm.shard_tree import layout, shard_documents
 from llm.url_filter import RULES, judge_urls
+from llm.whitening import whitened
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,3 +104,21 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Per piece of a document: its sequence and its place there."""
     return pack_documents(_table(spark, folder, "documents"), default_tokenizer())
+
+
+@_query
+def op11_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: its size, its source's size and target, and the words the mix takes of it."""
+    return mixture(_table(spark, folder, "documents"))
+
+
+@_query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: leaf, subroot, root and proof, and what the proof says once some texts are changed."""
+    return proof_digest(_table(spark, folder, "documents"))
+
+
+@_query
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Per vector and component: the vector's whitened coordinate, and measures of the fit."""
+    return whitened(_table(spark, folder, "embeddings"))

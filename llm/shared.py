@@ -66,16 +66,52 @@ def total_bytes(df: DataFrame, column: str) -> int:
     return int(df.agg(F.sum(F.octet_length(column))).first()[0] or 0)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def ranked(df: DataFrame, order: list[str], name: str, groups: list[str] | None = None, per_chunk: int = 200_000) -> DataFrame:
+    """Gapless positions from 0 in ascending order (nulls first), over all rows or within each group.
+
+    Where there are groups, they lead ``order``. Rows are dealt by ranges of ``order``, and rows that
+    are equal there by where they were read, so that no value fills a task; the chunks are staged.
+    A position is the place in the chunk plus the rows of the group in earlier chunks. ``df`` should
+    be a staged table. Among rows equal in ``order`` positions are arbitrary.
+    """
+    groups = groups or []
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // per_chunk))
+    dealt = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(parts, *order, "_tie")
+    dealt = stage(dealt.withColumn("_chunk", F.spark_partition_id()), "chunks")
+    earlier = Window.partitionBy(*groups).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        dealt.groupBy(*groups, "_chunk")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(*groups, "_chunk", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    )
+    inside = Window.partitionBy(*groups, "_chunk").orderBy(*order, "_tie")
+    return (
+        dealt.withColumn("_place", F.row_number().over(inside) - 1)
+        .join(offsets, [*groups, "_chunk"])
+        .withColumn(name, F.col("_before") + F.col("_place"))
+        .drop("_tie", "_chunk", "_place", "_before")
+    )
+
+
 def numbered(
     df: DataFrame, groups: list[str], order: list[str], name: str, rows: int, per_bucket: int = 50_000
 ) -> DataFrame:
     """Gapless positions from 0 within each group, without one task per group.
 
-    Rows of a group are dealt into buckets of about ``per_bucket`` rows by a hash
-    of ``order``; a position is the row's place in its bucket plus the rows of the
-    group's earlier buckets. ``rows`` is the number of rows of ``df``.
+    Rows of a group are dealt by a hash of ``order`` into buckets of about ``per_bucket``
+    rows, and into as many as there are shuffle partitions at least; a position is the
+    row's place in its bucket plus the rows of the group's earlier buckets. ``rows`` is
+    the number of rows of ``df``.
     """
-    buckets = max(1, -(-rows // per_bucket))
+    buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_bucket))
     keyed = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
     earlier = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
