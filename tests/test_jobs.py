@@ -13,10 +13,12 @@ from threadloom.operators.shards import Budget
 from threadloom.plans.adopt import adopt_clean, adopt_raw
 from threadloom.plans.clean import CleanStore, clean_folder, clean_nodes, clean_store
 from threadloom.plans.curate import Source, curate
-from threadloom.plans.ingest import RawStore, ingest
+from threadloom.plans.ingest import RawStore, ingest, seen_ids
 from threadloom.plans.reports import store_stats
 from threadloom.sources import batches as B
-from threadloom.sources.ledgers import SEEN, SHARDS, read_ledger
+from threadloom.sources.ledgers import SHARDS
+from threadloom.sources.runs import read_table
+from threadloom.sources.shards import read_shards
 from threadloom.streaming.incremental import clean_stream, dedup_stream
 
 SITE = "https://forum.example"
@@ -72,10 +74,8 @@ def rendered(spark, tmp_path, posts):
 
 
 def shards(spark, store):
-    numbers = B.path_exists(spark, store.text) and [
-        r.file_no for r in spark.read.text(store.text).select("file_no").distinct().collect()
-    ]
-    return {n: shard_text(spark, store.text, n) for n in sorted(numbers or [])}
+    numbers = [r.file_no for r in read_shards(spark, store.root).select("file_no").distinct().collect()]
+    return {n: shard_text(spark, store.root, n) for n in sorted(numbers)}
 
 
 def test_layout(spark, tmp_path, raw_post):
@@ -103,7 +103,8 @@ def test_stubs_and_empty_posts(spark, tmp_path):
     assert "COMMENT ID: d3" in texts[2] and "e3" not in texts[2]
     assert "SCRAPED COMMENTS: 4" in texts[2]
     assert texts[3].endswith(f"TITLE: only\n\nNO COMMENTS SCRAPED\n{RULE}\n")
-    assert not rendered(spark, tmp_path, [{"id": "x", "title": "", "text": "", "comments": []}])
+    silent = [{"id": "e", "text": "<i></i>", "comments": [comment("t5", "&nbsp;", comment("c5", "  "))]}, {"author": "f"}]
+    assert not rendered(spark, tmp_path, silent)
 
 
 def test_clean_run_is_idempotent(spark, tmp_path, raw_post):
@@ -111,7 +112,7 @@ def test_clean_run_is_idempotent(spark, tmp_path, raw_post):
     assert tuple(clean_folder(spark, str(raw), store).first()) == (0, 0, 0)
     raw.mkdir()
     put(raw, "posts_batch_0001.json", [raw_post])
-    put(raw, "posts_batch_0002.json", "{not json")
+    put(raw, "posts_batch_0002.json", '[{"id": "q8", "title": "cut off')
     put(raw, "scraping_progress.json", "{}")
     assert tuple(clean_folder(spark, str(raw), store).first()) == (1, 2, 1)
     assert tuple(clean_folder(spark, str(raw), store).first()) == (0, 0, 0)
@@ -124,21 +125,32 @@ def test_clean_run_is_idempotent(spark, tmp_path, raw_post):
     assert shards(spark, store) == {1: RENDERED + RENDERED.replace("ID: q7", "ID: p9")}
 
 
+SIZE, WORDS = len(RENDERED.encode()), len(RENDERED.split())
+
+
 @pytest.mark.parametrize(
-    "budget,count", [(Budget(1500), 10), (Budget(max_words=40), 4), (Budget(10), 1), (Budget(2200, 90), 9)]
+    "budget,count",
+    [
+        (Budget(2 * SIZE - 1), 7),  # one byte too few for two posts
+        (Budget(2 * SIZE), 7),
+        (Budget(1), 3),
+        (Budget(max_words=3 * WORDS - 1), 8),
+        (Budget(3 * SIZE, 2 * WORDS), 5),
+    ],
 )
 def test_rotation_loses_nothing(spark, tmp_path, raw_post, budget, count):
     raw, store = tmp_path / "raw", CleanStore(str(tmp_path / "clean"))
     raw.mkdir()
     posts = [{**raw_post, "id": f"p{i}"} for i in range(count)]
-    put(raw, "posts_batch_0001.json", posts[: count // 2])
-    put(raw, "posts_batch_0002.json", posts[count // 2 :])
+    put(raw, "posts_batch_0001.json", posts[:2])
+    put(raw, "posts_batch_0002.json", posts[2:])
     summary = clean_folder(spark, str(raw), store, budget).first()
     assert summary.posts_written == count
     texts = shards(spark, store)
     expected = [RENDERED.replace("ID: q7\n", f"ID: p{i}\n") for i in range(count)]
     assert "".join(texts.values()) == "".join(expected)
-    assert (len(texts) > 1) == (count > 1)
+    held = max(1, min(budget.max_bytes // SIZE, budget.max_words // WORDS))
+    assert len(texts) == -(-count // held) == summary.output_files
     for text in texts.values():
         fits = len(text.encode()) <= budget.max_bytes and len(text.split()) <= budget.max_words
         assert fits or text.count("POST ID") == 1
@@ -183,7 +195,7 @@ def test_ingest_dedups_limits_and_resumes(spark, tmp_path):
 
     assert run(3, 2) == (3, 0, 0, 3)
     assert run(3, 2) == (2, 33, 0, 5)
-    posts = spark.read.parquet(store.posts).orderBy(*KEYS).collect()
+    posts = read_table(spark, store.root, "posts").orderBy(*KEYS).collect()
     assert [(r.file_name, r.post_pos, r.id) for r in posts] == [
         ("posts_batch_0001.json", 0, "p0"),
         ("posts_batch_0001.json", 1, "p1"),
@@ -193,9 +205,9 @@ def test_ingest_dedups_limits_and_resumes(spark, tmp_path):
     ]
     assert posts[0].created_date == "1970-01-02T00:00:00.500000"
     assert posts[0].permalink == SITE + "/w/0"
-    seen = read_ledger(spark, store.seen, SEEN).orderBy("id").collect()
+    seen = seen_ids(spark, store).orderBy("id").collect()
     assert [r.id for r in seen] == ["p0", "p1", "p2", "p3", "p4"]
-    stored = spark.read.parquet(store.comments).filter("post_pos = 1").orderBy("file_name", "path")
+    stored = read_table(spark, store.root, "comments").filter("post_pos = 1").orderBy("file_name", "path")
     got = [(r.comment_id, r.depth, r.body, r.author) for r in stored.collect()][:5]
     # Each row once: also the one without an id and the second one with an id seen before.
     assert got == [
@@ -216,7 +228,7 @@ def test_ingest_counts_what_it_meets(spark, tmp_path):
     assert tuple(first) == (3, 0, 0, 3)
     second = ingest(rows, comments, store, SITE, "eng", 0, 2, max_depth=1).first()
     assert tuple(second) == (2, 8, 0, 5)
-    depths = spark.read.parquet(store.comments).select(F.max("depth")).first()
+    depths = read_table(spark, store.root, "comments").select(F.max("depth")).first()
     assert depths[0] == 1
 
 
@@ -224,11 +236,11 @@ def test_a_run_cut_short_leaves_nothing_behind(spark, tmp_path, monkeypatch):
     rows, comments = forum(spark, 3)
     raw, clean = RawStore(str(tmp_path / "raw")), CleanStore(str(tmp_path / "clean"))
 
-    def cut(*args):
+    def cut(*args, **values):
         raise RuntimeError("cut")
 
     with monkeypatch.context() as patch:
-        patch.setattr("threadloom.plans.ingest.append_ledger", cut)
+        patch.setattr("threadloom.sources.runs.Attempt.commit", cut)
         with pytest.raises(RuntimeError):
             ingest(rows, comments, raw, SITE, "eng", 0, 2)
     assert tuple(clean_store(spark, raw, clean).first()) == (0, 0, 0)
@@ -269,13 +281,18 @@ def test_state_of_file_based_runs_is_taken_over(spark, tmp_path, raw_post):
     store, kept = CleanStore(str(tmp_path / "clean")), RawStore(str(tmp_path / "store"))
     adopt_raw(spark, str(raw), kept)
     adopt_clean(spark, str(old), store)
-    assert [r.id for r in read_ledger(spark, kept.seen, SEEN).collect()] == ["p1"]
+    assert [r.id for r in seen_ids(spark, kept).collect()] == ["p1"]
     size = len(RENDERED.encode())
-    ledger = read_ledger(spark, store.shards, SHARDS).orderBy("file_no").collect()
+    ledger = read_table(spark, store.root, "shards", SHARDS).orderBy("file_no").collect()
     words = len(RENDERED.split())
     assert [tuple(r) for r in ledger] == [
-        (0, 1, 3, 3 * size, 3 * words), (0, 2, 1, size, words),
+        (1, 1, 3, 3 * size, 3 * words), (1, 2, 1, size, words),
     ]
+    # The same folders again change nothing, and adopted shards count.
+    adopt_raw(spark, str(raw), kept)
+    adopt_clean(spark, str(old), store)
+    assert read_table(spark, store.root, "shards", SHARDS).count() == 2
+    assert tuple(store_stats(spark, str(raw), store).first()) == (2, 1, 2, 4 * size)
     summary = clean_folder(spark, str(raw), store, Budget(2 * size)).first()
     assert (summary.posts_written, summary.files_processed) == (1, 1)
     assert list(shards(spark, store)) == [2]

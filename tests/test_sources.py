@@ -1,5 +1,6 @@
 """Batch files, ledgers and the shard folder."""
 
+import glob
 import json
 import os
 
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 from threadloom.sources import batches as B
 from threadloom.sources import ledgers as L
 from threadloom.sources.listings import read_listings
-from threadloom.sources.shards import read_shards, shard_files, shard_words, write_shards
+from threadloom.sources.ledgers import SHARDS
+from threadloom.sources.runs import Attempt
+from threadloom.sources.shards import TEXT, read_shards, shard_sizes, shard_words, write_shards
 
 
 def put(folder, name, value):
@@ -129,16 +132,6 @@ def test_processed_file(spark, tmp_path):
     assert sorted(r.file_name for r in got) == ["a.json", "b.json"]
 
 
-def test_ledgers_append(spark, tmp_path):
-    path = str(tmp_path / "seen")
-    assert L.read_ledger(spark, path, L.SEEN).isEmpty()
-    for name in ("a", "b"):
-        L.append_ledger(spark.createDataFrame([(name,)], L.SEEN), path)
-    assert L.read_ledger(spark, path, L.SEEN).count() == 2
-    state = L.latest_state(spark.createDataFrame([], L.RUN_STATE)).first()
-    assert tuple(state) == (0, None)
-
-
 def test_listings_survive_broken_ones(spark, tmp_path, caplog):
     schema = "pos long, id string"
     for label in ("hot", "top"):
@@ -165,22 +158,29 @@ def test_shard_text_is_in_order(spark, tmp_path):
     ]
     schema = "file_no long, file_name string, post_pos int, seg int, path array<int>, text string"
     root = str(tmp_path / "out")
-    write_shards(spark.createDataFrame(rows, schema).repartition(7), root, 1)
+    assert read_shards(spark, root).isEmpty() and shard_sizes(spark, root, SHARDS).isEmpty()
+    attempt, segments = Attempt(spark, root), spark.createDataFrame(rows, schema).repartition(7)
+    attempt.write(TEXT, lambda folder: write_shards(segments, folder))
+    sizes = [(1, n, 1, sum(len(r[5].encode()) + 1 for r in rows if r[0] == n), 0) for n in (1, 2)]
+    attempt.add("shards", spark.createDataFrame(sizes, SHARDS))
+    assert read_shards(spark, root).isEmpty()
+    attempt.commit()
     assert shard_text(spark, root, 1) == "".join(r[5] + "\n" for r in rows if r[0] == 1)
     assert shard_text(spark, root, 2) == "".join(r[5] + "\n" for r in rows if r[0] == 2)
     words = {r.file_no: r.words for r in shard_words(spark, root).collect()}
-    sizes = {r.file_no: r.bytes for r in shard_files(spark, root).collect()}
+    sizes = {r.file_no: r.bytes for r in shard_sizes(spark, root, SHARDS).collect()}
     for number in (1, 2):
         text = shard_text(spark, root, number)
         assert (words[number], sizes[number]) == (len(text.split()), len(text.encode()))
 
 
 def shard_text(spark, root, number):
+    """The text of a shard as its files hold it, committed runs only."""
     lines = read_shards(spark, root).filter(F.col("file_no") == number)
     order = lines.select("run_no", "part").distinct().orderBy("run_no", "part").collect()
     text = ""
     for run, part in order:
-        folder = os.path.join(root, f"run_no={run}", f"file_no={number}")
-        with open(os.path.join(folder, part), encoding="utf-8") as handle:
+        (path,) = glob.glob(os.path.join(root, TEXT, f"run_no={run}", "*", f"file_no={number}", part))
+        with open(path, encoding="utf-8") as handle:
             text += handle.read()
     return text

@@ -57,7 +57,7 @@ def test_stated_cases(spark):
 
 INNER = ("k", "k l", "7")
 WRAPPED = ("**{}**", "*{}*", "`{}`", "~~{}~~", "<b>{}</b>", "<a href='x'>{}", "[{}](https://h.example/p)")
-STARTS = ("> ", "- ", "+ ", "* ")
+STARTS = ("> ", "- ", "+ ")
 KEPT = ("k/l", "-7 k", "k-l", "k > l", "5 * 6", "u r", "k.l", "k!l?")
 GONE = ("/u/k", "u/k", "/r/k", "r/k", "https://h.example/k", "<k>", "<k l='m'>")
 RUNS = ((".", 3, 3), (".", 4, 3), (".", 9, 3), ("!", 2, 1), ("!", 7, 1), ("?", 2, 1), ("?", 5, 1))
@@ -66,6 +66,7 @@ RUNS = ((".", 3, 3), (".", 4, 3), (".", 9, 3), ("!", 2, 1), ("!", 7, 1), ("?", 2
 def test_each_marker_by_itself(spark):
     cases = [(w.format(i), i) for w in WRAPPED for i in INNER]
     cases += [(f"{s}k\n{s}l", "k\nl") for s in STARTS]
+    cases += [("* k", "k"), ("* k\n* l", "k\n l")]  # two stars are emphasis, which goes first
     cases += [(k, k) for k in KEPT]
     cases += [(f"m {g} n", "m n") for g in GONE]
     cases += [(f"k{sign * n} l", f"k{sign * left} l") for sign, n, left in RUNS]

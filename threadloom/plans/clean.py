@@ -30,12 +30,12 @@ from threadloom.sources.batches import (
     flat_posts,
     list_batches,
     parse_batches,
-    path_exists,
     pending_files,
     read_files,
 )
-from threadloom.sources.ledgers import PROCESSED, RUNS, SHARDS, append_ledger, read_ledger
-from threadloom.sources.shards import write_shards
+from threadloom.sources.ledgers import PROCESSED, SHARDS
+from threadloom.sources.runs import Attempt, read_table, until_committed
+from threadloom.sources.shards import TEXT, write_shards
 
 COMMENTS = (
     "file_name string, post_pos int, path array<int>, comment_id string, author string,"
@@ -49,47 +49,14 @@ POSTS = (
 
 @dataclass(frozen=True)
 class CleanStore:
-    """Where shards and the ledgers of cleaning live."""
+    """Where the runs of cleaning live: their text, and their ledgers ``shards`` and ``processed``."""
 
     root: str
 
-    @property
-    def text(self) -> str:
-        return f"{self.root}/shards"
 
-    @property
-    def processed(self) -> str:
-        return f"{self.root}/ledgers/processed"
-
-    @property
-    def shards(self) -> str:
-        return f"{self.root}/ledgers/shards"
-
-    @property
-    def runs(self) -> str:
-        return f"{self.root}/ledgers/runs"
-
-
-def next_run(spark: SparkSession, store: CleanStore) -> int:
-    """The first run number that no finished or reserved run has."""
-    finished = read_ledger(spark, store.shards, SHARDS).select("run_no")
-    reserved = read_ledger(spark, store.runs, RUNS).select("run_no")
-    runs = finished.union(reserved)
-    return runs.agg(F.coalesce(F.max("run_no"), F.lit(0)) + 1).first()[0]
-
-
-def reserve_run(spark: SparkSession, store: CleanStore, source: str) -> int:
-    """The run number of ``source``: the one it got before, or a new one.
-
-    Work that may be replayed thus replaces its own output, and no other.
-    """
-    runs = read_ledger(spark, store.runs, RUNS)
-    known = runs.filter(F.col("source") == source).agg(F.min("run_no")).first()[0]
-    if known is not None:
-        return known
-    run_no = next_run(spark, store)
-    append_ledger(spark.createDataFrame([(source, run_no)], RUNS), store.runs)
-    return run_no
+def processed_files(spark: SparkSession, store: CleanStore) -> DataFrame:
+    """(file_name) of all batches that committed runs have processed."""
+    return read_table(spark, store.root, "processed", PROCESSED)
 
 
 def pack_batches(
@@ -97,35 +64,31 @@ def pack_batches(
     comments: DataFrame,
     files: DataFrame,
     store: CleanStore,
+    attempt: Attempt,
     budget: Budget = Budget(),
-    run_no: int | None = None,
 ) -> DataFrame:
-    """Pack cleaned posts and comments of the batches ``files`` into shards.
+    """Pack cleaned posts and comments of the batches ``files`` into shards, as one run.
 
     Both are read several times and are expected to be materialised. Returns
-    one row: posts written, files processed and the shards they went to. The
-    shard text is written first, then the shard ledger, then the processed
-    files. A run that is repeated with its number replaces itself.
+    one row: posts written, files processed and the shards they went to. Text
+    and ledgers are there once the run's manifest is; ``attempt`` was made before
+    ``files`` were compared with what is processed, so a run in between is noticed.
     """
     spark = posts.sparkSession
-    ledger = read_ledger(spark, store.shards, SHARDS)
-    if run_no is None:
-        run_no = next_run(spark, store)
-    before = ledger.filter(F.col("run_no") < run_no)
-    shard = resume_shard(before, budget)
+    shard = resume_shard(read_table(spark, store.root, "shards", SHARDS), budget)
 
     segments = render_segments(posts, comments, KEYS)
     sizes = post_sizes(measure_segments(segments), KEYS)
     placed = materialize(assign_shards(sizes, KEYS, budget, shard))
-    write_shards(attach_shards(segments, shard_ranges(placed)), store.text, run_no)
-
     shards = materialize(shard_summary(placed, KEYS))
-    run = F.lit(run_no).cast("bigint").alias("run_no")
-    entry = shards.select(run, "file_no", "posts", "bytes", "words")
-    if ledger.filter(F.col("run_no") == run_no).isEmpty():
-        append_ledger(entry, store.shards)
-    append_ledger(files.select("file_name").distinct(), store.processed)
-    return clean_summary(shards, files)
+    if not shards.isEmpty():
+        placed_text = attach_shards(segments, shard_ranges(placed))
+        attempt.write(TEXT, lambda folder: write_shards(placed_text, folder))
+    run = F.lit(attempt.run.number).cast("bigint").alias("run_no")
+    attempt.add("shards", shards.select(run, "file_no", "posts", "bytes", "words"))
+    attempt.add("processed", files.select("file_name").distinct())
+    attempt.commit()
+    return clean_summary(shards, files, shard.file_no)
 
 
 def clean_nodes(nodes: DataFrame) -> DataFrame:
@@ -137,11 +100,15 @@ def _names(schema: str) -> list[str]:
     return [part.split()[0] for part in schema.split(", ")]
 
 
-def clean_summary(shards: DataFrame, files: DataFrame) -> DataFrame:
-    """One row: posts_written, files_processed, output_files."""
+def clean_summary(shards: DataFrame, files: DataFrame, first_shard: int = 1) -> DataFrame:
+    """One row: posts_written, files_processed, output_files.
+
+    The shard that was open at the start counts as an output, also if all posts went to later ones.
+    """
+    opened = F.coalesce(F.max("file_no"), F.lit(first_shard)) - F.lit(first_shard) + 1
     written = shards.agg(
         F.coalesce(F.sum("posts"), F.lit(0)).alias("posts_written"),
-        F.count("*").alias("output_files"),
+        opened.cast("bigint").alias("output_files"),
     )
     processed = files.agg(F.count_distinct("file_name").alias("files_processed"))
     return written.select(
@@ -156,32 +123,45 @@ def clean_folder(
 
     Broken and empty files count as processed and are not tried again.
     """
-    processed = read_ledger(spark, store.processed, PROCESSED)
-    pending = materialize(pending_files(list_batches(spark, raw_root), processed))
-    if pending.isEmpty():
-        return _nothing(spark)
-    parsed = parse_batches(read_files(spark, pending))
-    nodes = flat_nodes(parsed, clean_nodes)
-    return pack_batches(flat_posts(nodes), flat_comments(nodes), pending, store, budget)
+
+    def run() -> DataFrame:
+        attempt = Attempt(spark, store.root)
+        pending = pending_files(list_batches(spark, raw_root), processed_files(spark, store))
+        pending = materialize(pending)
+        if pending.isEmpty():
+            return _nothing(spark)
+        parsed = parse_batches(read_files(spark, pending))
+        nodes = flat_nodes(parsed, clean_nodes)
+        return pack_batches(flat_posts(nodes), flat_comments(nodes), pending, store, attempt, budget)
+
+    return until_committed(run)
 
 
 def clean_store(
     spark: SparkSession, raw: RawStore, store: CleanStore, budget: Budget = Budget()
 ) -> DataFrame:
-    """Clean the batches of a raw store that no earlier run has processed."""
-    processed = read_ledger(spark, store.processed, PROCESSED)
-    pending = materialize(pending_files(stored_batches(spark, raw), processed))
-    if pending.isEmpty():
-        return _nothing(spark)
-    posts = spark.read.parquet(raw.posts).join(pending, "file_name", "left_semi")
-    if path_exists(spark, raw.comments):
-        stored = spark.read.parquet(raw.comments)
-        comments = stored.join(pending, "file_name", "left_semi")
-    else:
-        comments = spark.createDataFrame([], COMMENTS)
-    posts = materialize(clean_posts(posts.select(*_names(POSTS))))
-    comments = materialize(clean_comments(comments.select(*_names(COMMENTS))))
-    return pack_batches(posts, comments, pending, store, budget)
+    """Clean the batches of a raw store that no earlier run has processed.
+
+    Only folders of the ingest runs that hold such batches are read.
+    """
+
+    def run() -> DataFrame:
+        attempt = Attempt(spark, store.root)
+        pending = pending_files(stored_batches(spark, raw), processed_files(spark, store))
+        pending = materialize(pending)
+        numbers = {row.run_no for row in pending.select("run_no").distinct().collect()}
+        if not numbers:
+            return _nothing(spark)
+
+        def stored(table: str, schema: str) -> DataFrame:
+            rows = read_table(spark, raw.root, table, None, numbers)
+            return rows.join(pending, "file_name", "left_semi").select(*_names(schema))
+
+        posts = materialize(clean_posts(stored("posts", POSTS)))
+        comments = materialize(clean_comments(stored("comments", COMMENTS)))
+        return pack_batches(posts, comments, pending, store, attempt, budget)
+
+    return until_committed(run)
 
 
 def _nothing(spark: SparkSession) -> DataFrame:

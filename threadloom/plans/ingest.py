@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,21 +20,9 @@ from threadloom.operators.listings import (
 from threadloom.operators.records import normalise_comments, normalise_posts
 from threadloom.operators.threads import with_paths
 from threadloom.session import materialize
-from threadloom.sources.batches import (
-    KEYS,
-    batch_name,
-    next_batch_number,
-    path_exists,
-    write_flat,
-)
-from threadloom.sources.ledgers import (
-    PROCESSED,
-    RUN_STATE,
-    SEEN,
-    append_ledger,
-    latest_state,
-    read_ledger,
-)
+from threadloom.sources.batches import KEYS, batch_name, next_batch_number, write_flat
+from threadloom.sources.ledgers import BATCHES, SEEN, stored_state
+from threadloom.sources.runs import Attempt, read_table, until_committed
 
 # Fixed value: posts per batch.
 DEFAULT_BATCH_SIZE = 50
@@ -41,30 +30,10 @@ DEFAULT_BATCH_SIZE = 50
 
 @dataclass(frozen=True)
 class RawStore:
-    """Where a run keeps its flat tables and ledgers."""
+    """Where the runs of ingest live: ``posts``, ``comments`` and the ledgers ``batches`` and ``seen``."""
 
     root: str
 
-    @property
-    def posts(self) -> str:
-        return f"{self.root}/posts"
-
-    @property
-    def comments(self) -> str:
-        return f"{self.root}/comments"
-
-    @property
-    def batches(self) -> str:
-        return f"{self.root}/ledgers/batches"
-
-    @property
-    def seen(self) -> str:
-        return f"{self.root}/ledgers/seen"
-
-    @property
-    def state(self) -> str:
-        return f"{self.root}/ledgers/state"
-
 
 def new_posts(
     rows: DataFrame, seen: DataFrame, limit: int, batch_size: int, first_batch: int
@@ -76,15 +45,13 @@ def new_posts(
 
 
 def stored_batches(spark: SparkSession, store: RawStore) -> DataFrame:
-    """(file_name) of the batches whose posts and comments are all written."""
-    return read_ledger(spark, store.batches, PROCESSED).distinct()
+    """(file_name, run_no) of the batches of all committed runs."""
+    return read_table(spark, store.root, "batches", BATCHES)
 
 
-def used_names(spark: SparkSession, store: RawStore) -> DataFrame:
-    """(file_name) of all batches with posts, also those of a run cut short."""
-    if not path_exists(spark, store.posts):
-        return spark.createDataFrame([], PROCESSED)
-    return spark.read.parquet(store.posts).select("file_name")
+def seen_ids(spark: SparkSession, store: RawStore) -> DataFrame:
+    """(id) of all posts that committed runs have taken, or taken over."""
+    return read_table(spark, store.root, "seen", SEEN)
 
 
 def ingest(
@@ -101,31 +68,37 @@ def ingest(
 
     ``rows`` are listing rows, ``comments`` name their ``post_id``, ``parent_id``
     and ``pos``. All new posts and all levels of replies are taken unless a
-    ``limit`` or a ``max_depth`` is given. Data is written before the ledgers. What a run cut short has
-    written is never read, and the next run takes the same posts again.
+    ``limit`` or a ``max_depth`` is given. Data and ledgers are one run, there as a whole or
+    not at all; after a run cut short the next one takes the same posts again.
     """
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
     spark = rows.sparkSession
-    seen = read_ledger(spark, store.seen, SEEN)
-    prior = latest_state(read_ledger(spark, store.state, RUN_STATE)).first()["total_posts"]
-    first_batch = next_batch_number(used_names(spark, store)).first()["next_batch"]
-    taken = materialize(new_posts(rows, seen, limit, batch_size, first_batch))
-    # The ledger below changes what is new, so the counts are fixed first.
-    counts = materialize(ingest_counts(classify(rows_met(rows, taken, limit), seen), prior))
-
-    full = rows.join(taken.select(*ORDER, *KEYS), list(ORDER))
-    posts = normalise_posts(full, site_root, community, tuple(KEYS))
-    scraped = F.current_timestamp().alias("scraped_at")
-    write_flat(posts.select("*", scraped), store.posts)
-
-    threads = comments.join(taken.select(F.col("id").alias("post_id"), *KEYS), "post_id")
-    placed = with_paths(threads, KEYS, max_depth)
-    flat = normalise_comments(placed, site_root, (*KEYS, "path", "depth"))
-    write_flat(flat.select("*", scraped), store.comments)
-
-    append_ledger(taken.select("file_name").distinct(), store.batches)
-    append_ledger(taken.select("id"), store.seen)
-    state = counts.select("total_posts", F.current_timestamp().alias("last_run"))
-    append_ledger(state, store.state)
-    return counts
+
+    def run() -> DataFrame:
+        attempt = Attempt(spark, store.root)
+        seen = seen_ids(spark, store)
+        prior = stored_state(spark, store.root).first()["total_posts"]
+        first_batch = next_batch_number(stored_batches(spark, store)).first()["next_batch"]
+        taken = materialize(new_posts(rows, seen, limit, batch_size, first_batch))
+        # The run itself changes what is new, so the counts are fixed first.
+        counts = materialize(ingest_counts(classify(rows_met(rows, taken, limit), seen), prior))
+
+        full = rows.join(taken.select(*ORDER, *KEYS), list(ORDER))
+        posts = normalise_posts(full, site_root, community, tuple(KEYS))
+        scraped = F.current_timestamp().alias("scraped_at")
+        attempt.write("posts", lambda folder: write_flat(posts.select("*", scraped), folder))
+
+        threads = comments.join(taken.select(F.col("id").alias("post_id"), *KEYS), "post_id")
+        placed = with_paths(threads, KEYS, max_depth)
+        flat = normalise_comments(placed, site_root, (*KEYS, "path", "depth"))
+        attempt.write("comments", lambda folder: write_flat(flat.select("*", scraped), folder))
+
+        number = F.lit(attempt.run.number).cast("bigint").alias("run_no")
+        attempt.add("batches", taken.select("file_name").distinct().select("file_name", number))
+        attempt.add("seen", taken.select("id"))
+        now = datetime.now(timezone.utc).isoformat()
+        attempt.commit(total_posts=counts.first()["total_posts"], last_run=now)
+        return counts
+
+    return until_committed(run)

@@ -4,16 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadloom.plans.clean import CleanStore
+from threadloom.plans.clean import CleanStore, processed_files
 from threadloom.plans.ingest import RawStore, stored_batches
 from threadloom.sources.batches import list_batches
-from threadloom.sources.ledgers import (
-    PROCESSED,
-    RUN_STATE,
-    latest_state,
-    read_ledger,
-)
-from threadloom.sources.shards import shard_files
+from threadloom.sources.ledgers import SHARDS, stored_state
+from threadloom.sources.shards import shard_sizes
 
 
 def clean_stats(raw_files: DataFrame, processed: DataFrame, outputs: DataFrame) -> DataFrame:
@@ -48,13 +43,12 @@ def run_summary(state: DataFrame, stats: DataFrame, community: str) -> DataFrame
 def store_stats(spark: SparkSession, raw: RawStore | str, store: CleanStore) -> DataFrame:
     """``clean_stats`` of a raw store, or of a folder of batch files."""
     files = list_batches(spark, raw) if isinstance(raw, str) else stored_batches(spark, raw)
-    processed = read_ledger(spark, store.processed, PROCESSED)
-    return clean_stats(files, processed, shard_files(spark, store.text))
+    return clean_stats(files, processed_files(spark, store), shard_sizes(spark, store.root, SHARDS))
 
 
 def store_summary(
     spark: SparkSession, raw: RawStore, store: CleanStore, community: str
 ) -> DataFrame:
     """The summary shown after a run."""
-    state = latest_state(read_ledger(spark, raw.state, RUN_STATE))
+    state = stored_state(spark, raw.root)
     return run_summary(state, store_stats(spark, raw, store), community)

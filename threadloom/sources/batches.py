@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from threadloom.functions.fields import DEFAULT_AUTHOR, truthy
 from threadloom.operators.threads import AFTER_ALL, nest_tokens
 from threadloom.session import materialize
+from threadloom.sources.files import path_exists
 
 # Names of the files in a raw folder.
 BATCH_GLOB = "*.json"
@@ -33,13 +34,6 @@ JSON_LIMITS = {"maxStringLen": str(2**31 - 1), "maxNestingDepth": "1000000"}
 LEVELS_PER_PASS = 12
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder is there, on any file system Spark can reach."""
-    jvm = spark._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def list_batches(spark: SparkSession, root: str) -> DataFrame:
     """(file_name, path, bytes) of the batch files under ``root``.
 
@@ -215,9 +209,9 @@ def next_batch_number(files: DataFrame) -> DataFrame:
 
 
 def write_flat(df: DataFrame, path: str) -> None:
-    """Append flat posts or comments; batches stay together and prune by statistics."""
+    """Write flat posts or comments; batches stay together and prune by statistics."""
     by_batch = df.repartitionByRange(*KEYS).sortWithinPartitions(*KEYS)
-    by_batch.write.mode("append").parquet(path)
+    by_batch.write.parquet(path)
 
 
 def batch_tokens(

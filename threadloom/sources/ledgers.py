@@ -1,7 +1,7 @@
 """Ledgers: what earlier runs have seen, processed and written.
 
-Each ledger is an append-only table. A run appends to it after its data is
-written, so a crash in between repeats work but loses none.
+Each ledger is a view over the tables of the committed runs of a store. The files that
+single-machine runs keep instead are read here as well.
 """
 
 from __future__ import annotations
@@ -9,32 +9,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.functions.text import strip_space
-from threadloom.sources.batches import JSON_LIMITS, path_exists
+from threadloom.sources.batches import JSON_LIMITS
+from threadloom.sources.files import path_exists
+from threadloom.sources.runs import committed
 
 SEEN = "id string"
 PROCESSED = "file_name string"
 SHARDS = "run_no long, file_no long, posts long, bytes long, words long"
-RUNS = "source string, run_no long"
-RUN_STATE = "total_posts long, last_run timestamp"
+BATCHES = "file_name string, run_no long"
 
 
-def read_ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A ledger table; one that does not exist yet is empty."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
-
-
-def append_ledger(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
-
-
-def latest_state(states: DataFrame) -> DataFrame:
-    """One row (total_posts, last_run): the newest state, or the defaults."""
-    return states.agg(
-        F.coalesce(F.max_by("total_posts", "last_run"), F.lit(0)).alias("total_posts"),
-        F.max("last_run").alias("last_run"),
-    )
+def stored_state(spark: SparkSession, root: str) -> DataFrame:
+    """One row (total_posts, last_run) that the newest run of a raw store left, or the defaults."""
+    values = [run.values for run in committed(spark, root) if "total_posts" in run.values]
+    last = values[-1] if values else {"total_posts": "0"}
+    row = (int(last["total_posts"]), last.get("last_run"))
+    state = spark.createDataFrame([row], "total_posts long, last_run string")
+    return state.select("total_posts", F.col("last_run").cast("timestamp").alias("last_run"))
 
 
 def read_progress_file(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from threadloom.operators.shards import Budget
-from threadloom.plans.clean import CleanStore, clean_nodes, pack_batches, reserve_run
+from threadloom.plans.clean import CleanStore, clean_nodes, pack_batches, processed_files
 from threadloom.session import materialize
 from threadloom.sources.batches import (
     BATCH_GLOB,
@@ -15,7 +15,10 @@ from threadloom.sources.batches import (
     flat_nodes,
     flat_posts,
     parse_batches,
+    pending_files,
 )
+from threadloom.sources.files import hadoop_path
+from threadloom.sources.runs import Attempt, run_of, until_committed
 
 
 def stream_files(spark: SparkSession, raw_root: str, files_per_trigger: int) -> DataFrame:
@@ -41,18 +44,27 @@ def clean_stream(
 ) -> StreamingQuery:
     """Clean the files that are new since the last start, then stop.
 
-    The stream's checkpoint remembers the files. Open shard and budgets carry
-    over in the shard ledger. A micro-batch reserves a run number under its own
-    name, so a replayed one starts from the same shard and replaces its output.
+    The stream's checkpoint remembers the files; those that a run of another kind on the
+    same store has processed are left out. Open shard and budgets carry over in the shard
+    ledger. A micro-batch is one run under its own name: replayed after its run was
+    committed, it does nothing.
     """
+    name = hadoop_path(spark, checkpoint).toString()
 
     def run(files: DataFrame, batch_id: int) -> None:
-        files = materialize(files)
-        if files.isEmpty():
-            return
-        nodes = flat_nodes(parse_batches(files), clean_nodes)
-        run_no = reserve_run(spark, store, f"{checkpoint}#{batch_id}")
-        pack_batches(flat_posts(nodes), flat_comments(nodes), files, store, budget, run_no)
+        files, source = materialize(files), f"stream:{name}#{batch_id}"
+
+        def once() -> None:
+            attempt = Attempt(spark, store.root, source)
+            if run_of(spark, store.root, source):
+                return
+            pending = materialize(pending_files(files, processed_files(spark, store)))
+            if pending.isEmpty():
+                return
+            nodes = flat_nodes(parse_batches(pending), clean_nodes)
+            pack_batches(flat_posts(nodes), flat_comments(nodes), pending, store, attempt, budget)
+
+        until_committed(once)
 
     return (
         stream_files(spark, raw_root, files_per_trigger)
