@@ -27,7 +27,7 @@ from llm.shared import numbered, per_worker, stage
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 600_000
+CACHED_WORDS = 150_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
@@ -41,16 +41,31 @@ def default_tokenizer() -> str:
 
 
 class _Known(dict):
-    """Word -> ids; a word that is missing is returned itself and noted."""
+    """Word -> ids; a word that is missing is returned itself and noted.
+
+    Words come in two generations of at most ``CACHED_WORDS``: one that is met again is
+    taken over into the young one, the others go with the old one.
+    """
 
     def __init__(self) -> None:
         super().__init__()
         self.new: set[str] = set()
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> str:
+    def __missing__(self, word: str) -> str | bytes:
+        ids = self.old.get(word)
+        if ids is not None:
+            self[word] = ids
+            return ids
         self.new.add(word)
         return word
 
+    def age(self) -> None:
+        """Start a new generation once the young one is full."""
+        if len(self) > CACHED_WORDS:
+            self.old = dict(self)
+            self.clear()
+
 
 class WordTokenizer:
     """Token ids of texts, as little-endian 32-bit bytes.
@@ -104,8 +119,7 @@ class WordTokenizer:
                 yield b"".join(parts)
             except TypeError:
                 yield b"".join([p if type(p) is bytes else known[p] for p in parts])
-        if len(known) > CACHED_WORDS:
-            known.clear()
+        known.age()
 
     def _learn(self) -> None:
         """Encode the words met for the first time; trailing signs after letters are tokens of their own."""
@@ -169,7 +183,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
             rows: list[tuple] = []
             ids = batch.column(0).to_pylist()
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            step = 256
+            step = 1000
             for k in range(0, len(texts), step):
                 for doc_id, data in zip(ids[k : k + step], tokenizer.texts(texts[k : k + step]), strict=True):
                     data += end
