@@ -36,7 +36,9 @@ _PARTS = re.compile(r"[a-z]+")
 
 # Elements of HTML by their role. Fixed values.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea template noscript iframe svg math object".split())
+_RAW = frozenset("script style textarea".split())
+#: Formulas and drawings stand in a line of text, whatever elements they hold.
+_FOREIGN = frozenset("svg math".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
 )
@@ -64,7 +66,7 @@ def blocks_of(html: str) -> list[Block]:
     stack: list[tuple[str, str]] = []
     inline: list[tuple[str, str]] = []
     parts: list[str] = []
-    linked = depth_a = 0
+    linked = depth_a = foreign = 0
     names: list[str] = []
 
     def flush() -> None:
@@ -98,6 +100,13 @@ def blocks_of(html: str) -> list[Block]:
         tag = tag.lower()
         if not html.endswith(">", 0, at) and at == len(html):  # cut inside a tag
             break
+        if tag in _FOREIGN:
+            foreign = max(0, foreign - 1) if closing else foreign + (not attributes.endswith("/"))
+            continue
+        if foreign and tag in _ENDS_P:  # such an element ends them, closed or not
+            foreign = 0
+        if foreign and tag not in _RAW:
+            continue
         if tag in _INLINE:
             if tag == "br":
                 parts.append(" ")

@@ -51,3 +51,13 @@ def test_a_page_and_odd_rows(spark):
     found = [tuple(r) for r in extract(pages).collect()]
     assert found == [(1, "u", want, len(want))] * 2 + [(2, None, "", 0), (3, "u", "", 0), (None, "u", "", 0)]
     assert extract(pages.limit(0)).collect() == []
+
+
+def test_only_scripts_styles_and_fields_hold_no_blocks():
+    texts = lambda html: [b.text for b in blocks_of(html)]
+    assert texts("<p>a</p><noscript><p>b</p></noscript><template><p>c</p></template><object><p>d</p></object>") == ["a", "b", "c", "d"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><p>e</p>") == ["so x=2 holds", "e"]
+    assert texts('<p>f <svg viewBox="0"><text>g</text><p>h</p>') == ["f g", "h"]
+    for open_ in ("svg", "object", "noscript", "iframe", "template", "math"):
+        assert texts(f"<article><p>i</p><{open_}><p>j</p><p>k</p></article>")[-2:] == ["j", "k"]
+    assert texts("<p>l</p><script>var m = '<p>n</p>'</script><style>o</style><textarea>q</textarea><p>r <svg/>s</p>") == ["l", "r s"]
