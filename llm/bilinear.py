@@ -277,7 +277,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
     seventh = training.where(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 3)
     parameters = trained(seventh, start_parameters(share), classes, share)
     parameters = trained(training, parameters, classes, share)
-    common = counts.where(F.col("n") >= _least_common(counts)).select("word", "n").toPandas()  # COMMON at most
+    # COMMON at most; the most frequent first, as the first to ask for a slot has it.
+    common = counts.where(F.col("n") >= _least_common(counts)).select("word", "n").orderBy(F.desc("n"), "word").toPandas()
     scorer = Scorer(parameters, classes, common["word"].to_numpy(np.int64).view(np.uint64), common["n"].to_numpy(np.float64), inside)
     sent = docs.sparkSession.sparkContext.broadcast(scorer)
     end_log = float(np.log10(texts + 1.0))
