@@ -11,8 +11,9 @@ are united into components, first inside a task, then over all tasks.
 
 Search is vectorised over queries. A task holds one shard and a part of the queries.
 Their numbers follow from the distinct vectors of a dimension and its size, so that a
-shard is about ``SHARD_BYTES`` of vectors and links and a part ``PART_BYTES`` of
-vectors at any size of the table.
+shard is at most about ``SHARD_BYTES`` of vectors and links and a part ``PART_BYTES`` of
+vectors at any size of the table. As every vector is asked in every shard, work grows
+with vectors times shards; shards are few and large for that.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ from llm.graph import connected_components
 from llm.shared import stage
 
 SIMILAR = 0.9
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 64 << 20
 PART_BYTES = 8 << 20
+#: So many shards and parts at least, to give every core work.
+SHARDS, PARTS = 8, 4
 M = 16
 BUILD_BEAM = 48
 BEAM = 64
@@ -120,7 +123,7 @@ class Graph:
         return out
 
     def _pick_block(self, rows: np.ndarray, candidates: np.ndarray, m: int) -> np.ndarray:
-        sims = np.einsum("ij,ikj->ik", self.x[rows], self.x[np.maximum(candidates, 0)])
+        sims = (self.x[np.maximum(candidates, 0)] @ self.x[rows][:, :, None])[:, :, 0]
         sims[(candidates < 0) | (candidates == rows[:, None])] = -9
         order = np.argsort(candidates, axis=1, kind="stable")
         ordered = np.take_along_axis(candidates, order, axis=1)
@@ -130,7 +133,8 @@ class Graph:
         order = np.argsort(-sims, axis=1)[:, : 3 * m]
         candidates, sims = np.take_along_axis(candidates, order, axis=1), np.take_along_axis(sims, order, axis=1)
         picked = np.zeros(sims.shape, bool)
-        between = np.einsum("ikj,ilj->ikl", self.x[np.maximum(candidates, 0)], self.x[np.maximum(candidates, 0)])
+        near = self.x[np.maximum(candidates, 0)]
+        between = near @ near.transpose(0, 2, 1)
         for k in range(sims.shape[1]):
             apart = ~(picked[:, :k] & (between[:, k, :k] > sims[:, k : k + 1])).any(axis=1) if k else True
             picked[:, k] = apart & (sims[:, k] > -9) & (picked.sum(axis=1) < m)
@@ -154,7 +158,7 @@ class Graph:
             fresh = ~seen[active[:, None], new]
             fresh[:, 1:] &= new[:, 1:] != new[:, :-1]
             seen[active[:, None], new] = True
-            value = np.einsum("ij,ikj->ik", queries[active], self.x[np.minimum(new, n - 1)])
+            value = (self.x[np.minimum(new, n - 1)] @ queries[active][:, :, None])[:, :, 0]
             value[~fresh] = -9
             all_ids = np.concatenate([ids[active], new], axis=1)
             all_sims = np.concatenate([sims[active], value], axis=1)
@@ -208,6 +212,14 @@ class Graph:
     def audited(self, queries: np.ndarray) -> int:
         """A beam with which sampled queries find what a scan of the shard finds."""
         sample = queries[:: max(1, len(queries) // AUDIT)][:AUDIT].astype(np.float32)
+        # Queries may have no neighbour here; copies of vectors of the shard, moved a little, have one at least.
+        rng = np.random.default_rng(7)
+        moved = self.x[rng.integers(0, len(self.x), AUDIT)]
+        aside = rng.standard_normal(moved.shape).astype(np.float32)
+        aside -= (aside * moved).sum(axis=1, keepdims=True) * moved
+        aside /= np.maximum(np.linalg.norm(aside, axis=1, keepdims=True), 1e-9)
+        cosine = rng.uniform(SIMILAR + 0.01, 1, (len(moved), 1)).astype(np.float32)
+        sample = np.concatenate([sample, cosine * moved + np.sqrt(1 - cosine * cosine) * aside])
         sims = sample @ self.x.T
         similar = sims >= SIMILAR
         beam = BEAM
@@ -255,7 +267,8 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 def _build(table: pa.Table) -> pa.Table:
     table = table.sort_by("vec_id")
     graph = Graph(_matrix(table.column("vec")))
-    layers = pa.array([x.tobytes() for x in graph.layers], pa.binary())
+    # A vector has links on its own layers only.
+    layers = pa.array([x[: top + 1].tobytes() for x, top in zip(graph.layers, graph.level.tolist(), strict=True)], pa.binary())
     return pa.table(
         {
             "dim": table.column("dim"),
@@ -275,7 +288,10 @@ def _find(nodes: pa.Table, queries: pa.Table) -> pa.Table:
         return empty
     nodes = nodes.sort_by("place")
     vectors, asked = _matrix(nodes.column("vec")), _matrix(queries.column("vec"))
-    layers = np.stack([np.frombuffer(x.as_buffer(), np.int32).reshape(4, 2 * M) for x in nodes.column("layers")])
+    layers = np.full((len(nodes), 4, 2 * M), -1, np.int32)
+    for k, x in enumerate(nodes.column("layers")):
+        own = np.frombuffer(x.as_buffer(), np.int32).reshape(-1, 2 * M)
+        layers[k, : len(own)] = own
     graph = Graph(vectors, layers)
     ids, copies, query_ids = (t.column(c).to_numpy() for t, c in ((nodes, "vec_id"), (nodes, "copies"), (queries, "vec_id")))
     links = np.zeros(len(asked), np.int64)
@@ -310,9 +326,9 @@ def slices(distinct: DataFrame, shards: int | None = None, parts: int | None = N
     """``(dim, shards, parts)``: into how many slices the vectors of each dimension go."""
     links = 4 * 2 * M * 4  # bytes of a vector's links
     size = F.col("dim").cast("long") * 8
-    cut = lambda given, row, most: F.lit(given) if given else F.ceil(F.col("n") * row / most)
+    cut = lambda given, row, most, least: F.lit(given) if given else F.greatest(F.lit(least), F.ceil(F.col("n") * row / most))
     counts = distinct.groupBy("dim").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select("dim", cut(shards, size + links, SHARD_BYTES).cast("int").alias("shards"), cut(parts, size, PART_BYTES).cast("int").alias("parts"))
+    return counts.select("dim", cut(shards, size + links, SHARD_BYTES, SHARDS).cast("int").alias("shards"), cut(parts, size, PART_BYTES, PARTS).cast("int").alias("parts"))
 
 
 def near_vectors(vectors: DataFrame, shards: int | None = None, parts: int | None = None) -> DataFrame:

@@ -37,6 +37,10 @@ def test_links_and_components(spark):
 def test_groups_stay_bounded_as_the_table_grows(spark, monkeypatch):
     monkeypatch.setattr(hnsw, "SHARD_BYTES", 100 * (16 * 8 + 512))
     monkeypatch.setattr(hnsw, "PART_BYTES", 200 * 16 * 8)
+    rows = spark.range(90).selectExpr("16 AS dim")
+    assert [tuple(r) for r in hnsw.slices(rows).collect()] == [(16, hnsw.SHARDS, hnsw.PARTS)]
+    monkeypatch.setattr(hnsw, "SHARDS", 1)
+    monkeypatch.setattr(hnsw, "PARTS", 1)
     sizes = {}
     for n in (90, 1000, 4000):
         rows = spark.range(n).selectExpr("16 AS dim").union(spark.range(3).selectExpr("8 AS dim"))
@@ -63,3 +67,27 @@ def test_recall_of_the_graph():
     found = graph.search(near, beam)
     hits = [k in f for k, f in enumerate(found) if near[k] @ x[k] >= 0.9]
     assert len(hits) > 1500 and np.mean(hits) >= 0.98
+
+
+def test_planted_links_over_several_shards(spark):
+    # Pairs at every cosine from 0.85 to 1, so that some are links and some just are not.
+    x = RNG.normal(size=(3000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    aside = RNG.normal(size=x.shape)
+    aside -= (aside * x).sum(axis=1, keepdims=True) * x
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    cosine = np.linspace(0.85, 1, len(x))[:, None]
+    both = np.concatenate([x, cosine * x + np.sqrt(1 - cosine**2) * aside])
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(both)], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r for r in near_vectors(table, shards=6, parts=2).collect()}
+    sims = both @ both.T
+    np.fill_diagonal(sims, 0)
+    links = (sims >= 0.9).sum(axis=1)
+    got = np.array([found[k]["n_links"] for k in range(len(both))])
+    assert (got <= links).all() and got.sum() >= 0.99 * links.sum()
+
+
+def test_one_id_twice(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 1.0])]
+    found = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == [(1, 1, 1), (1, 1, 1), (1, 1, 1), (2, 1, 1)]
