@@ -17,6 +17,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from llm.shared import free_name
+
 ACCEPTED = 0.8
 NEARBY = 40
 BLOCK = 128
@@ -60,6 +62,14 @@ def _mod97(match: Column) -> Column:
     return F.length(packed).between(15, 34) & (F.aggregate(F.split(moved, "(?<=.)(?=.)"), F.lit(0), step) == 1)
 
 
+def _random_looking(match: Column) -> Column:
+    """Long hex or base64: many different signs, digits among letters, and no letter or digit too often."""
+    signs = F.split(match, "(?<=.)(?=.)")
+    different = F.size(F.array_distinct(signs))
+    mixed = match.rlike("[0-9]") & match.rlike("[A-Za-z]")
+    return mixed & (different >= 9) & (F.length(F.regexp_replace(match, "[^0-9]", "")) >= 3)
+
+
 # The four base patterns are fixed by their contract; see the module text for how they are written.
 KINDS = (
     Kind(
@@ -103,6 +113,16 @@ KINDS = (
         confirmed=0.4,
         context="iban|account|konto|cuenta|compte|bank|banque|banco",
     ),
+    Kind(
+        "secret",
+        # Runs as keys and tokens have them; what they hold must look drawn at random.
+        r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])",
+        _random_looking,
+        plain=0.3,
+        confirmed=0.2,
+        named=0.4,
+        context=r"(?:token|secret|key|schl\u00fcssel|clave|jeton|passw|pwd|credential|bearer|auth)[a-z_-]{0,12}[\"']?\s*(?:[:=]|is\b|ist\b|es\b|est\b)?\s*[\"']?\n",
+    ),
     Kind(
         "ssn",
         r"[0-9-]{11,}+",
@@ -179,15 +199,15 @@ def _spans(text: Column, kind: Kind) -> Column:
     return F.when(F.instr(text, kind.needs) > 0, found).otherwise(empty) if kind.needs else found
 
 
-def find_pii(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
-    """``docs`` with ``pii``: the spans found, by kind as listed, then by start.
+def find_pii(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS, name: str = "pii") -> DataFrame:
+    """``docs`` with ``name``: the spans found, by kind as listed, then by start.
 
-    Keeps every row and every other column; a column named ``pii`` is replaced. A
+    Keeps every row and every other column; a column of that name is replaced. A
     null or empty text has no spans.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     per_kind = [_spans(whole, kind) for kind in kinds]
-    return docs.withColumn("pii", F.concat(*per_kind))
+    return docs.withColumn(name, F.concat(*per_kind))
 
 
 def listed(spans: Column) -> Column:
@@ -202,8 +222,9 @@ def redact(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS)
     Spans that overlap become one, under the kind that starts first. Texts without
     spans, null among them, stay as they are.
     """
-    found = find_pii(docs, text, kinds)
-    ordered = F.array_sort(F.transform("pii", lambda s: F.struct(s["start"], s["end"], s["kind"])))
+    spans, joint = free_name(docs, "pii"), free_name(docs, "merged")
+    found = find_pii(docs, text, kinds, spans)
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["kind"])))
 
     def merge(state: Column, span: Column) -> Column:
         last = F.element_at(state, -1)
@@ -212,17 +233,17 @@ def redact(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS)
         return F.when(overlaps, F.concat(F.slice(state, 1, F.size(state) - 1), F.array(joined))).otherwise(F.concat(state, F.array(span)))
 
     empty = F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>")
-    merged = found.withColumn("_merged", F.aggregate(ordered, empty, merge))
+    merged = found.withColumn(joint, F.aggregate(ordered, empty, merge))
     body = F.col(text)
 
     def piece(span: Column, i: Column) -> Column:
-        begin = F.when(i > 0, F.coalesce(F.get(F.col("_merged"), i - 1)["end"], F.lit(0))).otherwise(F.lit(0))
+        begin = F.when(i > 0, F.coalesce(F.get(F.col(joint), i - 1)["end"], F.lit(0))).otherwise(F.lit(0))
         kept = F.substring(body, (begin + 1).cast("int"), (span["start"] - begin).cast("int"))
         return F.concat(kept, F.lit("["), F.upper(span["kind"]), F.lit("]"))
 
-    rest = F.substring(body, (F.element_at("_merged", -1)["end"] + 1).cast("int"), F.length(body))
-    replaced = F.concat(F.array_join(F.transform("_merged", piece), ""), rest)
-    return merged.withColumn(text, F.when(F.size("_merged") > 0, replaced).otherwise(body)).drop("_merged", "pii")
+    rest = F.substring(body, (F.element_at(joint, -1)["end"] + 1).cast("int"), F.length(body))
+    replaced = F.concat(F.array_join(F.transform(joint, piece), ""), rest)
+    return merged.withColumn(text, F.when(F.size(joint) > 0, replaced).otherwise(body)).drop(joint, spans)
 
 
 def pii_digest(docs: DataFrame) -> DataFrame:

@@ -75,3 +75,28 @@ def test_redaction(spark):
     found = {r["doc_id"]: r["text"] for r in redact(docs).collect()}
     assert found == {1: None, 2: "", 3: "plain é", 4: "é [EMAIL], [PHONE]", 5: "[EMAIL]"}
     assert redact(docs).columns == docs.columns
+
+
+def test_secrets_are_drawn_at_random_and_named(spark):
+    drawn = "9f3b7a1c5d2e8f0a4b6c1d3e5f7a9b0c2d4e6f8a"
+    rows = [
+        (1, f'note token = "{drawn}" end', True),
+        (2, f"API_KEY={drawn.upper()}", True),
+        (3, "Password: q7Zr9+kP2/xT4mB8vN1cW6yL==", True),
+        (4, f"commit {drawn} was merged", False),  # nothing names it
+        (5, "token = aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1", False),
+        (6, "the key is internationalizationandlocalization", False),
+        (7, "key_of_a_very_long_identifier_name_without_any", False),
+    ]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    found = {r["doc_id"]: "secret" in r["spans"] for r in pii_digest(docs).collect()}
+    assert found == {i: hit for i, _, hit in rows}
+    assert redact(docs).where("doc_id = 1").first()["text"] == 'note token = "[SECRET]" end'
+
+
+def test_clashing_columns_and_an_empty_table(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.cd now", "kept", 5)], "doc_id long, text string, pii string, merged long")
+    docs = docs.withColumn("_merged", docs.pii)
+    assert tuple(redact(docs).first()) == (1, "mail [EMAIL] now", "kept", 5, "kept")
+    none = docs.limit(0)
+    assert redact(none).collect() == [] and pii_digest(none).collect() == [] and redact(none).columns == docs.columns
