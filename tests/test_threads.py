@@ -98,3 +98,37 @@ def test_nested_json(comments, forests):
     for post, (_, children) in forests.items():
         assert json.loads("[" + "".join(texts[post]) + "]") == nested(children, None)
     assert AFTER_ALL == 2**31 - 1
+
+
+def test_chains_thousands_deep_in_few_rounds(spark, monkeypatch):
+    import threadloom.operators.threads as threads
+
+    rounds, plain = [], threads.materialize
+    monkeypatch.setattr(threads, "materialize", lambda df: rounds.append(1) or plain(df))
+    depth = 3000
+    rows = [("p", str(i), None if i == 0 else str(i - 1), i % 3, "", True) for i in range(depth)]
+    got = flatten_adjacency(spark.createDataFrame(rows, ROWS), ["post_id"]).collect()
+    paths = {int(r.comment_id): r.path for r in got}
+    assert all(paths[i] == [k % 3 for k in range(i + 1)] for i in (0, 1, 2, 1023, 2999)) and len(paths) == depth
+    assert len(rounds) <= 13
+
+
+def test_circles_orphans_and_shared_ids(spark):
+    rows = [
+        # A circle of three with a tail, one that holds itself, and a reply to nobody.
+        ("p", "a", "c", 0), ("p", "b", "a", 0), ("p", "c", "b", 0), ("p", "d", "a", 1), ("p", "e", "d", 0),
+        ("p", "s", "s", 0), ("p", "t", "s", 0), ("p", "o", "nobody", 0), ("p", "o2", "o", 0),
+        # Two comments share "x": the less deep one takes the replies, wherever the other stands.
+        ("p", "r", None, 0), ("p", "q", "r", 0), ("p", "x", "q", 0), ("p", "x", "r", 5), ("p", "y", "x", 2), ("p", "z", "y", 1),
+        # One of two that share "w" hangs below itself; "v" hangs below "w", and shares its id too.
+        ("p", "w", "r", 7), ("p", "w", "v", 3), ("p", "v", "w", 4), ("p", "v", "z", 0), ("p", "u", "v", 9),
+        # Replies of other posts do not mix; a comment without an id has no replies.
+        ("n", "y", None, 1), ("n", None, "y", 0), ("n", "x", "y", 3),
+    ]
+    table = spark.createDataFrame([(*r, "", True) for r in rows], ROWS)
+    got = sorted((r.post_id, r.comment_id or "", r.path) for r in flatten_adjacency(table, ["post_id"]).collect())
+    assert got == sorted([
+        ("p", "r", [0]), ("p", "q", [0, 0]), ("p", "x", [0, 0, 0]), ("p", "x", [0, 5]), ("p", "y", [0, 5, 2]), ("p", "z", [0, 5, 2, 1]),
+        ("p", "w", [0, 7]), ("p", "v", [0, 7, 4]), ("p", "w", [0, 7, 4, 3]), ("p", "v", [0, 5, 2, 1, 0]), ("p", "u", [0, 7, 4, 9]),
+        ("n", "y", [1]), ("n", "", [1, 0]), ("n", "x", [1, 3]),
+    ])

@@ -22,43 +22,105 @@ def depth_of(path: Column) -> Column:
     return (F.size(path) - 1).cast("int")
 
 
-def _placed(comments: DataFrame, keys: Sequence[str], max_depth: int | None) -> DataFrame:
-    """(keys, comment_id, parent_id, pos, path) of the rows that can be reached.
+# What a row's pointer leads to: nothing (the row's path is known), one comment, or an
+# id that several comments share.
+DONE, OPEN, SHARED = range(3)
+
 
-    Of comments that share an id, the first that is reached takes the replies
-    to that id, so every row is placed once and the walk ends.
+def _pointers(comments: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, comment_id, parent_id, pos, up, state, path, low): each row with its parent.
+
+    Rows whose parent is not there drop out. ``path`` is the part of the path below
+    ``up``; ``low`` is the least id between the row and ``up``, that one included.
     """
-    usable = comments.filter("usable") if "usable" in comments.columns else comments
     own = ("comment_id", "parent_id", "pos")
+    usable = comments.filter("usable") if "usable" in comments.columns else comments
     slim = usable.select(*keys, *own).distinct()
-    here = F.col("pos").cast("int")
-    top = slim.filter(F.col("parent_id").isNull())
-    level = top.select(*keys, *own, F.array(here).alias("path"))
-    if max_depth is not None and max_depth < 1:
-        return level
-    replies = materialize(slim.filter(F.col("parent_id").isNotNull()))
-    levels, depth, used = [level], 0, None
-    while max_depth is None or depth < max_depth:
-        depth += 1
-        parents = (
-            level.filter(F.col("comment_id").isNotNull())
-            .groupBy(*keys, F.col("comment_id").alias("parent_id"))
-            .agg(F.min("path").alias("path"))
-        )
-        if used is not None:
-            parents = parents.join(used, [*keys, "parent_id"], "left_anti")
-        below = F.array_append("path", here).alias("path")
-        level = materialize(
-            replies.join(parents, [*keys, "parent_id"]).select(*keys, *own, below)
+    path = F.array(F.col("pos").cast("int")).alias("path")
+    top = slim.filter(F.col("parent_id").isNull()).select(
+        *keys, *own, F.col("parent_id").alias("up"), F.lit(DONE).alias("state"), path, F.col("parent_id").alias("low")
+    )
+    holders = slim.groupBy(*keys, F.col("comment_id").alias("parent_id")).agg(F.count("*").alias("_holders"))
+    state = F.when(F.col("_holders") > 1, SHARED).otherwise(OPEN).alias("state")
+    replies = slim.join(holders, [*keys, "parent_id"]).select(
+        *keys, *own, F.col("parent_id").alias("up"), state, path, F.col("parent_id").alias("low")
+    )
+    return top.unionByName(replies)
+
+
+def _doubled(nodes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All pointers moved on: each open one to where the pointer of its comment leads."""
+    above = nodes.filter(F.col("comment_id").isNotNull()).select(
+        *keys, F.col("comment_id").alias("up"), *(F.col(c).alias(f"_{c}") for c in ("up", "state", "path", "low"))
+    )
+    moved = (
+        nodes.filter(F.col("state") == OPEN)
+        .join(above, [*keys, "up"])
+        .withColumns(
+            {
+                "up": F.col("_up"),
+                "state": F.col("_state"),
+                "path": F.concat("_path", "path"),
+                "low": F.least("low", "_low"),
+            }
         )
-        if level.isEmpty():
+    )
+    return nodes.filter(F.col("state") != OPEN).unionByName(moved.select(*nodes.columns))
+
+
+def _placed(comments: DataFrame, keys: Sequence[str], max_depth: int | None) -> DataFrame:
+    """(keys, comment_id, parent_id, pos, path) of the rows that can be reached.
+
+    Pointers double: after k rounds a row knows its 2^k-th ancestor and the path below it, so
+    a forest of depth d takes about log2 d rounds. Rows that hang from nothing, or from a
+    circle, drop out: a circle is found when a comment's own id is the least one above it.
+    """
+    columns = [*keys, "comment_id", "parent_id", "pos", "path"]
+    short = F.lit(True) if max_depth is None else F.size("path") <= max_depth + 1
+    nodes = materialize(_pointers(comments, keys).filter(short))
+    here = F.col("state") == OPEN
+    while True:
+        left = nodes.agg(
+            F.count_if(here).alias("open"),
+            F.count_if(here & (F.col("comment_id") == F.col("low"))).alias("circles"),
+            F.count_if(F.col("state") == SHARED).alias("shared"),
+        ).first()
+        if not left["open"]:
             break
-        levels.append(level)
-        ids = reduce(DataFrame.unionByName, levels[:-1]).select(
-            *keys, F.col("comment_id").alias("parent_id")
-        )
-        used = ids.filter(F.col("parent_id").isNotNull()).distinct()
-    return reduce(DataFrame.unionByName, levels)
+        if left["circles"]:
+            circles = nodes.filter(here & (F.col("comment_id") == F.col("low"))).select(*keys, "low").distinct()
+            nodes = nodes.join(circles, [*keys, "low"], "left_anti").select(*nodes.columns)
+        nodes = materialize(_doubled(nodes, keys).filter(short))
+    done = nodes.filter(F.col("state") == DONE)
+    if not left["shared"]:
+        return done.select(*columns)
+    waiting = nodes.filter(F.col("state") == SHARED)
+    joined = waiting.join(_first_reached(nodes, waiting, keys), [*keys, "up"])
+    below = joined.withColumn("path", F.concat("_path", "path")).filter(short)
+    return done.select(*columns).unionByName(below.select(*columns))
+
+
+def _first_reached(nodes: DataFrame, waiting: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, up, _path): of the comments that share an id, the path of the first that is reached.
+
+    Only those comments are walked, each step from one shared id to the next below it; the
+    shortest path wins, then the first in order. A round that changes nothing is the last.
+    """
+    ids = waiting.select(*keys, F.col("up").alias("comment_id")).distinct()
+    heads = materialize(nodes.filter(F.col("state") != OPEN).join(ids, [*keys, "comment_id"]))
+    first = F.min(F.struct(F.size("path").alias("n"), "path"))["path"]
+    named = [*keys, F.col("comment_id").alias("up")]
+    start = heads.filter(F.col("state") == DONE).select(*keys, "comment_id", "path")
+    best, before = start.groupBy(*named).agg(first.alias("_path")), None
+    while True:
+        best = materialize(best)
+        now = best.agg(F.count("*"), F.sum(F.xxhash64(*keys, "up", "_path").cast("decimal(38,0)"))).first()
+        if now == before:
+            return best
+        before = now
+        further = heads.filter(F.col("state") == SHARED).join(best, [*keys, "up"])
+        further = further.select(*keys, "comment_id", F.concat("_path", "path").alias("path"))
+        best = start.unionByName(further).groupBy(*named).agg(first.alias("_path"))
 
 
 def flatten_adjacency(
@@ -68,8 +130,9 @@ def flatten_adjacency(
 
     Rows need ``comment_id``, ``parent_id`` (null at the top) and ``pos`` among
     siblings; rows with ``usable = false`` drop out with all that hangs below
-    them. One narrow join per level, until a level is empty. If a ``max_depth``
-    is given, comments there are kept and their replies are not followed.
+    them. Pointers to ancestors double each round. Of comments that share an id, the first
+    that is reached takes the replies to that id, so every row is placed once. If a
+    ``max_depth`` is given, comments there are kept and their replies are not followed.
     """
     return _placed(comments, keys, max_depth).select(*keys, "comment_id", "path")
 
