@@ -33,7 +33,12 @@ def test_listing_of_batches(spark, tmp_path):
 
 
 def test_shapes_of_a_batch(spark, tmp_path):
-    put(tmp_path, "array.json", [{"id": "a"}, 5, "text", ["x"], None, {"id": "b"}])
+    put(tmp_path, "array.json", [{"id": "a"}, 5, "text", ["x"], None, {"id": "b"}, '{"id": "no"}', "[1]", True, "S"])
+    put(tmp_path, "single.json", "[{'id': 's'}]")
+    put(tmp_path, "two.json", '{"id": "t"}\n{"id": "u"}')
+    put(tmp_path, "arrays.json", '[{"id": "v"}],[{"id": "w"}]')
+    put(tmp_path, "open.json", '[{"id": "x}]')
+    put(tmp_path, "string.json", '"[{}]"')
     put(tmp_path, "bom.json", "﻿\n [ {\"id\": \"é😀\"} ]\n")
     put(tmp_path, "object.json", {"id": "c"})
     put(tmp_path, "number.json", "7")
@@ -63,7 +68,28 @@ def test_texts_beyond_the_parsers_default_limit(spark, tmp_path):
     assert got[0] == 21_000_000
 
 
-@pytest.mark.parametrize("depth", [1, 12, 13, 30])
+def test_names_are_the_same_wherever_they_come_from(spark, tmp_path):
+    for name in ("a b+c.json", "d%20e.json", "f[1]{2}.json", "gé.json"):
+        put(tmp_path, name, [{"id": name}])
+    listed = B.list_batches(spark, str(tmp_path))
+    names = sorted(r.file_name for r in listed.collect())
+    assert names == sorted(r.file_name for r in B.read_files(spark, listed).collect())
+    assert names == ["a b+c.json", "d%20e.json", "f[1]{2}.json", "gé.json"]
+
+
+def test_values_keep_their_types(spark, tmp_path):
+    odd = 'S"quo\\te" {"k": ["S"]} \n S'
+    replies = [{"id": f"c{k}", "body": odd, "is_submitter": v} for k, v in enumerate([True, False, 1, 0, 0.0, "", "false", [], {}, [0], None])]
+    put(tmp_path, "x.json", [{"id": odd, "title": {"k": ["S", 1]}, "text": "", "upvotes": -2.5, "comments": ['{"id": "no"}', *replies]}])
+    nodes = B.flat_nodes(parsed(spark, tmp_path))
+    (post,) = B.flat_posts(nodes).collect()
+    assert (post.id, post.title, post.text, post.upvotes) == (odd, '{"k":["S",1]}', "", "-2.5")
+    got = {r.comment_id: r for r in B.flat_comments(nodes).collect()}
+    assert [got[f"c{k}"].is_submitter for k in range(11)] == [True, False, True, False, False, False, True, False, False, True, False]
+    assert {r.body for r in got.values()} == {odd} and [got[f"c{k}"].path for k in (0, 10)] == [[1], [11]]
+
+
+@pytest.mark.parametrize("depth", [1, 4, 5, 30, 200])
 def test_comments_at_any_depth(spark, tmp_path, depth):
     chain = {"id": f"c{depth}", "replies": []}
     for level in range(depth - 1, 0, -1):

@@ -172,6 +172,9 @@ def test_fields(spark):
         "", "", "1970-01-01T00:00:00",
     ]
     assert [row[3] for row in got][3:5] == ["none", "none"]
-    flags = spark.createDataFrame([("1", True), ("false", False), (None, None)], "s string, b boolean")
-    shown = flags.select(truthy(F.col("s")), truthy(F.col("b"))).collect()
-    assert [tuple(row) for row in shown] == [(True, True), (False, False), (False, False)]
+    kinds = "s string, b boolean, n double, i int, a array<int>, m map<string,int>"
+    rows = [("false", True, 0.5, -1, [0], {"k": 0}), ("0", False, 0.0, 0, [], {}), ("", None, None, None, None, None)]
+    flags = spark.createDataFrame(rows, kinds)
+    shown = flags.select(*(truthy(F.col(c)) for c in flags.columns)).collect()
+    # Text counts by its length, whatever it says.
+    assert [tuple(row) for row in shown] == [(True,) * 6, (True, *[False] * 5), (False,) * 6]

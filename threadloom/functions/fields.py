@@ -35,9 +35,20 @@ def absolute_permalink(link: Column, site_root: str) -> Column:
 
 
 def truthy(value: Column) -> Column:
-    """True for anything but null, false, zero and empty text."""
-    text = F.lower(value.cast("string"))
-    return F.coalesce(~text.isin("", "false", "0", "0.0"), F.lit(False))
+    """True for anything but null, false, zero, and text, an array or a map without content.
+
+    Text is true by its length alone: ``"false"`` and ``"0"`` are.
+    """
+    text = value.cast("string")
+    kind = F.typeof(value)
+    filled = (
+        F.when(kind == "string", text != "")
+        .when(kind == "boolean", text == "true")
+        .when(kind.like("array<%"), text != "[]")
+        .when(kind.like("map<%"), text != "{}")
+        .otherwise(text.try_cast("double") != 0)
+    )
+    return F.coalesce(filled, F.lit(False))
 
 
 def _iso_sql(value: str) -> str:

@@ -7,12 +7,13 @@ two batches stays two posts.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from threadloom.functions.fields import DEFAULT_AUTHOR, truthy
+from threadloom.functions.fields import DEFAULT_AUTHOR
 from threadloom.operators.threads import AFTER_ALL, nest_tokens
 from threadloom.session import materialize
 from threadloom.sources.files import path_exists
@@ -29,9 +30,18 @@ KEYS = ["file_name", "post_pos"]
 NULL_TEXT = "None"
 
 # The default limits of the JSON parser would turn a file with a long text or a
-# deep thread into nothing.
-JSON_LIMITS = {"maxStringLen": str(2**31 - 1), "maxNestingDepth": "1000000"}
-LEVELS_PER_PASS = 12
+# deep thread into nothing; single quotes are no JSON.
+JSON_LIMITS = {
+    "maxStringLen": str(2**31 - 1),
+    "maxNestingDepth": "1000000",
+    "allowSingleQuotes": "false",
+}
+LEVELS_PER_PASS = 4
+
+# A JSON string. Every string is marked on its first place, so that a value read as text
+# still shows its type: marked, it is a string, else an object, an array, a number or a word.
+STRING = r'"((?:[^"\\]++|\\.)*+)"'
+MARK = "S"
 
 
 def list_batches(spark: SparkSession, root: str) -> DataFrame:
@@ -44,14 +54,18 @@ def list_batches(spark: SparkSession, root: str) -> DataFrame:
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", BATCH_GLOB).load(root)
     )
-    name = F.element_at(F.split("path", "/"), -1)
     return files.select(
-        F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("file_name"),
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
         "path",
         F.col("length").alias("bytes"),
     ).filter(~F.startswith("file_name", F.lit(PROGRESS_PREFIX)))
 
 
+def scanned_name() -> Column:
+    """The name of the file a row was read from, as the listing shows it."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("file_name")
+
+
 def pending_files(files: DataFrame, processed: DataFrame) -> DataFrame:
     """Files not in the ledger of processed names."""
     return files.join(processed.select("file_name"), "file_name", "left_anti")
@@ -65,95 +79,117 @@ def read_files(spark: SparkSession, pending: DataFrame) -> DataFrame:
     paths = [row.path for row in pending.select("path").toLocalIterator()]
     if not paths:
         return spark.createDataFrame([], "file_name string, value string")
-    return spark.read.text(paths, wholetext=True).select(
-        F.col("_metadata.file_name").alias("file_name"), "value"
-    )
+    # A glob character in a path is meant as it stands.
+    literal = [re.sub(r"([\\{}\[\]*?^])", r"\\\1", path) for path in paths]
+    return spark.read.text(literal, wholetext=True).select(scanned_name(), "value")
 
 
 def _from_json(value: Column, schema: str) -> Column:
     return F.from_json(value, schema, JSON_LIMITS)
 
 
+def _marked(text: Column) -> Column:
+    return F.regexp_replace(text, STRING, f'"{MARK}$1"')
+
+
+def _plain(value: Column) -> Column:
+    """A marked value as text: strings without their mark, also those inside an object or array."""
+    nested = F.regexp_replace(value, f'"{MARK}((?:[^"\\\\]++|\\\\.)*+)"', '"$1"')
+    return F.when(F.startswith(value, F.lit(MARK)), F.substring(value, 2, 2**31 - 1)).otherwise(
+        F.when(value.rlike(r"\A[\[{]"), nested).otherwise(value)
+    )
+
+
 def _objects(value: Column) -> Column:
-    """JSON text -> the texts of its array elements; null if it is no array."""
-    return _from_json(value, "array<string>")
+    """Marked JSON text -> the texts of its array elements; null if it is no array."""
+    return F.when(F.startswith(value, F.lit("[")), _from_json(value, "array<string>"))
+
+
+def _record(value: Column) -> Column:
+    """Marked JSON text -> field name -> marked value; null if it is no object."""
+    return F.when(F.startswith(value, F.lit("{")), _from_json(value, "map<string,string>"))
 
 
 def parse_batches(files: DataFrame) -> DataFrame:
-    """(file_name, post_pos, post): one JSON object per row.
+    """(file_name, post_pos, post): one JSON object per row, its names and strings marked.
 
     An array gives its objects, an object is a batch of one post, anything else
-    is an empty batch.
+    is an empty batch. The whole text has to be one JSON value: put in brackets it must
+    be an array of one element, so text behind it, or a second value, breaks the file.
     """
-    text = F.trim("value", F.lit(" \t\r\n﻿"))
-    whole_array = F.startswith(text, F.lit("[")) & F.endswith(text, F.lit("]"))
-    elements = F.when(whole_array, _objects(text)).when(
-        F.startswith(text, F.lit("{")), F.array(text)
-    )
+    text = _marked(F.trim("value", F.lit(" \t\r\n\ufeff")))
+    boxed = F.concat(F.lit("["), text, F.lit("]"))
+    arrays = F.when(F.startswith(text, F.lit("[")), _from_json(boxed, "array<array<string>>"))
+    objects = F.when(F.startswith(text, F.lit("{")), _from_json(boxed, "array<string>"))
+    elements = F.coalesce(F.when(F.size(arrays) == 1, arrays[0]), F.when(F.size(objects) == 1, objects))
     return (
         files.select("file_name", F.posexplode(elements).alias("post_pos", "json"))
-        .withColumn("post", _from_json(F.col("json"), "map<string,string>"))
-        .filter(F.startswith("json", F.lit("{")) & F.col("post").isNotNull())
+        .withColumn("post", _record(F.col("json")))
+        .filter(F.col("post").isNotNull())
         .select(*KEYS, "post")
     )
 
 
+def _value(record: Column, name: str) -> Column:
+    return F.try_element_at(record, F.lit(MARK + name))
+
+
 def _shown(record: Column, name: str, default: str = "") -> Column:
     """A field as text: the default if it is missing, a word if it is null."""
-    value = F.try_element_at(record, F.lit(name))
     return F.when(
-        F.map_contains_key(record, name), F.coalesce(value, F.lit(NULL_TEXT))
+        F.map_contains_key(record, MARK + name), F.coalesce(_plain(_value(record, name)), F.lit(NULL_TEXT))
     ).otherwise(default)
 
 
 def _body(record: Column, name: str) -> Column:
-    return F.coalesce(F.try_element_at(record, F.lit(name)), F.lit(""))
-
-
-def _replies(record: Column, path: Column) -> Column:
-    """The objects below a node: comments of a post, replies of a comment."""
-    name = F.when(F.size(path) == 0, "comments").otherwise("replies")
-    listed = F.transform(
-        _objects(F.try_element_at(record, name)),
-        lambda json, i: F.struct(
-            F.array_append(path, i).alias("path"),
-            _from_json(json, "map<string,string>").alias("record"),
-        ),
-    )
-    found = F.filter(listed, lambda node: node["record"].isNotNull())
-    return F.coalesce(found, F.array())
+    return F.coalesce(_plain(_value(record, name)), F.lit(""))
+
+
+def _truth(value: Column) -> Column:
+    """Whether a marked JSON value counts as true: not null, false, zero or empty."""
+    number = value.try_cast("double")
+    empty = value.isin("false", MARK) | value.rlike(r"\A(?:\[\s*\]|\{\s*\})\z") | F.coalesce(number == 0, F.lit(False))
+    return F.coalesce(~empty, F.lit(False))
 
 
-def _open_levels(rows: DataFrame, first: Column) -> DataFrame:
-    """(keys, path, record, deeper): some levels of nodes, from the ``first`` on.
+def _below(record: Column, path: Column) -> Column:
+    """The texts below a node: comments of a post, replies of a comment."""
+    own = F.when(F.size(path) == 0, F.lit(MARK + "comments")).otherwise(MARK + "replies")
+    return F.try_element_at(record, own)
 
-    Each level is built from the one above inside the row; one explode follows.
-    ``deeper`` marks nodes whose replies are still to be opened.
+
+def _opened(rows: DataFrame) -> DataFrame:
+    """Each open node closed, and the objects below it as rows of their own, open if more is below them.
+
+    A closed row passes through. Siblings are rows before any of them is opened.
     """
-    names = [f"_level{n}" for n in range(LEVELS_PER_PASS)]
-    levels = rows.select(*KEYS, first.alias(names[0]))
-    for above, name in zip(names, names[1:]):
-        below = F.transform(above, lambda node: _replies(node["record"], node["path"]))
-        levels = levels.withColumn(name, F.flatten(below))
-    nodes = levels.select(*KEYS, F.explode(F.concat(*names)).alias("_n"), names[-1])
-    replies = F.coalesce(F.try_element_at("_n.record", F.lit("replies")), F.lit(""))
-    is_last = F.size("_n.path") == F.size(F.get(names[-1], F.lit(0))["path"])
-    deeper = F.coalesce(is_last & ~replies.isin("", "[]", "null"), F.lit(False))
-    return nodes.select(*KEYS, "_n.*", deeper.alias("deeper"))
-
-
-def _fields(record: Column) -> list[Column]:
-    return [
-        _shown(record, "id").alias("id"),
-        _body(record, "title").alias("title"),
-        _body(record, "text").alias("text"),
-        _body(record, "body").alias("body"),
-        _shown(record, "author", DEFAULT_AUTHOR).alias("author"),
-        _shown(record, "created_date").alias("created_date"),
-        _shown(record, "upvotes", "0").alias("upvotes"),
-        _shown(record, "num_comments", "0").alias("num_comments"),
-        truthy(F.try_element_at(record, F.lit("is_submitter"))).alias("is_submitter"),
-    ]
+    node = F.struct("path", "record", F.lit(False).alias("open"))
+
+    def child(json: Column, i: Column) -> Column:
+        path, record = F.array_append("path", i), _record(json)
+        more = F.coalesce(~_below(record, path).isin("", MARK, "[]", "null"), F.lit(False))
+        return F.struct(path.alias("path"), record.alias("record"), more.alias("open"))
+
+    below = F.filter(F.transform(_objects(_below(F.col("record"), F.col("path"))), child), lambda x: x["record"].isNotNull())
+    # What is below has been read, so the closed row goes on without it.
+    kept = F.map_filter("record", lambda name, _: ~name.isin(MARK + "comments", MARK + "replies"))
+    closed = F.array(F.struct("path", kept.alias("record"), F.lit(False).alias("open")))
+    parts = F.when(F.col("open"), F.concat(closed, F.coalesce(below, F.array()))).otherwise(F.array(node))
+    return rows.select(*KEYS, F.explode(parts).alias("_n")).select(*KEYS, "_n.*")
+
+
+def _fields(record: Column) -> dict[str, Column]:
+    return {
+        "id": _shown(record, "id"),
+        "title": _body(record, "title"),
+        "text": _body(record, "text"),
+        "body": _body(record, "body"),
+        "author": _shown(record, "author", DEFAULT_AUTHOR),
+        "created_date": _shown(record, "created_date"),
+        "upvotes": _shown(record, "upvotes", "0"),
+        "num_comments": _shown(record, "num_comments", "0"),
+        "is_submitter": _truth(_value(record, "is_submitter")),
+    }
 
 
 def flat_nodes(
@@ -161,26 +197,24 @@ def flat_nodes(
 ) -> DataFrame:
     """Every post (an empty path) and every comment below it, at any depth.
 
-    The files are read once for both. A pass opens a fixed number of levels and
-    writes what it found, after ``finish``; threads that go deeper are taken up
+    The files are read once for both. A pass opens some levels, one explode each, and
+    writes what it found, after ``finish``; nodes that are still open then are taken up
     by the next pass, from what the last one wrote.
     """
-    root = F.struct(F.array().cast("array<int>").alias("path"), F.col("post").alias("record"))
-    rows, first = parsed, F.array(root)
+    rows = parsed.select(
+        *KEYS, F.array().cast("array<int>").alias("path"), F.col("post").alias("record"), F.lit(True).alias("open")
+    )
     found = []
     while True:
-        opened = _open_levels(rows, first).select(
-            *KEYS,
-            "path",
-            *_fields(F.col("record")),
-            F.when(F.col("deeper"), F.col("record")).alias("record"),
-        )
-        nodes = materialize(finish(opened))
-        found.append(nodes.drop("record"))
-        rows = nodes.filter("record is not null")
+        for _ in range(LEVELS_PER_PASS):
+            rows = _opened(rows)
+        fields = [F.when(~F.col("open"), field).alias(name) for name, field in _fields(F.col("record")).items()]
+        level = rows.select(*KEYS, "path", *fields, F.when(F.col("open"), F.col("record")).alias("record"))
+        nodes = materialize(finish(level))
+        found.append(nodes.filter("record is null").drop("record"))
+        rows = nodes.filter("record is not null").select(*KEYS, "path", "record", F.lit(True).alias("open"))
         if rows.isEmpty():
             return reduce(DataFrame.unionByName, found)
-        first = _replies(F.col("record"), F.col("path"))
 
 
 def flat_posts(nodes: DataFrame) -> DataFrame:

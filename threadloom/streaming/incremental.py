@@ -16,6 +16,7 @@ from threadloom.sources.batches import (
     flat_posts,
     parse_batches,
     pending_files,
+    scanned_name,
 )
 from threadloom.sources.files import hadoop_path
 from threadloom.sources.runs import Attempt, run_of, until_committed
@@ -29,7 +30,7 @@ def stream_files(spark: SparkSession, raw_root: str, files_per_trigger: int) ->
         .option("pathGlobFilter", BATCH_GLOB)
         .option("maxFilesPerTrigger", files_per_trigger)
         .load(raw_root)
-        .select(F.col("_metadata.file_name").alias("file_name"), "value")
+        .select(scanned_name(), "value")
         .filter(~F.startswith("file_name", F.lit(PROGRESS_PREFIX)))
     )
 
