@@ -441,3 +441,86 @@ SELECT '{COMMUNITY}' AS community,
        round(total_output_size / 1048576, 2) AS total_megabytes
 FROM stats
 """
+
+# Deep and odd forests.
+ORACLES["tree_deep"] = f"""
+WITH chains AS ({S.CHAINS})
+SELECT chain_id, comment_id,
+       CAST(row_number() OVER (PARTITION BY chain_id ORDER BY CAST(comment_id AS BIGINT)) - 1 AS INTEGER) AS depth,
+       md5(string_agg(CAST(pos AS VARCHAR), '.') OVER (PARTITION BY chain_id ORDER BY CAST(comment_id AS BIGINT))) AS path_md5
+FROM chains
+"""
+# All comments of an id hang from the same one, so the first of them is the one of the least position.
+ORACLES["tree_duplicate_ids"] = f"""
+WITH RECURSIVE shared AS ({S.SHARED_IDS}),
+ids AS (SELECT chain_id, comment_id, parent_id, min(pos) AS pos FROM shared GROUP BY ALL),
+best AS (
+  SELECT chain_id, comment_id, [pos] AS path FROM ids WHERE parent_id IS NULL
+  UNION ALL
+  SELECT i.chain_id, i.comment_id, list_append(b.path, i.pos)
+  FROM ids i JOIN best b ON i.chain_id = b.chain_id AND i.parent_id = b.comment_id)
+SELECT s.chain_id, s.comment_id, CAST(coalesce(len(b.path), 0) AS INTEGER) AS depth,
+       array_to_string(list_append(coalesce(b.path, []), s.pos), '.') AS path_key
+FROM shared s LEFT JOIN best b ON s.chain_id = b.chain_id AND s.parent_id = b.comment_id
+WHERE s.parent_id IS NULL OR b.path IS NOT NULL
+"""
+
+# Batch files.
+_BATCHED = f"""
+{_TREE},
+batched AS (
+  SELECT *, 'posts_batch_' || lpad(CAST(conv_id // 10 + 1 AS VARCHAR), 4, '0') || '.json' AS file_name,
+         CAST(conv_id % 10 AS INTEGER) AS post_pos FROM forest)
+"""
+# What is read has the positions of the lists: places among siblings.
+_PLACES = f"""(SELECT * REPLACE (CAST(row_number() OVER (
+  PARTITION BY conv_id, parent_id ORDER BY pos) - 1 AS INTEGER) AS pos) FROM ({S.REPLIES}))"""
+ORACLES["batch_scan"] = f"""
+WITH RECURSIVE {_BATCHED.replace(f"({S.REPLIES})", _PLACES)}
+SELECT file_name, post_pos, comment_id AS id, coalesce(author, 'None') AS author, body,
+       CAST(score AS VARCHAR) AS upvotes, is_submitter, path_key FROM batched
+UNION ALL
+SELECT DISTINCT file_name, post_pos, CAST(conv_id AS VARCHAR), '[deleted]', '', '0', false, '' FROM batched
+"""
+ORACLES["batch_shapes"] = f"""
+SELECT CAST(doc_id AS VARCHAR) AS file_name, CASE {S.SHAPE} WHEN 2 THEN 4 ELSE 0 END AS post_pos,
+       CAST(doc_id AS VARCHAR) AS id, coalesce(text, '') AS text
+FROM documents WHERE {S.SHAPE} IN (0, 1, 2, 6)
+"""
+ORACLES["nested_export"] = f"""
+WITH RECURSIVE {_BATCHED},
+posts AS (SELECT file_name, post_pos, conv_id, count(*) AS n FROM batched GROUP BY ALL),
+ends AS (SELECT file_name, max(post_pos) AS post_pos FROM posts GROUP BY file_name)
+SELECT file_name, CASE WHEN row_number() OVER (PARTITION BY conv_id, parent_id ORDER BY pos) > 1
+            THEN ',' ELSE '' END
+       || '{{"id":"' || comment_id || '","upvotes":' || score || ',"replies":[' AS token FROM batched
+UNION ALL SELECT file_name, ']}}' FROM batched
+UNION ALL SELECT file_name, CASE post_pos WHEN 0 THEN '[' ELSE ',' END
+                 || '{{"id":"' || conv_id || '","num_comments":' || n || ',"comments":[' FROM posts
+UNION ALL SELECT p.file_name, ']}}' || CASE WHEN e.post_pos IS NULL THEN '' ELSE ']' END
+          FROM posts p LEFT JOIN ends e USING (file_name, post_pos)
+"""
+
+# Whole runs.
+_TAKEN = f"(SELECT * FROM ({S.SUBMISSIONS}) WHERE usable)"
+ORACLES["ingest_run"] = f"""
+WITH taken AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS n FROM {_TAKEN}),
+threads AS (
+  SELECT conv_id AS doc_id, count(*) AS comments, count(*) FILTER (parent_id IS NULL) AS top_level
+  FROM ({S.REPLIES}) GROUP BY conv_id)
+SELECT 'posts_batch_' || lpad(CAST(n // {BATCH_SIZE} + 1 AS VARCHAR), 4, '0') || '.json' AS file_name,
+       CAST(n % {BATCH_SIZE} AS INTEGER) AS post_pos, id, coalesce(nullif(title, ''), '[no title]') AS title,
+       {_blanked("selftext")} AS text, {_author("author")} AS author, {_iso("created_utc")} AS created_date,
+       coalesce(comments, 0) AS comments, coalesce(top_level, 0) AS top_level
+FROM taken LEFT JOIN threads USING (doc_id)
+"""
+_TITLE = "coalesce(nullif(title, ''), '[no title]')"
+_RUN = (
+    _packed(BOTH_BUDGETS)
+    .replace(_clean("title"), _clean(_TITLE))
+    .replace("coalesce(author, '[deleted]') AS author", f"{_author('author')} AS author")
+    .replace(f"FROM ({S.SUBMISSIONS}) LEFT JOIN", f"FROM {_TAKEN} LEFT JOIN")
+)
+ORACLES["clean_run"] = f"""
+WITH RECURSIVE {_RUN} SELECT CAST(1 AS BIGINT) AS run_no, file_no, posts, bytes, words FROM shards
+"""

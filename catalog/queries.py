@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -64,8 +65,22 @@ from threadloom.operators.threads import (
 )
 from threadloom.plans.clean import clean_summary
 from threadloom.plans.reports import clean_stats, run_summary
-from threadloom.sources.batches import next_batch_number, pending_files
-from threadloom.session import materialize
+from threadloom.plans.clean import CleanStore, clean_store
+from threadloom.plans.ingest import RawStore, ingest
+from threadloom.sources.batches import (
+    batch_name,
+    batch_tokens,
+    flat_comments,
+    flat_nodes,
+    flat_posts,
+    next_batch_number,
+    parse_batches,
+    pending_files,
+    write_nested,
+)
+from threadloom.sources.ledgers import SHARDS
+from threadloom.sources.runs import read_table
+from threadloom.session import fresh_folder, materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -502,3 +517,112 @@ def run_summary_events(spark: SparkSession, folder: str) -> DataFrame:
     stats = QUERIES["shard_stats"](spark, folder)
     return run_summary(state, stats, COMMUNITY).drop("last_run")
 
+
+# Deep and odd forests ------------------------------------------------------
+
+
+@query("tree_deep")
+def tree_deep(spark: SparkSession, folder: str) -> DataFrame:
+    """Chains of 2,500 replies: paths of every length, as a checksum."""
+    placed = with_paths(stand_in(spark, folder, S.CHAINS), ["chain_id"])
+    return placed.select("chain_id", "comment_id", "depth", F.md5(F.array_join("path", ".")).alias("path_md5"))
+
+
+@query("tree_duplicate_ids")
+def tree_duplicate_ids(spark: SparkSession, folder: str) -> DataFrame:
+    placed = with_paths(stand_in(spark, folder, S.SHARED_IDS), ["chain_id"])
+    return placed.select("chain_id", "comment_id", "depth", _path_key())
+
+
+# Batch files ---------------------------------------------------------------
+
+
+def _flat_batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Conversations as posts of ten a batch, and their turns as comments with paths."""
+    batch = F.expr("CAST(floor(conv_id / 10) AS BIGINT) + 1")
+    keyed = [batch_name(batch).alias("file_name"), F.expr("CAST(conv_id % 10 AS INT)").alias("post_pos")]
+    forest = _forest(spark, folder)
+    turns = F.count("*").alias("num_comments")
+    posts = forest.groupBy("conv_id").agg(turns).select(*keyed, F.col("conv_id").cast("string").alias("id"), "num_comments")
+    return posts, forest.select(*keyed, "path", "comment_id", "author", "body", F.col("score").alias("upvotes"), "is_submitter")
+
+
+def _batch_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(file_name, value): those batches as JSON text, a file a row as the scan reads them."""
+    posts, comments = _flat_batches(spark, folder)
+    fields = F.col("comment_id").alias("id"), "author", "body", "upvotes", "is_submitter"
+    tokens = batch_tokens(posts, comments, ("id", "num_comments"), fields)
+    listed = F.array_sort(F.collect_list(F.struct("post_pos", "path", "token")))
+    text = F.array_join(F.transform(listed, lambda t: t["token"]), "\n")
+    return tokens.groupBy("file_name").agg(text.alias("value"))
+
+
+@query("batch_scan")
+def batch_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested batch files read back: a row per post and comment."""
+    nodes = flat_nodes(parse_batches(materialize(_batch_files(spark, folder))))
+    columns = "file_name", "post_pos", "id", "author", "body", "upvotes", "is_submitter"
+    comments = flat_comments(nodes).withColumnRenamed("comment_id", "id").select(*columns, _path_key())
+    posts = flat_posts(nodes).withColumns({"body": F.lit(""), "is_submitter": F.lit(False)})
+    return comments.unionByName(posts.select(*columns, F.lit("").alias("path_key")))
+
+
+@query("batch_shapes")
+def batch_shapes(spark: SparkSession, folder: str) -> DataFrame:
+    """A file per document: an object, arrays with strays, and files that are not one JSON value."""
+    docs = spread(table(spark, folder, "documents"))
+    post = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), "text"), {"ignoreNullFields": "false"})
+    quoted = F.to_json(F.struct(post.alias("v")))  # {"v":"..."}: the string that spells the object
+    shapes = [
+        F.concat(F.lit("["), post, F.lit("]")),
+        post,
+        F.concat(F.lit('[5, ["x"], null, '), F.expr("substring(quoted, 6, length(quoted) - 6)"), F.lit(", "), post, F.lit("]")),
+        F.concat(F.lit("["), post, F.lit("] and more")),
+        F.concat(F.lit("[{'id': '"), F.col("doc_id"), F.lit("'}]")),
+        F.concat(post, F.lit("\n"), post),
+        F.concat(F.lit(" \n ["), post, F.lit("]\n")),
+        F.concat(F.lit("["), F.expr("left(post, length(post) - 1)"), F.lit("]")),
+    ]
+    shape = F.expr(S.SHAPE)
+    value = reduce(lambda x, k: x.when(shape == k, shapes[k]), range(1, len(shapes)), F.when(shape == 0, shapes[0]))
+    files = docs.withColumn("post", post).withColumn("quoted", quoted).select(F.col("doc_id").cast("string").alias("file_name"), value.alias("value"))
+    posts = flat_posts(flat_nodes(parse_batches(files)))
+    return posts.select("file_name", "post_pos", "id", "text")
+
+
+@query("nested_export")
+def nested_export(spark: SparkSession, folder: str) -> DataFrame:
+    """Batches written as nested JSON text to a fresh folder, and what the folder then holds."""
+    posts, comments = _flat_batches(spark, folder)
+    root = fresh_folder(spark, "nested")
+    write_nested(batch_tokens(posts, comments, ("id", "num_comments"), (F.col("comment_id").alias("id"), "upvotes")), root)
+    return spark.read.text(root).select("file_name", F.col("value").alias("token"))
+
+
+# Whole runs ----------------------------------------------------------------
+
+
+def _ingested(spark: SparkSession, folder: str) -> RawStore:
+    """All usable documents and their threads, taken into a store of their own."""
+    rows = stand_in(spark, folder, S.SUBMISSIONS).withColumns({"listing_rank": F.lit(0), "pos": F.col("doc_id")})
+    comments = _replies(spark, folder).withColumn("post_id", F.concat(F.lit("d"), F.col("conv_id")))
+    store = RawStore(fresh_folder(spark, "raw"))
+    ingest(spread(rows), comments, store, SITE, COMMUNITY, batch_size=BATCH_SIZE)
+    return store
+
+
+@query("ingest_run")
+def ingest_run(spark: SparkSession, folder: str) -> DataFrame:
+    """A run of ingest, read back: each post with its place and its comments."""
+    store = _ingested(spark, folder)
+    counts = count_comments(read_table(spark, store.root, "comments"), ["file_name", "post_pos"])
+    posts = read_table(spark, store.root, "posts").join(counts, ["file_name", "post_pos"], "left").fillna(0, ["comments", "top_level"])
+    return posts.select("file_name", "post_pos", "id", "title", "text", "author", "created_date", "comments", "top_level")
+
+
+@query("clean_run")
+def clean_run(spark: SparkSession, folder: str) -> DataFrame:
+    """A run of ingest, then one of cleaning: the shards its ledger names."""
+    store = CleanStore(fresh_folder(spark, "clean"))
+    clean_store(spark, _ingested(spark, folder), store, BOTH_BUDGETS)
+    return read_table(spark, store.root, "shards", SHARDS).select("run_no", "file_no", "posts", "bytes", "words")

@@ -58,6 +58,30 @@ SELECT conv_id,
 FROM conversations
 """
 
+# Chains of 2,500 replies, each under the one before it.
+CHAIN = 2500
+CHAINS = f"""
+SELECT CAST(floor(event_id / {CHAIN}) AS BIGINT) AS chain_id,
+       CAST(event_id AS STRING) AS comment_id,
+       CASE WHEN event_id % {CHAIN} > 0 THEN CAST(event_id - 1 AS STRING) END AS parent_id,
+       CAST(user_id % 3 AS INTEGER) AS pos
+FROM events
+"""
+
+# Ids that comments share: two of every three events have the id of the first of them. Replies
+# name the shared id three below; where that chain starts, a comment is at the top.
+SHARED_IDS = """
+SELECT CAST(event_id % 7 AS BIGINT) AS chain_id,
+       CAST(CAST(floor(event_id / 21) AS BIGINT) AS STRING) AS comment_id,
+       CASE WHEN floor(event_id / 21) % 8 > 0
+            THEN CAST(CAST(floor(event_id / 21) AS BIGINT) - 1 AS STRING) END AS parent_id,
+       CAST(floor(event_id / 7) % 3 AS INTEGER) AS pos
+FROM events
+"""
+
+# A batch file per document, whole or broken in one of eight ways.
+SHAPE = "CAST(doc_id % 8 AS INTEGER)"
+
 EVENT_IDS = """
 SELECT CASE WHEN event_type = 'view' AND value < 1 THEN CAST(NULL AS STRING)
             ELSE 'e' || CAST(CAST(floor(event_id / 2) AS BIGINT) AS STRING) END AS id,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -31,15 +33,23 @@ def build_session(
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder, or else one in the shared warehouse."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A path on shared storage that nothing uses yet."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's shared checkpoint folder, or else one in the shared warehouse."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-    context.setCheckpointDir(folder)
+    context.setCheckpointDir(shared_folder(spark))
 
 
 def materialize(df: DataFrame) -> DataFrame:
