@@ -21,7 +21,8 @@ skipped are already connected, so no component misses a link.
 
 Texts are named by a hash of id and text, so those without an id, or several under one,
 are told apart. Equal sets are one node throughout, however many texts have them. Block entries
-travel packed by slot; slots hold about ``SLOT_ENTRIES`` entries at any size.
+travel packed by slot, twelve bytes each; slots hold about ``SLOT_ENTRIES`` entries at any size.
+Before shingle sets travel, sizes and parity bits refuse most candidates that are no links.
 """
 
 from __future__ import annotations
@@ -33,15 +34,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from llm.graph import connected_components
-from llm.shared import discard, stage, total_bytes
-from llm.words import Hasher, mix, shingle_sets
+from llm.shared import discard, free_name, stage, total_bytes
+from llm.words import Hasher, mix, pieces, shingle_sets
 
 NUMERATOR, DENOMINATOR = 75, 100
 SLOT_ENTRIES = 400_000
 BYTES_PER_ENTRY = 9  # of text, measured on prose; only sets the number of slots
 BAND_RATIO = 2.5
 MAX_BITS = 1 << 16
-PAIRS_PER_TASK = 1500
+#: Entries a task holds before it passes them on, bytes of shingle sets compared in one task, and rows of ids broadcast at most.
+HELD_ENTRIES = 500_000
+TASK_BYTES = 8 << 20
+BROADCAST_ROWS = 2_000_000
 BLOCK = 512
 
 SIGNATURE = "doc_id long, row long, n_shingles long, node long, bits binary"
@@ -109,12 +113,12 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), row_name().alias("row"), "text").mapInArrow(run, SIGNATURE)
 
 
-_ROW = np.dtype([("key", "<u4"), ("node", "<i8"), ("spare", "<u2"), ("band", "u1")])
+_ROW = np.dtype([("key", "<u4"), ("node", "<i8")])  # the key's last bit is the band's
+_SIZE = np.dtype([("node", "<i8"), ("n", "<i8")])
 
 
-def _blocks(found: np.ndarray, node: int) -> Iterator[tuple[np.ndarray, int, int]]:
-    """Block digests of a set in each of its bands, with the band and the blocks it may leave out."""
-    n = len(found)
+def bands_of(n: int) -> Iterator[tuple[int, int, int]]:
+    """``(band, blocks, spare)`` of a set of ``n`` shingles: spare blocks may be left out. Two bands at most, next to each other."""
     shape = bands(n)
     for b, (low, high) in enumerate(shape):
         if not low <= n <= high:
@@ -125,32 +129,31 @@ def _blocks(found: np.ndarray, node: int) -> Iterator[tuple[np.ndarray, int, int
                 continue
         else:
             other = min(high, DENOMINATOR * n // NUMERATOR)
-        count, apart = blocks_of(high), most_apart(n + other)
+        count = blocks_of(high)
+        yield b, count, count - most_apart(n + other) - 1
+
+
+def _blocks(found: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """Block digests of a set in each of its bands, with the band."""
+    for b, count, _ in bands_of(len(found)):
         at = ((mix(found ^ np.uint64(b + 1)) >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(at, kind="stable")
         at, inside = at[order], found[order]
         starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
         digest = np.zeros(count, np.uint64)
         digest[at[starts]] = np.bitwise_xor.reduceat(inside, starts)
-        yield mix(digest ^ mix(np.arange(count, dtype=np.uint64) + np.uint64((b + 1) << 40))), b, count - apart - 1
+        yield mix(digest ^ mix(np.arange(count, dtype=np.uint64) + np.uint64((b + 1) << 40))), b
 
 
 def packed_blocks(docs: DataFrame, slots: int) -> DataFrame:
-    """All block entries, packed per input batch and slot, each set once a batch."""
+    """All block entries, packed by slot as they come, each set once a task."""
 
     def pack(keys: list, rows: list) -> Iterator[pa.RecordBatch]:
         key = np.concatenate(keys)
         row = np.concatenate(rows)
         slot = ((key >> np.uint64(32)) % np.uint64(slots)).astype(np.int32)
-        row["key"] = key & np.uint64(0xFFFFFFFF)
-        order = np.argsort(slot, kind="stable")
-        slot, row = slot[order], row[order]
-        starts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
-        ends = np.append(starts[1:], len(slot))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(slot[starts]), pa.array([row[a:z].tobytes() for a, z in zip(starts, ends, strict=True)], pa.binary())],
-            ["slot", "entries"],
-        )
+        row["key"] |= (key & np.uint64(0xFFFFFFFE)).astype(np.uint32)
+        yield _by_slot(slot, row, "entries")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen, keys, rows, held = Hasher(), set(), [], [], 0
@@ -162,80 +165,146 @@ def packed_blocks(docs: DataFrame, slots: int) -> DataFrame:
                 if node in seen:
                     continue
                 seen.add(node)
-                for digests, band, spare in _blocks(found, node):
+                for digests, band in _blocks(found):
                     row = np.empty(len(digests), _ROW)
-                    row["node"], row["band"], row["spare"] = node, band, min(spare, 65535)
+                    row["node"], row["key"] = node, band & 1
                     keys.append(digests)
                     rows.append(row)
                     held += len(digests)
-                if held > 4_000_000:
+                if held > HELD_ENTRIES:
                     yield from pack(keys, rows)
-                    seen, keys, rows, held = set(), [], [], 0
+                    keys, rows, held = [], [], 0
         if keys:
             yield from pack(keys, rows)
 
     return docs.select("text").mapInArrow(run, ENTRY)
 
 
-def shared_blocks(entries: DataFrame, slots: int) -> DataFrame:
+def packed_sizes(members: DataFrame, slots: int) -> DataFrame:
+    """``(slot, sizes)``: the size of each node, where its blocks will be."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            row = np.empty(len(batch), _SIZE)
+            row["node"], row["n"] = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            row = np.unique(row)
+            yield _by_slot((row["node"].copy().view(np.uint64) % np.uint64(slots)).astype(np.int32), row, "sizes")
+
+    return members.select("node", "n_shingles").mapInArrow(run, "slot int, sizes binary")
+
+
+def _by_slot(slot: np.ndarray, row: np.ndarray, name: str) -> pa.RecordBatch:
+    """``row`` cut into one binary value a slot."""
+    order = np.argsort(slot, kind="stable")
+    slot, row = slot[order], row[order]
+    starts = np.flatnonzero(np.append(len(slot) > 0, slot[1:] != slot[:-1]))
+    ends = np.append(starts, len(slot))[1:]
+    data = [row[a:z].tobytes() for a, z in zip(starts, ends, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(slot[starts], pa.int32()), pa.array(data, pa.binary())], ["slot", name])
+
+
+def shared_blocks(entries: DataFrame, members: DataFrame, slots: int) -> DataFrame:
     """``(block, node, shared)``: of each set the blocks it has to be looked for in.
 
     Blocks that two or more sets share are counted and packed again by node; a node's
     most frequent ones go as far as its band allows. ``shared`` is the number of blocks
     the node shares with anyone.
     """
-    shape = np.dtype([("block", "<i8"), ("node", "<i8"), ("count", "<u4"), ("spare", "<u2"), ("band", "u1")])
+    shape = np.dtype([("block", "<i8"), ("node", "<i8"), ("count", "<u2")])
 
     def count(table: pa.Table) -> pa.Table:
         slot = table.column("slot")[0].as_py() if len(table) else 0
         row = np.concatenate([np.frombuffer(x.as_buffer(), _ROW) for x in table.column("entries")])
-        row = row[np.lexsort((row["node"], row["key"], row["band"]))]
-        same_key = (row["key"][1:] == row["key"][:-1]) & (row["band"][1:] == row["band"][:-1])
+        row = row[np.lexsort((row["node"], row["key"]))]
+        same_key = row["key"][1:] == row["key"][:-1]
         row = row[np.append(True, ~(same_key & (row["node"][1:] == row["node"][:-1])))]
-        starts = np.flatnonzero(
-            np.append(True, (row["key"][1:] != row["key"][:-1]) | (row["band"][1:] != row["band"][:-1]))
-        )
+        starts = np.flatnonzero(np.append(True, row["key"][1:] != row["key"][:-1]))
         counts = np.diff(np.append(starts, len(row)))
         keep = np.repeat(counts > 1, counts)
         out = np.empty(int(keep.sum()), shape)
-        for name in ("node", "spare", "band"):
-            out[name] = row[name][keep]
-        out["count"] = np.repeat(counts, counts)[keep]
-        out["block"] = (
-            row["key"][keep].astype(np.int64) + (np.int64(slot) << np.int64(32))
-        ) * np.int64(64) + row["band"][keep].astype(np.int64)
-        home = (out["node"].view(np.uint64) % np.uint64(slots)).astype(np.int32)
-        order = np.argsort(home, kind="stable")
-        home, out = home[order], out[order]
-        cuts = np.flatnonzero(np.append(len(home) > 0, home[1:] != home[:-1]))
-        ends = np.append(cuts[1:], len(home))
-        return pa.table(
-            {
-                "slot": pa.array(home[cuts]),
-                "entries": pa.array([out[a:z].tobytes() for a, z in zip(cuts, ends, strict=True)], pa.binary()),
-            }
-        )
+        out["node"] = row["node"][keep]
+        out["count"] = np.minimum(np.repeat(counts, counts)[keep], 65535)
+        out["block"] = row["key"][keep].astype(np.int64) + (np.int64(slot) << np.int64(32))
+        home = (out["node"].copy().view(np.uint64) % np.uint64(slots)).astype(np.int32)
+        return pa.Table.from_batches([_by_slot(home, out, "entries")])
 
     def rarest(table: pa.Table) -> pa.Table:
-        row = np.concatenate([np.frombuffer(x.as_buffer(), shape) for x in table.column("entries")])
-        row = row[np.lexsort((row["block"], row["count"], row["band"], row["node"]))]
-        starts = np.flatnonzero(
-            np.append(True, (row["node"][1:] != row["node"][:-1]) | (row["band"][1:] != row["band"][:-1]))
-        )
+        parts = [np.frombuffer(x.as_buffer(), shape) for x in table.column("entries") if x.is_valid]
+        row = np.concatenate(parts) if parts else np.empty(0, shape)
+        known = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), _SIZE) for x in table.column("sizes") if x.is_valid] or [np.empty(0, _SIZE)]))
+        band = row["block"] & 1
+        row = row[np.lexsort((row["block"], row["count"], band, row["node"]))]
+        band = row["block"] & 1
+        starts = np.flatnonzero(np.append(len(row) > 0, (row["node"][1:] != row["node"][:-1]) | (band[1:] != band[:-1])))
         sizes = np.diff(np.append(starts, len(row)))
+        spares: dict[int, dict[int, int]] = {}
+        n = known["n"][np.searchsorted(known["node"], row["node"][starts])].tolist()
+        for k in set(n):
+            spares[k] = {b & 1: spare for b, _, spare in bands_of(k)}
+        spare = np.array([spares[k][b] for k, b in zip(n, band[starts].tolist(), strict=True)], np.int64)
         place = np.arange(len(row)) - np.repeat(starts, sizes)
-        keep = place < np.repeat(sizes, sizes) - row["spare"].astype(np.int64)
+        keep = place < np.repeat(sizes - spare, sizes)
         weight = np.repeat(sizes, sizes)[keep].astype(np.int32)
         return pa.table({"block": pa.array(row["block"][keep]), "node": pa.array(row["node"][keep]), "shared": pa.array(weight)})
 
-    counted = entries.groupBy("slot").applyInArrow(count, ENTRY)
-    return counted.groupBy("slot").applyInArrow(rarest, "block long, node long, shared int")
+    counted = entries.groupBy("slot").applyInArrow(count, ENTRY).withColumn("sizes", F.lit(None).cast("binary"))
+    sizes = packed_sizes(members, slots).select("slot", F.lit(None).cast("binary").alias("entries"), "sizes")
+    return counted.union(sizes).groupBy("slot").applyInArrow(rarest, "block long, node long, shared int")
 
 
-def shingle_table(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """``(node, found)``: the sorted shingles of the named sets, from one text each."""
+def _small(table: DataFrame) -> DataFrame:
+    """A staged table of ids, sent to all tasks if it is small enough; Spark joins a larger one by shuffling."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def named_rows(nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """``(node, row, n_shingles)``: of each of ``nodes`` one row that has it, with the size of its set."""
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"]  # an id's text, if any has one
-    chosen = stage(members.join(nodes, "node", "left_semi").groupBy("node").agg(least.alias("row")).select("row"), "texts")
+    chosen = members.join(nodes, "node", "left_semi").groupBy("node").agg(least.alias("row"), F.first("n_shingles").alias("n_shingles"))
+    return stage(chosen, "texts")
+
+
+def _one_each(table: DataFrame) -> DataFrame:
+    """A staged table with one row a node; rows that repeat in the input may have left more."""
+    rows, nodes = table.agg(F.count(F.lit(1)), F.count_distinct("node")).first()
+    return table if rows == nodes else table.dropDuplicates(["node"])
+
+
+def node_bits(chosen: DataFrame, members: DataFrame) -> DataFrame:
+    """``(node, bits)`` of the chosen rows."""
+    own = members.select("row", "bits").join(_small(chosen.select("node", "row")), "row")
+    return _one_each(stage(own.select("node", "bits"), "bits"))
+
+
+def screened(pairs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs whose sizes and parity bits allow a link, ``(x, y, m)`` with ``y``'s size, and their nodes' rows."""
+    nodes = stage(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct(), "nodes")
+    chosen = named_rows(nodes, members)
+    size = chosen.select("node", "n_shingles")
+    sized = pairs.join(size.toDF("x", "n"), "x").join(size.toDF("y", "m"), "y")
+    sized = stage(sized.where(DENOMINATOR * F.least("n", "m") >= NUMERATOR * F.greatest("n", "m")), "pairs")
+    bits = node_bits(chosen, members)
+    both = sized.join(bits.toDF("x", "a"), "x").join(bits.toDF("y", "b"), "y").select("x", "y", "n", "m", "a", "b")
+
+    def near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(len(batch), bool)
+            totals = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            for k, (a, b) in enumerate(zip(batch.column(4), batch.column(5), strict=True)):
+                a, b = np.frombuffer(a.as_buffer(), np.uint8), np.frombuffer(b.as_buffer(), np.uint8)
+                width = min(len(a), len(b))
+                apart = np.bitwise_xor.reduce(a.reshape(-1, width), axis=0) ^ np.bitwise_xor.reduce(b.reshape(-1, width), axis=0)
+                keep[k] = int(np.bitwise_count(apart).sum()) <= most_apart(int(totals[k]))
+            yield batch.select([0, 1, 3]).filter(pa.array(keep))
+
+    return stage(both.mapInArrow(near, "x long, y long, m long"), "pairs"), chosen
+
+
+def shingle_table(docs: DataFrame, nodes: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``(node, found)``: the sorted shingles of the named sets, from one text each."""
+    rows = stage(chosen.join(nodes, "node", "left_semi").select("row"), "texts")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen = Hasher(), set()
@@ -244,44 +313,37 @@ def shingle_table(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> Data
             for row in batch.column(0).to_pylist():
                 new.append(row not in seen)
                 seen.add(row)
-            sets = [x for x in shingle_sets(batch.column(1).filter(pa.array(new, pa.bool_())), hasher)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([node_of(x) if len(x) else None for x in sets], pa.int64()),
-                    pa.array([x.tobytes() for x in sets], pa.binary()),
-                ],
-                ["node", "found"],
-            )
+            for part in pieces(batch.column(1).filter(pa.array(new, pa.bool_())), 50):
+                sets = list(shingle_sets(part, hasher))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([node_of(x) if len(x) else None for x in sets], pa.int64()),
+                        pa.array([x.tobytes() for x in sets], pa.binary()),
+                    ],
+                    ["node", "found"],
+                )
 
-    # The size of the staged names is known, so Spark broadcasts them only if they are small.
-    texts = docs.select(row_name().alias("row"), "text").join(chosen, "row", "left_semi").select("row", "text").mapInArrow(run, "node long, found binary")
-    return stage(texts.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "shingles")
+    texts = docs.select(row_name().alias("row"), "text").join(_small(rows), "row", "left_semi").select("row", "text")
+    return _one_each(stage(texts.mapInArrow(run, "node long, found binary"), "shingles"))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
     """Those of the distinct ``(x, y)`` that are links by the exact similarity of their sets."""
-    spark = pairs.sparkSession
-    count = pairs.count()
-    if not count:
+    if not pairs.head(1):
         return pairs
+    pairs, chosen = screened(pairs, members)
     nodes = stage(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct(), "nodes")
-    found = shingle_table(docs, nodes, members)
-    tasks = max(1, -(-count // PAIRS_PER_TASK))
-    parts = F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / (PAIRS_PER_TASK // 2))).cast("int")
-    centres = pairs.groupBy("x").agg(parts.alias("parts"))
-    # A centre with many partners is split; its set goes to each part.
+    found = shingle_table(docs, nodes, chosen)
+    # A centre with many or large partners is split; its set goes to each part.
+    parts = F.greatest(F.lit(1), F.ceil(8 * F.sum("m") / TASK_BYTES)).cast("int")
+    centres = stage(pairs.groupBy("x").agg(parts.alias("parts"), F.sum("m").alias("m")), "centres")
+    total = int(centres.agg(F.sum("m")).first()[0] or 0)
+    tasks = max(1, -(-8 * total // TASK_BYTES))
     part = lambda: F.pmod(F.xxhash64("x", "part"), F.lit(tasks)).cast("int").alias("task")
-    right = (
-        pairs.join(centres, "x")
-        .withColumn("part", F.pmod(F.xxhash64("y"), F.col("parts")).cast("int"))
-        .join(found.select(F.col("node").alias("y"), "found"), "y")
-        .select(part(), "x", "y", "found")
-    )
-    left = (
-        centres.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .join(found.select(F.col("node").alias("x"), "found"), "x")
-        .select(part(), "x", F.lit(None).cast("long").alias("y"), "found")
-    )
+    right = stage(pairs.join(centres.select("x", "parts"), "x").withColumn("part", F.pmod(F.xxhash64("y"), F.col("parts")).cast("int")), "pairs")
+    right = found.select(F.col("node").alias("y"), "found").join(_small(right), "y").select(part(), "x", "y", "found")
+    left = stage(centres.select("x", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")), "centres")
+    left = found.select(F.col("node").alias("x"), "found").join(_small(left), "x").select(part(), "x", F.lit(None).cast("long").alias("y"), "found")
 
     def check(table: pa.Table) -> pa.Table:
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("found")]
@@ -298,18 +360,26 @@ def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame
         return pa.table({"x": pa.array([a for a, _ in linked], pa.int64()), "y": pa.array([b for _, b in linked], pa.int64())})
 
     links = stage(left.union(right).groupBy("task").applyInArrow(check, "x long, y long"), "links")
-    discard(found)
+    for table in (found, nodes):
+        discard(table)
     return links
 
 
 def pairs_within(blocks: DataFrame, members: DataFrame, roots: DataFrame) -> DataFrame:
     """Candidates inside blocks whose members are in several components, filtered by parity bits."""
     placed = blocks.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("block").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("size"))
+    members_of = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in (0, 1)]
+    mixed = placed.groupBy("block").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("size"), *members_of)
+    # Texts that share a passage share many blocks: of blocks with the same members one is enough.
+    mixed = mixed.where("a != b").groupBy("size", "h0", "h1").agg(F.min("block").alias("block"))
     # A large block is compared in squares of BLOCK by BLOCK rows.
-    mixed = mixed.where("a != b").select("block", F.ceil(F.col("size") / BLOCK).cast("int").alias("sides"))
-    own = members.groupBy("node").agg(F.first("n_shingles").alias("size"), F.first("bits").alias("bits"))
-    rows = placed.join(mixed, "block").join(own, "node").withColumn("side", F.pmod(F.xxhash64("node"), F.col("sides")).cast("int"))
+    mixed = mixed.select("block", F.ceil(F.col("size") / BLOCK).cast("int").alias("sides"))
+    met = stage(placed.join(mixed, "block"), "met")
+    if not met.head(1):
+        return met.select(F.col("node").alias("x"), F.col("node").alias("y"))
+    chosen = named_rows(met.select("node").distinct(), members)
+    own = node_bits(chosen, members).join(chosen.select("node", F.col("n_shingles").alias("size")), "node")
+    rows = met.join(own, "node").withColumn("side", F.pmod(F.xxhash64("node"), F.col("sides")).cast("int"))
     squares = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1))).select(
         "block", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "root", "size", "bits"
     )
@@ -355,7 +425,7 @@ def components(docs: DataFrame) -> DataFrame:
     slots = max(16, total_bytes(docs, "text") // BYTES_PER_ENTRY // SLOT_ENTRIES)
     members = stage(signatures(docs), "signatures")
     filled = members.where("node IS NOT NULL")
-    blocks = stage(shared_blocks(packed_blocks(docs, slots), slots), "blocks")
+    blocks = stage(shared_blocks(packed_blocks(docs, slots), filled, slots), "blocks")
     # The text that others were copied from keeps all its blocks, and is similar to more of them.
     centres = blocks.groupBy("block").agg(F.max(F.struct("shared", "node"))["node"].alias("x"))
     # A centre meets all others of its block here, so only the others are compared later.
@@ -367,7 +437,10 @@ def components(docs: DataFrame) -> DataFrame:
     more = verified(second, docs, filled)
     if more.head(1):
         roots = stage(_roots(links.union(more)), "roots")
-    return members.join(roots, "node", "left").select("doc_id", "row", "n_shingles", F.coalesce("root", "node").alias("root"))
+    discard(blocks)
+    columns = "doc_id", "row", "n_shingles"
+    placed = filled.select(*columns, "node").join(roots, "node", "left").select(*columns, F.coalesce("root", "node").alias("root"))
+    return placed.union(members.where("node IS NULL").select(*columns, F.col("node").alias("root")))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -379,8 +452,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     repeated. ``component_id`` is the smallest ``doc_id`` reachable by links.
     """
     found = stage(components(docs), "components")
-    smallest = found.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("smallest"))
-    return found.join(smallest, "root", "left").select("doc_id", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"))
+    linked = found.where("root IS NOT NULL")
+    # Texts alone in their component need no partner; the others' components are few.
+    least = linked.groupBy("root").agg(F.min("doc_id").alias("smallest"), F.count(F.lit(1)).alias("n"))
+    several = stage(least.where("n > 1").select("root", "smallest"), "smallest")
+    named = linked.join(several, "root", "left").select("doc_id", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"))
+    return named.union(found.where("root IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def _roots(links: DataFrame) -> DataFrame:
@@ -396,9 +473,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     row, except those that have neither an id nor words, which are nobody's copies.
     """
     found = stage(components(docs), "components")
+    name, each = free_name(docs, "row"), free_name(docs, "each")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"]
-    kept = found.where("root IS NOT NULL").groupBy("root").agg(first.alias("_row")).select("_row", F.lit(False).alias("_each"))
-    blank = found.where("root IS NULL").select(F.col("row").alias("_row"), F.col("doc_id").isNull().alias("_each")).distinct()
-    rows = docs.withColumn("_row", row_name()).join(stage(kept.union(blank), "kept"), "_row")
-    rows = rows.withColumn("_each", F.when(F.col("_each"), F.monotonically_increasing_id()))
-    return rows.dropDuplicates(["_row", "doc_id", "_each"]).select(*docs.columns)
+    kept = found.where("root IS NOT NULL").groupBy("root").agg(first.alias(name)).select(name, F.lit(False).alias(each))
+    blank = found.where("root IS NULL").select(F.col("row").alias(name), F.col("doc_id").isNull().alias(each)).distinct()
+    rows = docs.withColumn(name, row_name()).join(stage(kept.union(blank), "kept"), name)
+    rows = rows.withColumn(each, F.when(F.col(each), F.monotonically_increasing_id()))
+    return rows.dropDuplicates([name, "doc_id", each]).select(*docs.columns)
