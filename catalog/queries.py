@@ -235,10 +235,10 @@ def listing_union_events(spark: SparkSession, folder: str) -> DataFrame:
         label: F.lit(True) if days is None else F.col("ts") >= last - F.expr(f"INTERVAL {days} DAY")
         for label, days in S.TOP_DAYS.items()
     }
-    best = [F.desc("value"), F.asc("event_id")]
+    best = ["value DESC", "event_id"]
     sorts = {
         "hot": Sort(best),
-        "new": Sort([F.desc("ts"), F.asc("event_id")]),
+        "new": Sort(["ts DESC", "event_id"]),
         "top": Sort(best, ranges),
     }
     listed = listing_union(events.select("event_id", "ts", "value"), sorts, SORTS)

@@ -76,8 +76,8 @@ def test_batches(spark):
 def test_listing_union_caps_and_ranks(spark, caplog):
     posts = spark.createDataFrame([(f"p{i}", i) for i in range(10)], "id string, score int")
     sorts = {
-        "new": Sort([F.desc("score")]),
-        "top": Sort([F.asc("score")], {"few": F.col("score") < 2, "all": F.lit(True)}),
+        "new": Sort(["score DESC"]),
+        "top": Sort(["score"], {"few": F.col("score") < 2, "all": F.lit(True)}),
     }
     names = ("new", "odd", "top")
     assert [x[0] for x in expand_sorts(names, sorts)] == ["new", "top/few", "top/all"]

@@ -9,13 +9,14 @@ for the winners only.
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from threadloom.operators.ordering import with_global_index
+from threadloom.operators.ordering import with_global_index, with_index_in
 
 logger = logging.getLogger(__name__)
 
@@ -28,17 +29,20 @@ TOP_RANGES = ("day", "week", "month", "year", "all")
 
 @dataclass(frozen=True)
 class Sort:
-    """How one sort orders posts; ``ranges`` are label -> filter, in order."""
+    """How one sort orders posts; ``ranges`` are label -> filter, in order.
 
-    order: Sequence[Column]
+    ``order`` is spelled as in SQL: an expression, and ``DESC`` if it descends.
+    """
+
+    order: Sequence[str]
     ranges: dict[str, Column] = field(default_factory=dict)
 
 
 def expand_sorts(
     names: Sequence[str], sorts: dict[str, Sort]
-) -> list[tuple[str, Column | None, Sequence[Column]]]:
+) -> list[tuple[str, Column | None, Sequence[str]]]:
     """(label, filter, order) per listing; an unknown sort is skipped."""
-    listings: list[tuple[str, Column | None, Sequence[Column]]] = []
+    listings: list[tuple[str, Column | None, Sequence[str]]] = []
     for name in names:
         sort = sorts.get(name)
         if sort is None:
@@ -56,18 +60,29 @@ def listing_union(
     names: Sequence[str] = SORTS,
     items: int = 0,
 ) -> DataFrame:
-    """Every listing, with its rank and the position in it; only the top ``items`` if given."""
-    parts = []
-    for rank, (label, keep, order) in enumerate(expand_sorts(names, sorts)):
-        rows = posts if keep is None else posts.filter(keep)
-        numbered = with_global_index(rows, order, "pos")
-        if items > 0:
-            numbered = numbered.filter(F.col("pos") <= items)
-        parts.append(
-            numbered.withColumn("listing", F.lit(label))
-            .withColumn("listing_rank", F.lit(rank))
-        )
-    return reduce(DataFrame.unionByName, parts)
+    """Every listing, with its rank and the position in it; only the top ``items`` if given.
+
+    All listings are cut into ordered chunks at once: one scan, one exchange. Rows are
+    ordered by listing, then by the order of its sort; keys of other sorts are null.
+    """
+    listings = expand_sorts(names, sorts)
+    if not listings:
+        return posts.limit(0).select(F.lit(0).cast("bigint").alias("pos"), "*", F.lit("").alias("listing"), F.lit(0).alias("listing_rank"))
+    orders = list(dict.fromkeys(tuple(order) for _, _, order in listings))
+    entries = []
+    for rank, (label, keep, order) in enumerate(listings):
+        entry = F.struct(F.lit(label).alias("listing"), F.lit(rank).alias("listing_rank"), F.lit(orders.index(tuple(order))).alias("_sort"))
+        entries.append(entry if keep is None else F.when(keep, entry))
+    listed = posts.withColumn("_in", F.explode(F.array_compact(F.array(*entries)))).select(*posts.columns, "_in.*")
+    keys = {}
+    for n, order in enumerate(orders):
+        for k, spelled in enumerate(order):
+            plain = re.sub(r"(?i)\s+(asc|desc)\s*$", "", spelled)
+            down = re.search(r"(?i)\sdesc\s*$", spelled)
+            listed = listed.withColumn(f"_k{n}_{k}", F.when(F.col("_sort") == n, F.expr(plain)))
+            keys[f"_k{n}_{k}"] = F.desc(f"_k{n}_{k}") if down else F.asc(f"_k{n}_{k}")
+    numbered = with_index_in(listed, ["listing_rank"], list(keys.values()), "pos").drop("_sort", *keys)
+    return numbered.filter(F.col("pos") <= items) if items > 0 else numbered
 
 
 def _met_at() -> Column:

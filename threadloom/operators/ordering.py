@@ -45,3 +45,28 @@ def with_global_index(
         .withColumn(name, F.col("_offset") + F.col("_row") + F.lit(first - 1).cast("bigint"))
         .drop("_chunk", "_row", "_offset")
     )
+
+
+def with_index_in(
+    df: DataFrame, groups: Sequence[str], order: Sequence[str | Column], name: str, first: int = 1
+) -> DataFrame:
+    """Number the rows of each group ``first``, ``first + 1``, ... along ``order``.
+
+    All groups are cut into ordered chunks together, and a group has as many as its rows
+    fill; offsets are one row per group and chunk.
+    """
+    chunks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
+    cut = range_chunks(df, [*groups, *order], chunks, "_chunk")
+    before = Window.partitionBy(*groups).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        cut.groupBy(*groups, "_chunk")
+        .agg(F.count("*").alias("_rows"))
+        .select(*groups, "_chunk", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    )
+    inside = F.row_number().over(Window.partitionBy(*groups, "_chunk").orderBy(*order))
+    return (
+        cut.withColumn("_row", inside)
+        .join(offsets, [*groups, "_chunk"])
+        .withColumn(name, F.col("_offset") + F.col("_row") + F.lit(first - 1).cast("bigint"))
+        .drop("_chunk", "_row", "_offset")
+    )
