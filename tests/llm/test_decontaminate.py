@@ -1,11 +1,12 @@
 """Planted passages are found, clean texts are not; the index loses no fingerprint in its radius."""
 
 import random
+from collections import Counter
 
 import numpy as np
 
 from llm import decontaminate
-from llm.decontaminate import RADIUS, Benchmark, contaminated, without_benchmark
+from llm.decontaminate import BLOCKS, RADIUS, Benchmark, contaminated, without_benchmark
 
 R = random.Random(2)
 WORDS = [f"w{k}" for k in range(400)]
@@ -72,13 +73,82 @@ def test_empty_tables(spark):
     assert without_benchmark(docs, items.limit(0)).count() == len(DOCS)
 
 
+NONE = np.zeros(0, np.uint64), np.zeros(0)
+
+
+def flipped(prints, rng, bits):
+    flips = rng.choice(128, bits, replace=False)
+    out = prints.copy()
+    for f in flips.tolist():
+        out[f // 32] ^= np.uint32(1 << (f % 32))
+    return out
+
+
 def test_the_index_yields_all_within_the_radius():
-    bench = Benchmark([(k, " ".join(prose(30))) for k in range(50)])
-    rng = np.random.default_rng(5)
-    for _ in range(40):
-        item = int(rng.integers(50))
-        flips = rng.choice(64, int(rng.integers(0, 33)), replace=False)
-        near = bench.prints[item] ^ np.bitwise_or.reduce(np.uint64(1) << flips.astype(np.uint64), initial=np.uint64(0))
-        prints = np.array([near], np.uint64)
-        want = {k for k in range(50) if int(np.bitwise_count(near ^ bench.prints[k])) <= RADIUS}
-        assert {k for _, k, _ in bench.near(prints, np.arange(50))} == want
+    bench = Benchmark([(k, " ".join(prose(30))) for k in range(50)], NONE)
+    rng, every = np.random.default_rng(5), np.arange(50)
+    for _ in range(60):
+        item, bits = int(rng.integers(50)), int(rng.integers(0, 55))
+        got = {k: d for _, k, d in bench.near(flipped(bench.prints[False][item], rng, bits)[None, :], every)}
+        assert got.get(item) == (bits if bits <= RADIUS else None)
+        assert all(d <= RADIUS for d in got.values())
+
+
+def test_the_index_lets_few_unrelated_fingerprints_through():
+    rng = np.random.default_rng(6)
+    ours, theirs = rng.integers(0, 1 << 32, (2, 1500, BLOCKS), dtype=np.uint32)
+    met = np.zeros((1500, 1500), bool)
+    for b in range(BLOCKS):
+        met |= np.bitwise_count(ours[:, b, None] ^ theirs[None, :, b]) <= RADIUS // BLOCKS
+    assert met.mean() < 0.15
+
+
+def shingle_counts(words):
+    n = min(5, len(words))
+    return Counter(tuple(words[k : k + n]) for k in range(len(words) - n + 1)) if words else Counter()
+
+
+def by_all_windows(docs, items):
+    """(doc, item) -> best similarity over all windows, none left out."""
+    counts = {i: shingle_counts(t.split()) for i, t in items}
+    holders = Counter(h for c in counts.values() for h in c)
+    out = {}
+    for d, text in docs:
+        words = text.lower().split()
+        for i, t in items:
+            n = len(t.split())
+            for start in range(max(1, len(words) - n + 1)):
+                ours, theirs = shingle_counts(words[start : start + n]), counts[i]
+                best = 0.0
+                for weight in (lambda h: 1.0, lambda h: 1.0 / holders.get(h, 1)):
+                    more = sum(weight(h) * max(ours[h], theirs[h]) for h in ours.keys() | theirs.keys())
+                    less = sum(weight(h) * min(ours[h], theirs[h]) for h in ours.keys() & theirs.keys())
+                    best = max(best, less / more if more else 0.0)
+                if best >= 0.75:
+                    out[d, i] = max(best, out.get((d, i), 0.0))
+    return out
+
+
+def test_recall_against_all_windows_whatever_the_slices(spark, monkeypatch):
+    r = random.Random(9)
+    common = prose(14)
+    items = [(k, " ".join(prose(24) + (common if k % 3 else []) + prose(r.randint(0, 12)))) for k in range(30)]
+    items += [(40, items[0][1]), (41, items[1][1] + " more")]
+    docs = []
+    for k in range(150):
+        words = dict(items)[r.choice([i for i, _ in items])].split()
+        for _ in range(r.randint(0, 3)):  # edits that take the similarity to either side of the bound
+            words[r.randrange(len(words))] = "changed"
+        docs.append((k, " ".join([*prose(r.randint(0, 20)), *words, *prose(r.randint(0, 20))])))
+    want = by_all_windows(docs, items)
+    assert len(want) > 80
+    texts = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    results = []
+    for bound in (decontaminate.SLICE_BYTES, 1000):
+        monkeypatch.setattr(decontaminate, "SLICE_BYTES", bound)
+        results.append({(x["doc_id"], x["item_id"]): x["similarity"] for x in contaminated(texts, bench).collect()})
+    assert results[0] == results[1]
+    assert results[0].keys() <= want.keys() and len(results[0]) >= 0.99 * len(want)
+    close = [abs(s - want[k]) < 1e-9 for k, s in results[0].items()]
+    assert sum(close) >= 0.99 * len(close)
