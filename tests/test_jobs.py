@@ -13,10 +13,11 @@ from threadloom.operators.shards import Budget
 from threadloom.plans.adopt import adopt_clean, adopt_raw
 from threadloom.plans.clean import CleanStore, clean_folder, clean_nodes, clean_store
 from threadloom.plans.curate import Source, curate
+from threadloom.plans.export import export_progress
 from threadloom.plans.ingest import RawStore, ingest, seen_ids
 from threadloom.plans.reports import store_stats
 from threadloom.sources import batches as B
-from threadloom.sources.ledgers import SHARDS
+from threadloom.sources.ledgers import SHARDS, stored_state
 from threadloom.sources.runs import read_table
 from threadloom.sources.shards import read_shards
 from threadloom.streaming.incremental import clean_stream, dedup_stream
@@ -363,3 +364,54 @@ def test_stream_dedup(spark, tmp_path):
     put(folder, "2.json", '{"id":"a","at":"2024-01-01T01:00:00"}\n{"id":"b","at":"2024-01-01T01:00:00"}')
     assert run() == ["a", "b"]
     assert dedup_stream(stream).isStreaming
+
+
+def test_stream_dedup_knows_what_other_runs_have_taken(spark, tmp_path):
+    folder, store = tmp_path / "in", RawStore(str(tmp_path / "raw"))
+    folder.mkdir()
+    put(tmp_path, "scraping_progress.json", {"seen_ids": ["a", "b"], "total_posts": 2})
+    adopt_raw(spark, str(tmp_path), store)
+    stream = spark.readStream.schema("id string, at timestamp").json(str(folder))
+
+    def run():
+        out = str(tmp_path / "out")
+        query = (
+            dedup_stream(stream, "at", "1 day", seen_ids(spark, store))
+            .writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", str(tmp_path / "ckpt"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        state = sum(x.numRowsTotal for x in query.lastProgress.stateOperators) if query.lastProgress else 0
+        return sorted(r.id for r in spark.read.parquet(out).collect()), state
+
+    rows = "".join(json.dumps({"id": i, "at": "2024-01-01T00:00:00"}) + "\n" for i in "aabc")
+    put(folder, "1.json", rows)
+    ids, state = run()
+    assert ids == ["c"] and state == 1  # ids of the adopted run are no state
+    put(folder, "2.json", rows.replace("2024-01-01T00", "2024-01-01T01") + json.dumps({"id": "d", "at": "2024-01-01T02:00:00"}))
+    assert run()[0] == ["c", "d"]  # a restart goes on with both
+    put(folder, "3.json", json.dumps({"id": "e", "at": "2024-02-01T00:00:00"}))
+    put(folder, "4.json", json.dumps({"id": "f", "at": "2024-02-02T00:00:00"}))
+    assert run()[0] == ["c", "d", "e", "f"]
+
+
+def test_exported_progress_is_sorted_json_and_comes_back(spark, tmp_path):
+    names = ["z", "a", 'q"uote', "back\\slash", "line\nbreak", "é", "😀", "￼", "", ",", "]", "10", "9"]
+    put(tmp_path, "scraping_progress.json", {"seen_ids": [*names, *names], "total_posts": 41})
+    first, second = RawStore(str(tmp_path / "one")), RawStore(str(tmp_path / "two"))
+    adopt_raw(spark, str(tmp_path), first)
+    path = export_progress(spark, first, str(tmp_path / "old"))
+    parts = sorted(p for p in os.listdir(path) if p.startswith("part-"))
+    text = "".join(open(os.path.join(path, p), encoding="utf-8").read() for p in parts)
+    state = json.loads(text)
+    assert state["seen_ids"] == sorted(names) and state["total_posts"] == 41 and state["last_run"]
+    adopt_raw(spark, str(tmp_path / "old"), second)
+    assert sorted(r.id for r in seen_ids(spark, second).collect()) == sorted(names)
+    assert stored_state(spark, second.root).first().total_posts == 41
+    # A store without runs is an empty list.
+    path = export_progress(spark, RawStore(str(tmp_path / "none")), str(tmp_path / "new"))
+    parts = sorted(p for p in os.listdir(path) if p.startswith("part-"))
+    assert json.loads("".join(open(os.path.join(path, p)).read() for p in parts)) == {"seen_ids": [], "total_posts": 0, "last_run": None}

@@ -15,3 +15,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on any file system Spark can reach."""
     plain = spark._jvm.org.apache.hadoop.fs.Path(path)
     return plain.getFileSystem(spark._jsc.hadoopConfiguration()).exists(plain)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there."""
+    plain = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = plain.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(plain) and files.getFileStatus(plain).isDirectory()

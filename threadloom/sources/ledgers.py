@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.functions.text import strip_space
 from threadloom.sources.batches import JSON_LIMITS
-from threadloom.sources.files import path_exists
+from threadloom.sources.files import is_folder, path_exists
 from threadloom.sources.runs import committed
 
 SEEN = "id string"
@@ -32,8 +32,11 @@ def read_progress_file(spark: SparkSession, path: str) -> tuple[DataFrame, DataF
     """(seen ids, one-row state) of a progress file in JSON.
 
     A missing, broken or non-object file gives the defaults. An older form
-    holds only ``last_processed_id``, which joins the seen ids.
+    holds only ``last_processed_id``, which joins the seen ids. The path may also be the
+    folder that ``export_progress`` writes, an id a line.
     """
+    if is_folder(spark, path):
+        return _read_parts(spark, path)
     if path_exists(spark, path):
         text = spark.read.text(path, wholetext=True)
     else:
@@ -55,6 +58,18 @@ def read_progress_file(spark: SparkSession, path: str) -> tuple[DataFrame, DataF
     return seen, state
 
 
+def _read_parts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    lines = spark.read.option("lineSep", "\n").text(path)
+    quoted = F.regexp_extract("value", r'(?s)\A,?(".*")\z', 1)
+    listed = F.from_json(F.concat(F.lit("["), quoted, F.lit("]")), "array<string>", JSON_LIMITS)
+    seen = lines.select(F.explode(listed).alias("id")).filter("id is not null").distinct()
+    tail = F.from_json(F.regexp_replace("value", r"\A\],", "{"), "total_posts long, last_run string")
+    state = lines.filter(F.startswith("value", F.lit("],"))).select(tail.alias("s")).agg(
+        F.coalesce(F.max("s.total_posts"), F.lit(0)).alias("total_posts"), F.max("s.last_run").alias("last_run")
+    )
+    return seen, state
+
+
 def read_processed_file(spark: SparkSession, path: str) -> DataFrame:
     """Names in a text ledger, one per line; blank lines do not count."""
     if not path_exists(spark, path):

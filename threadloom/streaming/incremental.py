@@ -77,13 +77,20 @@ def clean_stream(
 
 
 def dedup_stream(
-    posts: DataFrame, event_time: str | None = None, keep_for: str | None = None
+    posts: DataFrame,
+    event_time: str | None = None,
+    keep_for: str | None = None,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """First occurrence of each id across all runs of a stream.
 
     With an event time, an id is forgotten after ``keep_for`` and state stays
-    bounded; without, it is remembered for good.
+    bounded; without, it is remembered for good. Ids of ``seen``, a table such as
+    ``plans.ingest.seen_ids``, are dropped before they become state: what earlier runs
+    of any kind have taken needs no room in the stream's own.
     """
+    if seen is not None:
+        posts = posts.join(seen.select("id"), "id", "left_anti").select(*posts.columns)
     if event_time and keep_for:
         return posts.withWatermark(event_time, keep_for).dropDuplicatesWithinWatermark(["id"])
     return posts.dropDuplicates(["id"])
