@@ -27,7 +27,7 @@ from llm.shared import numbered, per_worker, stage
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 150_000
+CACHED_WORDS = 300_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
