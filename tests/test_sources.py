@@ -148,6 +148,12 @@ def test_progress_file(spark, tmp_path):
     assert read({"total_posts": "many"}) == ([], (0, None))
     assert read("{not json") == ([], (0, None))
     assert read("[1]") == ([], (0, None))
+    # Text behind the object, single quotes, and counts that are no whole numbers.
+    assert read('{"seen_ids": ["a"]} x') == ([], (0, None))
+    assert read("{'seen_ids': ['a']}") == ([], (0, None))
+    for total in ("12", 1.5, None, [3], -4):
+        assert read({"seen_ids": ["b", 7, 'q"'], "total_posts": total, "last_run": "r"}) == (["7", "b", 'q"'], (0, "r"))
+    assert read({"seen_ids": "abc", "total_posts": 3, "last_processed_id": ""}) == ([], (3, None))
 
 
 def test_processed_file(spark, tmp_path):

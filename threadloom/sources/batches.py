@@ -92,7 +92,7 @@ def _marked(text: Column) -> Column:
     return F.regexp_replace(text, STRING, f'"{MARK}$1"')
 
 
-def _plain(value: Column) -> Column:
+def plain_value(value: Column) -> Column:
     """A marked value as text: strings without their mark, also those inside an object or array."""
     nested = F.regexp_replace(value, f'"{MARK}((?:[^"\\\\]++|\\\\.)*+)"', '"$1"')
     return F.when(F.startswith(value, F.lit(MARK)), F.substring(value, 2, 2**31 - 1)).otherwise(
@@ -100,7 +100,7 @@ def _plain(value: Column) -> Column:
     )
 
 
-def _objects(value: Column) -> Column:
+def listed_values(value: Column) -> Column:
     """Marked JSON text -> the texts of its array elements; null if it is no array."""
     return F.when(F.startswith(value, F.lit("[")), _from_json(value, "array<string>"))
 
@@ -110,6 +110,13 @@ def _record(value: Column) -> Column:
     return F.when(F.startswith(value, F.lit("{")), _from_json(value, "map<string,string>"))
 
 
+def whole_object(value: Column) -> Column:
+    """Text that is one JSON object and nothing else -> field name -> marked value, names marked too; else null."""
+    text = _marked(F.trim(value, F.lit(" \t\r\n\ufeff")))
+    boxed = F.when(F.startswith(text, F.lit("{")), _from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>"))
+    return F.when(F.size(boxed) == 1, _record(boxed[0]))
+
+
 def parse_batches(files: DataFrame) -> DataFrame:
     """(file_name, post_pos, post): one JSON object per row, its names and strings marked.
 
@@ -130,19 +137,20 @@ def parse_batches(files: DataFrame) -> DataFrame:
     )
 
 
-def _value(record: Column, name: str) -> Column:
+def field_value(record: Column, name: str) -> Column:
+    """The marked value of a field; null if it is missing or null."""
     return F.try_element_at(record, F.lit(MARK + name))
 
 
 def _shown(record: Column, name: str, default: str = "") -> Column:
     """A field as text: the default if it is missing, a word if it is null."""
     return F.when(
-        F.map_contains_key(record, MARK + name), F.coalesce(_plain(_value(record, name)), F.lit(NULL_TEXT))
+        F.map_contains_key(record, MARK + name), F.coalesce(plain_value(field_value(record, name)), F.lit(NULL_TEXT))
     ).otherwise(default)
 
 
 def _body(record: Column, name: str) -> Column:
-    return F.coalesce(_plain(_value(record, name)), F.lit(""))
+    return F.coalesce(plain_value(field_value(record, name)), F.lit(""))
 
 
 def _truth(value: Column) -> Column:
@@ -170,7 +178,7 @@ def _opened(rows: DataFrame) -> DataFrame:
         more = F.coalesce(~_below(record, path).isin("", MARK, "[]", "null"), F.lit(False))
         return F.struct(path.alias("path"), record.alias("record"), more.alias("open"))
 
-    below = F.filter(F.transform(_objects(_below(F.col("record"), F.col("path"))), child), lambda x: x["record"].isNotNull())
+    below = F.filter(F.transform(listed_values(_below(F.col("record"), F.col("path"))), child), lambda x: x["record"].isNotNull())
     # What is below has been read, so the closed row goes on without it.
     kept = F.map_filter("record", lambda name, _: ~name.isin(MARK + "comments", MARK + "replies"))
     closed = F.array(F.struct("path", kept.alias("record"), F.lit(False).alias("open")))
@@ -188,7 +196,7 @@ def _fields(record: Column) -> dict[str, Column]:
         "created_date": _shown(record, "created_date"),
         "upvotes": _shown(record, "upvotes", "0"),
         "num_comments": _shown(record, "num_comments", "0"),
-        "is_submitter": _truth(_value(record, "is_submitter")),
+        "is_submitter": _truth(field_value(record, "is_submitter")),
     }
 
 

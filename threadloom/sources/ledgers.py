@@ -6,10 +6,10 @@ single-machine runs keep instead are read here as well.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from threadloom.functions.text import strip_space
-from threadloom.sources.batches import JSON_LIMITS
+from threadloom.sources.batches import JSON_LIMITS, MARK, field_value, listed_values, plain_value, whole_object
 from threadloom.sources.files import is_folder, path_exists
 from threadloom.sources.runs import committed
 
@@ -41,19 +41,22 @@ def read_progress_file(spark: SparkSession, path: str) -> tuple[DataFrame, DataF
         text = spark.read.text(path, wholetext=True)
     else:
         text = spark.createDataFrame([], "value string")
-    stored = text.select(F.from_json("value", "map<string,string>", JSON_LIMITS).alias("m"))
+    stored = text.select(whole_object(F.col("value")).alias("m"))
 
-    def item(name: str):
-        return F.try_element_at("m", F.lit(name))
+    def item(name: str) -> Column:
+        return field_value(F.col("m"), name)
 
-    listed = F.from_json(item("seen_ids"), "array<string>", JSON_LIMITS)
-    legacy = F.filter(F.array(item("last_processed_id")), lambda x: x != "")
+    listed = F.transform(listed_values(item("seen_ids")), plain_value)
+    last = item("last_processed_id")
+    legacy = F.filter(F.array(F.when(~last.isin(MARK, "0", "false", "[]", "{}"), plain_value(last))), lambda x: x.isNotNull())
     ids = F.concat(F.coalesce(listed, F.array()), legacy)
     seen = stored.select(F.explode(ids).alias("id")).filter("id is not null").distinct()
-    total = F.greatest(item("total_posts").try_cast("bigint"), F.lit(0))
+    # Only a whole number counts; text that spells one does not.
+    number = F.when(item("total_posts").rlike(r"\A-?[0-9]+\z"), item("total_posts"))
+    total = F.greatest(number.try_cast("bigint"), F.lit(0))
     state = stored.agg(
         F.coalesce(F.max(total), F.lit(0)).alias("total_posts"),
-        F.max(item("last_run")).alias("last_run"),
+        F.max(plain_value(item("last_run"))).alias("last_run"),
     )
     return seen, state
 
