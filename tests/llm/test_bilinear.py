@@ -59,3 +59,44 @@ def test_contexts_stay_within_a_text():
 
 def test_empty_table(spark):
     assert score_texts(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_the_score_by_hand_and_words_sum_to_one(spark, monkeypatch):
+    kept, made = [], Scorer.__init__
+    monkeypatch.setattr(Scorer, "__init__", lambda self, *args: made(self, *args) or kept.append(self))
+    monkeypatch.setattr(bilinear, "COMMON", 60)
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string")
+    rows = {(r["doc_id"], r["n_tokens"]): r["score"] for r in score_texts(docs).collect()}
+    (scorer,) = kept
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    split = lambda t: (t or "").lower().split()
+    counts = collections.Counter(w for i, t in ROWS if not held(i) for w in split(t))
+
+    def kinds(ws):
+        hashes, _, lengths, last = Hasher().words(pa.array([" ".join(ws)]), tails=True)
+        return scorer.classes.of(hashes, lengths, last).tolist()
+
+    kind = dict(zip(counts, kinds(list(counts)), strict=True))
+    size, number = collections.Counter(), collections.Counter()
+    for w, n in counts.items():
+        size[kind[w]] += n
+        number[kind[w]] += 1
+    of_class = lambda two, one, k: (scorer.first[two, k] + scorer.second[one, k] - scorer.log_z[two, one]) / math.log(10)
+
+    def inside(w, k):
+        return 0.0 if k <= bilinear.FREQUENT else math.log10((counts[w] + 1) / (size[k] + number[k] + 1))
+
+    for i, t in ROWS[:40] + ROWS[-4:-1]:
+        ws = split(t)
+        total, two, one = 0.0, 0, 0
+        for w, k in [*zip(ws, kinds(ws) if ws else [], strict=True), (None, 0)]:
+            total += float(of_class(two, one, k)) + (inside(w, k) if w else 0.0)
+            two, one = one, k
+        assert math.isclose(rows[i, len(ws) + 1], total, rel_tol=1e-4, abs_tol=1e-3)
+    # All words met, one unseen word of each class of shapes, and the end.
+    for two, one in ((0, 0), (3, 9), (500, 1)):
+        share = {k: 10 ** float(of_class(two, one, k)) for k in range(CLASSES)}
+        words = sum(share[k] * 10 ** inside(w, k) for w, k in kind.items())
+        unseen = sum(share[k] / (size[k] + number[k] + 1) for k in range(bilinear.FREQUENT + 1, CLASSES))
+        unused = sum(share[k] for k in range(1, bilinear.FREQUENT + 1) if k not in set(kind.values()))
+        assert math.isclose(words + unseen + unused + share[0], 1, rel_tol=1e-3)
