@@ -259,11 +259,12 @@ def _small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
-def named_rows(nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """``(node, row, n_shingles)``: of each of ``nodes`` one row that has it, with the size of its set."""
-    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"]  # an id's text, if any has one
-    chosen = members.join(nodes, "node", "left_semi").groupBy("node").agg(least.alias("row"), F.first("n_shingles").alias("n_shingles"))
-    return stage(chosen, "texts")
+def heads_of(members: DataFrame) -> DataFrame:
+    """``(node, row, n_shingles)``: of each node one row that has it, with the size of its set.
+
+    An aggregate first, so that a set which many texts have is one row before it is moved.
+    """
+    return stage(members.groupBy("node").agg(F.min("row").alias("row"), F.min("n_shingles").alias("n_shingles")), "heads")
 
 
 def _one_each(table: DataFrame) -> DataFrame:
@@ -278,10 +279,10 @@ def node_bits(chosen: DataFrame, members: DataFrame) -> DataFrame:
     return _one_each(stage(own.select("node", "bits"), "bits"))
 
 
-def screened(pairs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+def screened(pairs: DataFrame, members: DataFrame, heads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs whose sizes and parity bits allow a link, ``(x, y, m)`` with ``y``'s size, and their nodes' rows."""
-    nodes = stage(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct(), "nodes")
-    chosen = named_rows(nodes, members)
+    nodes = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    chosen = stage(heads.join(nodes, "node", "left_semi"), "texts")
     size = chosen.select("node", "n_shingles")
     sized = pairs.join(size.toDF("x", "n"), "x").join(size.toDF("y", "m"), "y")
     sized = stage(sized.where(DENOMINATOR * F.least("n", "m") >= NUMERATOR * F.greatest("n", "m")), "pairs")
@@ -327,11 +328,11 @@ def shingle_table(docs: DataFrame, nodes: DataFrame, chosen: DataFrame) -> DataF
     return _one_each(stage(texts.mapInArrow(run, "node long, found binary"), "shingles"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, heads: DataFrame) -> DataFrame:
     """Those of the distinct ``(x, y)`` that are links by the exact similarity of their sets."""
     if not pairs.head(1):
         return pairs
-    pairs, chosen = screened(pairs, members)
+    pairs, chosen = screened(pairs, members, heads)
     nodes = stage(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct(), "nodes")
     found = shingle_table(docs, nodes, chosen)
     # A centre with many or large partners is split; its set goes to each part.
@@ -365,7 +366,7 @@ def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame) -> DataFrame
     return links
 
 
-def pairs_within(blocks: DataFrame, members: DataFrame, roots: DataFrame) -> DataFrame:
+def pairs_within(blocks: DataFrame, members: DataFrame, heads: DataFrame, roots: DataFrame) -> DataFrame:
     """Candidates inside blocks whose members are in several components, filtered by parity bits."""
     placed = blocks.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     members_of = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in (0, 1)]
@@ -377,7 +378,7 @@ def pairs_within(blocks: DataFrame, members: DataFrame, roots: DataFrame) -> Dat
     met = stage(placed.join(mixed, "block"), "met")
     if not met.head(1):
         return met.select(F.col("node").alias("x"), F.col("node").alias("y"))
-    chosen = named_rows(met.select("node").distinct(), members)
+    chosen = stage(heads.join(met.select("node").distinct(), "node", "left_semi"), "texts")
     own = node_bits(chosen, members).join(chosen.select("node", F.col("n_shingles").alias("size")), "node")
     rows = met.join(own, "node").withColumn("side", F.pmod(F.xxhash64("node"), F.col("sides")).cast("int"))
     squares = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1))).select(
@@ -431,10 +432,11 @@ def components(docs: DataFrame) -> DataFrame:
     # A centre meets all others of its block here, so only the others are compared later.
     others = stage(blocks.join(centres, "block").where("node != x").select("block", "x", F.col("node").alias("y")), "blocks")
     first = stage(others.select("x", "y").distinct(), "pairs")
-    links = verified(first, docs, filled)
+    heads = heads_of(filled)
+    links = verified(first, docs, filled, heads)
     roots = stage(_roots(links), "roots")
-    second = stage(pairs_within(others.select("block", F.col("y").alias("node")), filled, roots).join(first, ["x", "y"], "left_anti"), "pairs")
-    more = verified(second, docs, filled)
+    second = stage(pairs_within(others.select("block", F.col("y").alias("node")), filled, heads, roots).join(first, ["x", "y"], "left_anti"), "pairs")
+    more = verified(second, docs, filled, heads)
     if more.head(1):
         roots = stage(_roots(links.union(more)), "roots")
     discard(blocks)
