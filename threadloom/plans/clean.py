@@ -29,13 +29,12 @@ from threadloom.sources.batches import (
     flat_nodes,
     flat_posts,
     list_batches,
-    parse_batches,
     pending_files,
-    read_files,
 )
 from threadloom.sources.ledgers import PROCESSED, SHARDS
 from threadloom.sources.runs import Attempt, read_table, until_committed
 from threadloom.sources.shards import TEXT, write_shards
+from threadloom.sources.split import scan_batches
 
 COMMENTS = (
     "file_name string, post_pos int, path array<int>, comment_id string, author string,"
@@ -130,8 +129,7 @@ def clean_folder(
         pending = materialize(pending)
         if pending.isEmpty():
             return _nothing(spark)
-        parsed = parse_batches(read_files(spark, pending))
-        nodes = flat_nodes(parsed, clean_nodes)
+        nodes = flat_nodes(scan_batches(spark, pending), clean_nodes)
         return pack_batches(flat_posts(nodes), flat_comments(nodes), pending, store, attempt, budget)
 
     return until_committed(run)

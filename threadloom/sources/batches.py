@@ -79,9 +79,12 @@ def read_files(spark: SparkSession, pending: DataFrame) -> DataFrame:
     paths = [row.path for row in pending.select("path").toLocalIterator()]
     if not paths:
         return spark.createDataFrame([], "file_name string, value string")
-    # A glob character in a path is meant as it stands.
-    literal = [re.sub(r"([\\{}\[\]*?^])", r"\\\1", path) for path in paths]
-    return spark.read.text(literal, wholetext=True).select(scanned_name(), "value")
+    return spark.read.text([literal(path) for path in paths], wholetext=True).select(scanned_name(), "value")
+
+
+def literal(path: str) -> str:
+    """A path in which glob characters are meant as they stand."""
+    return re.sub(r"([\\{}\[\]*?^])", r"\\\1", path)
 
 
 def _from_json(value: Column, schema: str) -> Column:
@@ -105,16 +108,26 @@ def listed_values(value: Column) -> Column:
     return F.when(F.startswith(value, F.lit("[")), _from_json(value, "array<string>"))
 
 
-def _record(value: Column) -> Column:
+def object_or_null(value: Column) -> Column:
     """Marked JSON text -> field name -> marked value; null if it is no object."""
     return F.when(F.startswith(value, F.lit("{")), _from_json(value, "map<string,string>"))
 
 
+def listed_elements(text: Column) -> Column:
+    """What stands between the brackets of an array -> its marked elements; null if that is no list."""
+    return _from_json(F.concat(F.lit("["), _marked(text), F.lit("]")), "array<string>")
+
+
+def one_object(text: Column) -> Column:
+    """Text that is one JSON object -> an array of its marked text; else null."""
+    found = F.when(F.startswith(text, F.lit("{")), listed_elements(text))
+    return F.when(F.size(found) == 1, found)
+
+
 def whole_object(value: Column) -> Column:
     """Text that is one JSON object and nothing else -> field name -> marked value, names marked too; else null."""
-    text = _marked(F.trim(value, F.lit(" \t\r\n\ufeff")))
-    boxed = F.when(F.startswith(text, F.lit("{")), _from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>"))
-    return F.when(F.size(boxed) == 1, _record(boxed[0]))
+    found = one_object(F.trim(value, F.lit(" \t\r\n\ufeff")))
+    return object_or_null(found[0])
 
 
 def parse_batches(files: DataFrame) -> DataFrame:
@@ -131,7 +144,7 @@ def parse_batches(files: DataFrame) -> DataFrame:
     elements = F.coalesce(F.when(F.size(arrays) == 1, arrays[0]), F.when(F.size(objects) == 1, objects))
     return (
         files.select("file_name", F.posexplode(elements).alias("post_pos", "json"))
-        .withColumn("post", _record(F.col("json")))
+        .withColumn("post", object_or_null(F.col("json")))
         .filter(F.col("post").isNotNull())
         .select(*KEYS, "post")
     )
@@ -174,7 +187,7 @@ def _opened(rows: DataFrame) -> DataFrame:
     node = F.struct("path", "record", F.lit(False).alias("open"))
 
     def child(json: Column, i: Column) -> Column:
-        path, record = F.array_append("path", i), _record(json)
+        path, record = F.array_append("path", i), object_or_null(json)
         more = F.coalesce(~_below(record, path).isin("", MARK, "[]", "null"), F.lit(False))
         return F.struct(path.alias("path"), record.alias("record"), more.alias("open"))
 
