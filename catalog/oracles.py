@@ -524,3 +524,4 @@ _RUN = (
 ORACLES["clean_run"] = f"""
 WITH RECURSIVE {_RUN} SELECT CAST(1 AS BIGINT) AS run_no, file_no, posts, bytes, words FROM shards
 """
+ORACLES["seen_ledger"] = f"SELECT id, share < {S.TAKEN_SHARES} AS seen FROM ({S.SHARES})"

@@ -79,7 +79,8 @@ from threadloom.sources.batches import (
     write_nested,
 )
 from threadloom.sources.ledgers import SHARDS
-from threadloom.sources.runs import read_table
+from threadloom.sources.runs import Attempt, read_table
+from threadloom.sources.seen import add_seen, seen_among
 from threadloom.session import fresh_folder, materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -626,3 +627,16 @@ def clean_run(spark: SparkSession, folder: str) -> DataFrame:
     store = CleanStore(fresh_folder(spark, "clean"))
     clean_store(spark, _ingested(spark, folder), store, BOTH_BUDGETS)
     return read_table(spark, store.root, "shards", SHARDS).select("run_no", "file_no", "posts", "bytes", "words")
+
+
+@query("seen_ledger")
+def seen_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Nine runs that each take a share of the documents, and all documents held against their ledger."""
+    shared = stand_in(spark, folder, S.SHARES)
+    root = fresh_folder(spark, "raw")
+    for share in range(S.TAKEN_SHARES):
+        attempt = Attempt(spark, root)
+        add_seen(attempt, shared.filter(F.col("share") == share))
+        attempt.commit()
+    held = seen_among(shared, root).withColumn("seen", F.lit(True))
+    return shared.join(held, "id", "left").select("id", F.coalesce("seen", F.lit(False)).alias("seen"))

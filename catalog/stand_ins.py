@@ -106,3 +106,7 @@ FROM documents JOIN labels USING (doc_id) GROUP BY source
 PROCESSED = f"""
 SELECT file_name FROM ({TOXIC}) WHERE toxic > (SELECT avg(toxic) FROM ({TOXIC}))
 """
+
+# Documents dealt to runs; the last share is never taken.
+TAKEN_SHARES = 9
+SHARES = f"SELECT 'd' || CAST(doc_id AS STRING) AS id, doc_id % {TAKEN_SHARES + 1} AS share FROM documents"

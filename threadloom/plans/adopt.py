@@ -9,9 +9,11 @@ from pyspark.sql import SparkSession, functions as F
 from threadloom.functions.measures import byte_size, word_count
 from threadloom.plans.clean import CleanStore
 from threadloom.plans.ingest import RawStore
+from threadloom.session import materialize
 from threadloom.sources.files import hadoop_path, path_exists
 from threadloom.sources.ledgers import read_processed_file, read_progress_file, stored_state
 from threadloom.sources.runs import Attempt, run_of, until_committed
+from threadloom.sources.seen import add_seen
 
 # Names in the folders of a file-based run.
 PROGRESS_FILE = "scraping_progress.json"
@@ -29,7 +31,7 @@ def adopt_raw(spark: SparkSession, folder: str, store: RawStore) -> None:
         if run_of(spark, store.root, source):
             return
         seen, state = read_progress_file(spark, f"{folder}/{PROGRESS_FILE}")
-        attempt.add("seen", seen)
+        add_seen(attempt, materialize(seen))
         before = stored_state(spark, store.root).first()["total_posts"]
         now = datetime.now(timezone.utc).isoformat()
         attempt.commit(total_posts=before + state.first()["total_posts"], last_run=now)
@@ -49,7 +51,7 @@ def adopt_clean(spark: SparkSession, folder: str, store: CleanStore) -> None:
         attempt = Attempt(spark, store.root, source)
         if run_of(spark, store.root, source) or not path_exists(spark, folder):
             return
-        attempt.add("processed", read_processed_file(spark, f"{folder}/{PROCESSED_FILE}"))
+        attempt.add_ledger("processed", read_processed_file(spark, f"{folder}/{PROCESSED_FILE}"))
         # Read by line, so that a shard of any size is read in parts.
         lines = spark.read.option("pathGlobFilter", SHARD_GLOB).option("lineSep", "\n").text(folder)
         number = F.regexp_extract(F.col("_metadata.file_name"), SHARD_NAME, 1).try_cast("bigint")
@@ -63,7 +65,7 @@ def adopt_clean(spark: SparkSession, folder: str, store: CleanStore) -> None:
                 F.sum(word_count(F.col("value"))).alias("words"),
             )
         )
-        attempt.add("shards", shards.select(F.lit(attempt.run.number).cast("bigint").alias("run_no"), "*"))
+        attempt.add_ledger("shards", shards.select(F.lit(attempt.run.number).cast("bigint").alias("run_no"), "*"))
         attempt.commit()
 
     until_committed(run)

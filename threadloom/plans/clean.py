@@ -84,8 +84,8 @@ def pack_batches(
         placed_text = attach_shards(segments, shard_ranges(placed))
         attempt.write(TEXT, lambda folder: write_shards(placed_text, folder))
     run = F.lit(attempt.run.number).cast("bigint").alias("run_no")
-    attempt.add("shards", shards.select(run, "file_no", "posts", "bytes", "words"))
-    attempt.add("processed", files.select("file_name").distinct())
+    attempt.add_ledger("shards", shards.select(run, "file_no", "posts", "bytes", "words"))
+    attempt.add_ledger("processed", files.select("file_name").distinct())
     attempt.commit()
     return clean_summary(shards, files, shard.file_no)
 

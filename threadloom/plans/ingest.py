@@ -21,8 +21,9 @@ from threadloom.operators.records import normalise_comments, normalise_posts
 from threadloom.operators.threads import with_paths
 from threadloom.session import materialize
 from threadloom.sources.batches import KEYS, batch_name, next_batch_number, write_flat
-from threadloom.sources.ledgers import BATCHES, SEEN, stored_state
+from threadloom.sources.ledgers import BATCHES, stored_state
 from threadloom.sources.runs import Attempt, read_table, until_committed
+from threadloom.sources.seen import add_seen, read_seen, seen_among
 
 # Fixed value: posts per batch.
 DEFAULT_BATCH_SIZE = 50
@@ -51,7 +52,7 @@ def stored_batches(spark: SparkSession, store: RawStore) -> DataFrame:
 
 def seen_ids(spark: SparkSession, store: RawStore) -> DataFrame:
     """(id) of all posts that committed runs have taken, or taken over."""
-    return read_table(spark, store.root, "seen", SEEN)
+    return read_seen(spark, store.root)
 
 
 def ingest(
@@ -77,7 +78,7 @@ def ingest(
 
     def run() -> DataFrame:
         attempt = Attempt(spark, store.root)
-        seen = seen_ids(spark, store)
+        seen = materialize(seen_among(rows, store.root))
         prior = stored_state(spark, store.root).first()["total_posts"]
         first_batch = next_batch_number(stored_batches(spark, store)).first()["next_batch"]
         taken = materialize(new_posts(rows, seen, limit, batch_size, first_batch))
@@ -95,8 +96,8 @@ def ingest(
         attempt.write("comments", lambda folder: write_flat(flat.select("*", scraped), folder))
 
         number = F.lit(attempt.run.number).cast("bigint").alias("run_no")
-        attempt.add("batches", taken.select("file_name").distinct().select("file_name", number))
-        attempt.add("seen", taken.select("id"))
+        attempt.add_ledger("batches", taken.select("file_name").distinct().select("file_name", number))
+        add_seen(attempt, taken)
         now = datetime.now(timezone.utc).isoformat()
         attempt.commit(total_posts=counts.first()["total_posts"], last_run=now)
         return counts

@@ -13,7 +13,6 @@ from threadloom.sources.batches import JSON_LIMITS, MARK, field_value, listed_va
 from threadloom.sources.files import is_folder, path_exists
 from threadloom.sources.runs import committed
 
-SEEN = "id string"
 PROCESSED = "file_name string"
 SHARDS = "run_no long, file_no long, posts long, bytes long, words long"
 BATCHES = "file_name string, run_no long"

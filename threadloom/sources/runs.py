@@ -9,6 +9,12 @@ names. Ledgers are views over the tables that manifests name.
 Two runs that work side by side want the same number. One gets it; the other finds out at
 its rename and has to start again from what is there now.
 
+Ledgers are kept short by carrying: the n-th table of a ledger also holds the rows of the
+``FAN ** k - 1`` tables before it, where ``FAN ** k`` is the largest power that divides n.
+A reader skips what a later table holds too, so after n runs it opens at most
+``FAN - 1`` tables per digit of n, and a row is copied about log n times in all. Tables
+that are skipped stay, as a reader may still be in them.
+
 The rename is atomic on HDFS and on local disks. A store that has no such rename needs a
 committer of its own.
 """
@@ -29,6 +35,7 @@ from threadloom.sources.files import hadoop_path, path_exists
 MANIFESTS = "manifests"
 MANIFEST = "number long, source string, attempt string, tables array<string>, values map<string,string>"
 TRIES = 5
+FAN = 8
 
 Result = TypeVar("Result")
 
@@ -50,6 +57,10 @@ class Run:
     def folder(self, root: str, table: str) -> str:
         return f"{root}/{table}/run_no={self.number}/attempt={self.attempt}"
 
+    def first(self, table: str) -> int:
+        """The first run whose rows this run's table holds."""
+        return int(self.values.get(f"{table}_from", self.number))
+
 
 def committed(spark: SparkSession, root: str) -> list[Run]:
     """All runs of a store in order: one small record each."""
@@ -66,9 +77,18 @@ def run_of(spark: SparkSession, root: str, source: str) -> Run | None:
     return next((run for run in committed(spark, root) if run.source == source), None)
 
 
+def live(runs: list[Run], table: str) -> list[Run]:
+    """The runs whose folders of a table together hold all rows of it, each once."""
+    found: list[Run] = []
+    for run in reversed(runs):
+        if table in run.tables and (not found or run.number < found[-1].first(table)):
+            found.append(run)
+    return found[::-1]
+
+
 def folders(spark: SparkSession, root: str, table: str, numbers: set[int] | None = None) -> list[str]:
     """Folders of a table over all runs, or over the runs of the given numbers."""
-    runs = [run for run in committed(spark, root) if table in run.tables]
+    runs = live(committed(spark, root), table)
     return [run.folder(root, table) for run in runs if numbers is None or run.number in numbers]
 
 
@@ -88,8 +108,8 @@ class Attempt:
 
     def __init__(self, spark: SparkSession, root: str, source: str = "") -> None:
         self.spark, self.root = spark, root
-        runs = committed(spark, root)
-        number = runs[-1].number + 1 if runs else 1
+        self.before = committed(spark, root)
+        number = self.before[-1].number + 1 if self.before else 1
         name = uuid.uuid4().hex
         self.run = Run(number, source or name, name)
 
@@ -102,10 +122,31 @@ class Attempt:
         """Write ``rows`` as a Parquet table of this run."""
         self.write(table, rows.write.parquet)
 
+    def carried(self, table: str) -> list[Run]:
+        """The runs whose rows this run's table of a ledger has to hold too."""
+        holders = [run for run in self.before if table in run.tables]
+        count, step = len(holders) + 1, 1
+        while count % (step * FAN) == 0:
+            step *= FAN
+        return live(holders[count - step :], table)
+
+    def add_ledger(self, table: str, rows: DataFrame) -> None:
+        """Write ``rows``, and what the run carries, as a ledger's table of this run."""
+        older = self.carried(table)
+        if older:
+            reader = self.spark.read.schema(rows.schema)
+            rows = rows.unionByName(reader.parquet(*(run.folder(self.root, table) for run in older)))
+            self.note(**{f"{table}_from": older[0].first(table)})
+        self.add(table, rows.hint("rebalance"))
+
+    def note(self, **values: object) -> None:
+        """Values for the manifest."""
+        known = {name: str(value) for name, value in values.items()}
+        self.run = Run(**{**asdict(self.run), "values": {**self.run.values, **known}})
+
     def commit(self, **values: object) -> Run:
         """Put the manifest in place; all tables of the run are there from here on."""
-        known = {name: str(value) for name, value in values.items()}
-        self.run = Run(**{**asdict(self.run), "values": known})
+        self.note(**values)
         final = f"{self.root}/{MANIFESTS}/{self.run.number:010d}.json"
         _put_if_absent(self.spark, json.dumps(asdict(self.run)), final)
         return self.run
