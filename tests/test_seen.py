@@ -4,6 +4,7 @@ import pytest
 from test_jobs import SITE, forum
 
 from threadloom.plans.ingest import RawStore, ingest, seen_ids
+from threadloom.sources import runs
 from threadloom.sources.runs import Attempt, committed, folders, live, read_table
 from threadloom.sources.seen import add_seen, may_be_seen, read_seen, seen_among
 
@@ -63,9 +64,9 @@ def test_filters_refuse_nearly_all_unknown_ids(spark, tmp_path):
     root = str(tmp_path / "store")
     known = [f"k{n}" for n in range(5000)]
     took(spark, root, known)
-    runs = committed(spark, root)
-    assert may_be_seen(ids(spark, known), root, runs).select("id").distinct().count() == 5000
-    assert may_be_seen(ids(spark, [f"u{n}" for n in range(5000)]), root, runs).count() < 100
+    all_runs = committed(spark, root)
+    assert may_be_seen(ids(spark, known), root, all_runs).select("id").distinct().count() == 5000
+    assert may_be_seen(ids(spark, [f"u{n}" for n in range(5000)]), root, all_runs).count() < 100
 
 
 def test_a_hundred_runs_leave_few_tables_to_open(spark, tmp_path):
@@ -80,11 +81,11 @@ def test_a_hundred_runs_leave_few_tables_to_open(spark, tmp_path):
         attempt.write("t", lambda folder: None)
         attempt.commit()
         if number in (1, 7, 8, 9, 63, 64, 65, 72, 100):
-            runs = live(committed(spark, root), "t")
-            covered = [n for run in runs for n in range(run.first("t"), run.number + 1)]
+            opened = live(committed(spark, root), "t")
+            covered = [n for run in opened for n in range(run.first("t"), run.number + 1)]
             assert covered == list(range(1, number + 1))
-            assert len(runs) <= 7 * 3
-    assert [run.number for run in runs] == [64, 72, 80, 88, 96, 97, 98, 99, 100]
+            assert len(opened) <= 7 * 3
+    assert [run.number for run in opened] == [64, 72, 80, 88, 96, 97, 98, 99, 100]
 
 
 def test_rows_are_carried_once(spark, tmp_path):
@@ -102,13 +103,14 @@ def test_rows_are_carried_once(spark, tmp_path):
     assert held(seen_among(asked, root)) == ["r1", "r9", "s8"]
 
 
-def test_ingest_over_many_runs(spark, tmp_path):
-    """Each run meets all posts so far and one more; the ledger carries on the way."""
+def test_ingest_over_many_runs(spark, tmp_path, monkeypatch):
+    """Each run meets all posts so far and one more; the ledger carries twice on the way."""
+    monkeypatch.setattr(runs, "FAN", 2)
     raw = RawStore(str(tmp_path / "raw"))
-    rows, comments = forum(spark, 9, listings=1)
-    for number in range(1, 10):
+    rows, comments = forum(spark, 4, listings=1)
+    for number in range(1, 5):
         met = rows.filter(f"id < 'p{number}'")
         counts = ingest(met, comments, raw, SITE, "eng").first()
         assert (counts.new_posts, counts.skipped_posts, counts.total_posts) == (1, number - 1, number)
-    assert held(seen_ids(spark, raw)) == [f"p{n}" for n in range(9)]
-    assert len(folders(spark, raw.root, "seen")) == 2 and len(folders(spark, raw.root, "posts")) == 9
+    assert held(seen_ids(spark, raw)) == [f"p{n}" for n in range(4)]
+    assert len(folders(spark, raw.root, "seen")) == 1 and len(folders(spark, raw.root, "posts")) == 4

@@ -4,12 +4,16 @@ import glob
 import json
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from threadloom.sources import batches as B
 from threadloom.sources import ledgers as L
 from threadloom.sources.listings import read_listings
+from threadloom.sources.reported import read_reported
 from threadloom.sources.ledgers import SHARDS
 from threadloom.sources.runs import Attempt
 from threadloom.sources.shards import TEXT, read_shards, shard_sizes, shard_words, write_shards
@@ -180,6 +184,51 @@ def test_listings_survive_broken_ones(spark, tmp_path, caplog):
     assert read_listings(spark, {"x": str(tmp_path / "x")}, schema).isEmpty()
 
 
+def listing(spark, folder, names, **columns):
+    frame = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "pos long, id string")
+    frame.withColumns(columns).coalesce(1).write.parquet(str(folder))
+
+
+def test_what_a_listing_lost_is_reported(spark, tmp_path):
+    """A whole file, one cut short, one broken behind its first rows, one of another type, an empty one."""
+    hot, top = tmp_path / "hot", tmp_path / "to p"
+    listing(spark, hot, ["a", "b"], extra=F.lit(1))
+    (hot / "cut.parquet").write_bytes(next(hot.glob("part-*")).read_bytes()[:-9])
+    (hot / "empty.parquet").write_bytes(b"")
+    listing(spark, hot / "day=1", ["t"], pos=F.lit("no number"))
+    listing(spark, hot / "day=2", ["w"], id=F.lit(5))  # a number that fits a string
+    wide = pa.table({"pos": list(range(30_000)), "id": [f"{n:06}" for n in range(30_000)]})
+    top.mkdir()
+    pq.write_table(wide, top / "late.parquet", row_group_size=10_000, compression="none", use_dictionary=False)
+    pq.write_table(wide.select(["pos"]).slice(0, 2), top / "narrow.parquet")
+    start = pq.ParquetFile(top / "late.parquet").metadata.row_group(2).column(0).data_page_offset
+    whole = (top / "late.parquet").read_bytes()
+    (top / "late.parquet").write_bytes(whole[:start] + b"\xff" * 200 + whole[start + 200 :])
+
+    paths = {"hot": str(hot), "new": str(tmp_path / "new"), "top": str(top), "hot again": f"file://{hot}"}
+    rows, failures = read_reported(spark, paths, "pos long, id string")
+    assert rows.columns == ["pos", "id", "listing", "listing_rank"]
+    met = rows.groupBy("listing", "listing_rank").agg(F.count("*"), F.count("id"), F.max("id")).orderBy("listing_rank")
+    assert [tuple(r) for r in met.collect()] == [("hot", 0, 3, 3, "b"), ("top", 2, 20_002, 20_000, "019999"), ("hot again", 3, 3, 3, "b")]
+    lost = [(r.listing, r.listing_rank, r.file_name.removeprefix(str(tmp_path)).split("/part-")[0]) for r in failures.orderBy("listing_rank", "file_name").collect()]
+    of_hot = ["/hot/cut.parquet", "/hot/day=1", "/hot/empty.parquet"]
+    assert lost == [("hot", 0, n) for n in of_hot] + [("top", 2, "/to p/late.parquet")] + [("hot again", 3, n) for n in of_hot]
+    causes = [r.error for r in failures.filter("listing = 'hot'").orderBy("file_name").collect()]
+    assert all("Arrow" in cause and ": " in cause for cause in causes) and "no number" in causes[1]
+
+
+def test_reported_listings_without_any_row(spark, tmp_path):
+    listing(spark, tmp_path / "none", [])
+    for paths in ({}, {"x": str(tmp_path / "x")}, {"none": str(tmp_path / "none")}):
+        rows, failures = read_reported(spark, paths, "pos long, id string")
+        assert rows.isEmpty() and failures.isEmpty()
+
+
+def test_only_a_missing_path_skips_a_listing(spark, tmp_path):
+    with pytest.raises(AnalysisException, match="(?i)avro"):  # its reader is not deployed
+        read_listings(spark, {"x": str(tmp_path)}, "pos long", "avro")
+
+
 def test_shard_text_is_in_order(spark, tmp_path):
     """One post of many segments, cut over several part files, reads back whole."""
     rows = [

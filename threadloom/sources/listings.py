@@ -19,6 +19,7 @@ def read_listings(
 
     A listing that is not there is skipped. One that breaks part of the way
     keeps the files that can be read; the next listing follows all the same.
+    ``sources.reported`` also says which files were lost, and why.
     ``schema`` is that of a listing's rows and holds ``pos``.
     """
     parts = []
@@ -27,6 +28,8 @@ def read_listings(
         try:
             rows = reader.format(file_format).load(path)
         except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             logger.warning("listing %s cannot be read, skipping: %s", label, error)
             continue
         parts.append(
