@@ -5,8 +5,8 @@ from test_jobs import SITE, RENDERED, forum, shards
 from test_sources import put
 
 from threadloom.operators.shards import Budget
-from threadloom.plans.clean import CleanStore, clean_folder, clean_store, processed_files
-from threadloom.plans.ingest import RawStore, ingest, seen_ids
+from threadloom.plans.clean import CleanStore, clean_folder, clean_store, pending_rows, processed_files
+from threadloom.plans.ingest import RawStore, ingest, seen_ids, stored_batches
 from threadloom.sources.runs import Attempt, RunTaken, committed, read_table, run_of, until_committed
 from threadloom.streaming.incremental import clean_stream
 
@@ -99,6 +99,23 @@ def test_ingest_cut_anywhere(spark, tmp_path, cutter):
     assert writes == 6  # posts, comments, two ledgers and the manifest
 
 
+def test_what_is_pending_decides_what_is_read(spark, tmp_path):
+    """Two runs of three batches each; then batches of the second alone, and some of it, are pending."""
+    rows, comments = forum(spark, 6, listings=1)
+    raw = RawStore(str(tmp_path / "raw"))
+    ingest(rows.filter("id < 'p3'"), comments, raw, SITE, "eng", batch_size=1)
+    ingest(rows, comments, raw, SITE, "eng", batch_size=1)
+    listed = stored_batches(spark, raw)
+    second = pending_rows(raw, "posts", listed.filter("run_no = 2"))
+    assert sorted(r.id for r in second.collect()) == ["p3", "p4", "p5"]
+    opened = [file for file in second.inputFiles() if "/raw/posts/" in file]
+    assert opened and all("/run_no=2/" in file for file in opened)
+    some = pending_rows(raw, "comments", listed.filter("file_name IN ('posts_batch_0004.json', 'posts_batch_0006.json')"))
+    assert sorted({r.file_name for r in some.collect()}) == ["posts_batch_0004.json", "posts_batch_0006.json"]
+    plan = some._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(file_name,posts_batch_0004.json), LessThanOrEqual(file_name,posts_batch_0006.json)" in plan
+
+
 def post(raw_post, i):
     return {**raw_post, "id": f"p{i}"}
 

@@ -135,28 +135,33 @@ def clean_folder(
     return until_committed(run)
 
 
+def pending_rows(raw: RawStore, table: str, pending: DataFrame) -> DataFrame:
+    """The rows of a raw store's table that belong to the batches ``pending`` (file_name, run_no).
+
+    Only folders of the ingest runs that hold such batches are opened, and the least and the
+    greatest name go into the scan as a filter: each run's rows are written in ranges of
+    batches, so files and row groups outside that range are passed over.
+    """
+    spark = pending.sparkSession
+    runs = pending.groupBy("run_no").agg(F.min("file_name").alias("least"), F.max("file_name").alias("greatest")).collect()
+    rows = read_table(spark, raw.root, table, None, {run.run_no for run in runs})
+    least, greatest = min(run.least for run in runs), max(run.greatest for run in runs)
+    return rows.filter(F.col("file_name").between(least, greatest)).join(pending, "file_name", "left_semi")
+
+
 def clean_store(
     spark: SparkSession, raw: RawStore, store: CleanStore, budget: Budget = Budget()
 ) -> DataFrame:
-    """Clean the batches of a raw store that no earlier run has processed.
-
-    Only folders of the ingest runs that hold such batches are read.
-    """
+    """Clean the batches of a raw store that no earlier run has processed."""
 
     def run() -> DataFrame:
         attempt = Attempt(spark, store.root)
         pending = pending_files(stored_batches(spark, raw), processed_files(spark, store))
         pending = materialize(pending)
-        numbers = {row.run_no for row in pending.select("run_no").distinct().collect()}
-        if not numbers:
+        if pending.isEmpty():
             return _nothing(spark)
-
-        def stored(table: str, schema: str) -> DataFrame:
-            rows = read_table(spark, raw.root, table, None, numbers)
-            return rows.join(pending, "file_name", "left_semi").select(*_names(schema))
-
-        posts = materialize(clean_posts(stored("posts", POSTS)))
-        comments = materialize(clean_comments(stored("comments", COMMENTS)))
+        posts = materialize(clean_posts(pending_rows(raw, "posts", pending).select(*_names(POSTS))))
+        comments = materialize(clean_comments(pending_rows(raw, "comments", pending).select(*_names(COMMENTS))))
         return pack_batches(posts, comments, pending, store, attempt, budget)
 
     return until_committed(run)

@@ -22,6 +22,8 @@ TABLE, FILTER = "seen", "seen_filter"
 FILTER_ROWS = "block long, bits long"
 BUCKET_IDS = 1_000_000
 BLOCK_IDS = 4
+# Blocks without an id are not stored, so a small ledger has few rows and no hot block.
+LEAST_BLOCKS = 1 << 16
 
 
 def _power_of_two(least: int) -> int:
@@ -53,7 +55,7 @@ def add_seen(attempt: Attempt, ids: DataFrame, bucket_ids: int = BUCKET_IDS) ->
         rows = rows.unionByName(_stored(spark, attempt.root, [run.folder(attempt.root, TABLE) for run in older]))
         attempt.note(seen_from=older[0].first(TABLE))
     buckets = _power_of_two(-(-total // bucket_ids))
-    blocks = max(buckets, _power_of_two(-(-total // BLOCK_IDS)))
+    blocks = max(buckets, LEAST_BLOCKS, _power_of_two(-(-total // BLOCK_IDS)))
 
     def save(folder: str) -> None:
         keyed = rows.withColumn("bucket", _within(_hash(F.col("id")), F.lit(buckets).cast("bigint")))
