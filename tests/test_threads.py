@@ -132,3 +132,53 @@ def test_circles_orphans_and_shared_ids(spark):
         ("p", "w", [0, 7]), ("p", "v", [0, 7, 4]), ("p", "w", [0, 7, 4, 3]), ("p", "v", [0, 5, 2, 1, 0]), ("p", "u", [0, 7, 4, 9]),
         ("n", "y", [1]), ("n", "", [1, 0]), ("n", "x", [1, 3]),
     ])
+
+
+def test_deep_chains_store_few_positions(spark, monkeypatch):
+    import threadloom.operators.threads as threads
+
+    stored, plain = [], threads.materialize
+
+    def watched(df):
+        kept = plain(df)
+        if "path" in kept.columns:
+            stored.append(kept.agg(F.sum(F.size("path"))).first()[0] or 0)
+        return kept
+
+    monkeypatch.setattr(threads, "materialize", watched)
+    depth = 2000
+    rows = [("p", str(i), None if i == 0 else str(i - 1), i % 3, "", True) for i in range(depth)]
+    got = with_paths(spark.createDataFrame(rows, ROWS), ["post_id"]).agg(F.sum("depth"), F.max("path"), F.count("*")).first()
+    assert tuple(got) == (depth * (depth - 1) // 2, [i % 3 for i in range(depth)], depth)
+    assert max(stored) < depth * 200  # whole paths hold a thousand positions a row
+
+
+def first_reached(rows):
+    """(comment_id, path) level by level: of the comments of an id the first in order takes its replies."""
+    below, claimed, level, found = {}, set(), [(None, [])], []
+    for row in sorted(set(rows), key=lambda r: r[2]):
+        below.setdefault(row[1], []).append(row)
+    while level:
+        level = [(row[0], [*path, row[2]]) for name, path in level for row in below.get(name, [])]
+        level.sort(key=lambda x: x[1])
+        found += level
+        level = [x for x in level if x[0] is not None and x[0] not in claimed and not claimed.add(x[0])]
+    return found
+
+
+@pytest.mark.parametrize("every", [1, 2, 5])
+def test_anchors_among_shared_ids_and_circles(spark, monkeypatch, every):
+    import threadloom.operators.threads as threads
+
+    monkeypatch.setattr(threads, "ANCHOR_EVERY", every)
+    rng, rows = random.Random(every), []
+    for i in range(160):
+        parent = None if i % 40 == 0 else str(i - 1 if rng.random() < 0.8 else rng.randrange(i // 40 * 40, i))
+        rows.append((str(i), parent, i))
+    rows += [(str(rng.randrange(160)), str(rng.randrange(160)), 200 + i) for i in range(6)]
+    rows += [("c0", "c2", 300), ("c1", "c0", 301), ("c2", "c1", 302), ("c3", "c1", 303), ("c4", "gone", 304), ("c5", "c4", 305)]
+    table = spark.createDataFrame([("p", *row, "", True) for row in rows], ROWS)
+    got = flatten_adjacency(table, ["post_id"]).collect()
+    assert sorted((r.comment_id, r.path) for r in got) == sorted(first_reached(rows))
+    capped = flatten_adjacency(table, ["post_id"], 7).collect()
+    assert sorted((r.comment_id, r.path) for r in capped) == sorted(x for x in first_reached(rows) if len(x[1]) <= 8)
