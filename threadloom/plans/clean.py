@@ -25,6 +25,7 @@ from threadloom.plans.ingest import RawStore, stored_batches
 from threadloom.session import materialize
 from threadloom.sources.batches import (
     KEYS,
+    batch_order,
     flat_comments,
     flat_nodes,
     flat_posts,
@@ -77,8 +78,8 @@ def pack_batches(
     shard = resume_shard(read_table(spark, store.root, "shards", SHARDS), budget)
 
     segments = render_segments(posts, comments, KEYS)
-    sizes = post_sizes(measure_segments(segments), KEYS)
-    placed = materialize(assign_shards(sizes, KEYS, budget, shard))
+    sizes = post_sizes(measure_segments(segments), KEYS).withColumn("batch", batch_order())
+    placed = materialize(assign_shards(sizes, ["batch", *KEYS], budget, shard))
     shards = materialize(shard_summary(placed, KEYS))
     if not shards.isEmpty():
         placed_text = attach_shards(segments, shard_ranges(placed))

@@ -26,6 +26,9 @@ PROGRESS_PREFIX = "scraping_progress"
 
 KEYS = ["file_name", "post_pos"]
 
+# Fixed value: digits of the largest batch number.
+ORDER_DIGITS = 19
+
 # Fixed value: what a JSON null prints as.
 NULL_TEXT = "None"
 
@@ -256,10 +259,22 @@ def batch_name(batch_no: Column) -> Column:
     return F.concat(F.lit(BATCH_PREFIX), padded, F.lit(BATCH_SUFFIX))
 
 
+def _batch_digits() -> Column:
+    """The digits in the name of a batch file; empty in any other name."""
+    return F.regexp_extract("file_name", rf"^{BATCH_PREFIX}([0-9]+)\{BATCH_SUFFIX}$", 1)
+
+
+def batch_order() -> Column:
+    """What files sort by: batches by number, also beyond four digits, other files by name."""
+    digits = _batch_digits()
+    padded = F.lpad(digits, F.greatest(F.lit(ORDER_DIGITS), F.length(digits)), F.lit("0"))
+    numbered = F.concat(F.lit(BATCH_PREFIX), padded, F.lit(BATCH_SUFFIX))
+    return F.when(digits != "", numbered).otherwise(F.col("file_name"))
+
+
 def next_batch_number(files: DataFrame) -> DataFrame:
     """One row: the highest number among batch file names, plus one."""
-    pattern = rf"^{BATCH_PREFIX}([0-9]+)\{BATCH_SUFFIX}$"
-    number = F.regexp_extract("file_name", pattern, 1).try_cast("bigint")
+    number = _batch_digits().try_cast("bigint")
     return files.agg((F.coalesce(F.max(number), F.lit(0)) + 1).alias("next_batch"))
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.functions.measures import word_count
+from threadloom.sources.batches import batch_order
 from threadloom.sources.runs import folders, read_table
 
-ORDER = ["file_no", "file_name", "post_pos", "seg", "path"]
+WITHIN = ["file_name", "post_pos", "seg", "path"]
 
 
 TEXT = "text"
@@ -20,11 +21,12 @@ def write_shards(segments: DataFrame, folder: str) -> None:
     Rows are range partitioned on the full order, so tasks are even however
     large a single post or shard is. A shard cut by a partition border, or
     continued by a later run, has several part files; (run_no, part name) sorts
-    in the order of the text.
+    in the order of the text. Batches stand by number.
     """
+    order = ["file_no", batch_order(), *WITHIN]
     (
-        segments.repartitionByRange(*ORDER)
-        .sortWithinPartitions(*ORDER)
+        segments.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .select("file_no", F.col("text").alias("value"))
         .write.partitionBy("file_no")
         .text(folder)
