@@ -30,9 +30,9 @@ from threadloom.operators.listings import (
     Sort,
     assign_batches,
     classify,
+    count_met,
     drop_seen,
     first_wins,
-    ingest_counts,
     listing_union,
     number_new,
     rows_met,
@@ -300,7 +300,7 @@ def _counts(spark: SparkSession, folder: str, limit: int) -> DataFrame:
     rows, seen = _listed(spark, folder), stand_in(spark, folder, S.SEEN)
     # Without a limit every row is met, and nothing has to be numbered.
     taken = number_new(drop_seen(first_wins(rows), seen), limit) if limit else rows
-    return ingest_counts(classify(rows_met(rows, taken, limit), seen), PRIOR_TOTAL)
+    return count_met(rows_met(rows, taken, limit), seen, PRIOR_TOTAL)
 
 
 @query("ingest_counts_all")

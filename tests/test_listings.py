@@ -9,6 +9,7 @@ from threadloom.operators.listings import (
     Sort,
     assign_batches,
     classify,
+    count_met,
     drop_seen,
     expand_sorts,
     first_wins,
@@ -96,3 +97,17 @@ def test_global_index_and_seen_union(spark):
     assert all(row.n == row.k + 10 for row in got)
     union = seen_union(frame.limit(3).select(F.lit("a").alias("id")), frame.select(F.lit("b").alias("id")))
     assert sorted(row.id for row in union.collect()) == ["a", "b"]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_counts_join_early_rows_only(spark, seed):
+    rng = random.Random(seed)
+    rows = [(f"l{rank}", rank, pos, rng.choice([None, *(f"p{i}" for i in range(30))]), rng.choice([True, True, False, None])) for rank in range(3) for pos in range(40)]
+    rows += rng.choices(rows, k=10)
+    rows += [("l0", 0, 50, "bad", False), ("l2", 2, 50, "bad", None), ("l0", 0, None, "odd", True), ("l1", 1, None, "odd", False)]
+    frame = spark.createDataFrame(rows, "listing string, listing_rank int, pos long, id string, usable boolean")
+    ledger = spark.createDataFrame([("p3",), ("p4",), ("p3",), (None,)], "id string")
+    assert count_met(frame, ledger, 5).collect() == ingest_counts(classify(frame, ledger), 5).select(*count_met(frame, ledger).columns).collect()
+    none = frame.filter("not usable")
+    assert tuple(count_met(none, ledger).first()) == tuple(ingest_counts(classify(none, ledger)).select(*count_met(none, ledger).columns).first())
+    assert tuple(count_met(frame.limit(0), ledger, 2).first()) == (0, 0, 0, 2)

@@ -10,10 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from threadloom.operators.listings import (
     ORDER,
     assign_batches,
-    classify,
+    count_met,
     drop_seen,
     first_wins,
-    ingest_counts,
     number_new,
     rows_met,
 )
@@ -83,7 +82,7 @@ def ingest(
         first_batch = next_batch_number(stored_batches(spark, store)).first()["next_batch"]
         taken = materialize(new_posts(rows, seen, limit, batch_size, first_batch))
         # The run itself changes what is new, so the counts are fixed first.
-        counts = materialize(ingest_counts(classify(rows_met(rows, taken, limit), seen), prior))
+        counts = materialize(count_met(rows_met(rows, taken, limit), seen, prior))
 
         full = rows.join(taken.select(*ORDER, *KEYS), list(ORDER))
         posts = normalise_posts(full, site_root, community, tuple(KEYS))
